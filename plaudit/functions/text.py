@@ -78,7 +78,7 @@ def counted_label(name: Column, count: Column) -> Column:
 
 
 def seconds_label(seconds: Column) -> Column:
-    return F.format_string("%.3f s", seconds)
+    return F.when(seconds.isNotNull(), F.format_string("%.3f s", seconds))
 
 
 def event_time(epoch_seconds: Column) -> Column:

@@ -41,7 +41,6 @@ def convert_new_files(
     files_per_batch: int = 1000,
 ) -> int:
     """Convert what is pending, a bounded number of files at a time; returns the number converted.
-
     Each source file has its own partition below ``target/data``. A file is noted as
     done only after its rows are committed, and a file converted again replaces its
     own partition, so a run that dies half-way is simply repeated.

@@ -6,10 +6,12 @@ so files here and a message log in production take the same code.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plaudit.functions import presets
-from plaudit.functions.text import event_time
+from plaudit.functions.text import epoch_seconds, event_time
 from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.session import scoped_conf
 from plaudit.sources.readers import CORRUPT
@@ -18,7 +20,11 @@ ENVELOPE = f"review_id bigint, {CLEAN_TEXT} string, send_time double"
 
 
 def envelope(
-    df: DataFrame, key: str, text: str = CLEAN_TEXT, send_time: Column | None = None
+    df: DataFrame,
+    key: str,
+    text: str = CLEAN_TEXT,
+    send_time: Column | None = None,
+    keep: Iterable[Column] = (),
 ) -> DataFrame:
     """Rows as (key, value) records; ``send_time`` is in epoch seconds, by default now.
 
@@ -34,7 +40,7 @@ def envelope(
         )
     )
     spread_key = F.pmod(F.xxhash64(key), F.lit(presets.PARTITION_KEYS)).cast("string")
-    return df.select(spread_key.alias("key"), value.alias("value"))
+    return df.select(spread_key.alias("key"), value.alias("value"), *keep)
 
 
 def publish(records: DataFrame, format: str = "json", mode: str = "append", **options: str) -> None:
@@ -69,25 +75,31 @@ def publish_new_files(
     query.awaitTermination()
 
 
-def stage_replay(reviews: DataFrame, time: str, records: DataFrame, folder: str, steps: int) -> None:
-    """Lay records down as files in the order of ``time``, for a stream that reads files by age.
+def stage_replay(
+    reviews: DataFrame, key: str, text: str, time: str, folder: str, rows_per_file: int = 10_000, min_files: int = 4
+) -> None:
+    """Lay reviews down as record files in the order of ``time``, for a stream that reads files by age.
 
-    ``records`` holds the (key, value) columns beside ``time``. The cut points split
-    the time range evenly by rows; the files of a step are all older than the next's.
+    The reviews are cut into steps by time; one file holds one step, a bounded number
+    of rows, and is older than the file of the next step. So no record is late,
+    however many files the stream takes at a time. Many reviews of the same time
+    share several steps.
     """
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    bounds = reviews.agg(
-        F.percentile_approx(micros, [i / steps for i in range(1, steps)], 10_000).alias("cuts")
-    ).first()
-    cuts = sorted(set(bounds.cuts or []))
-    step = sum(((micros > F.lit(cut)).cast("int") for cut in cuts), F.lit(0))
-    # One pass over the source: the steps are written side by side, then published in order.
-    staged = f"{folder}-steps"
-    records.select("key", "value", step.alias("step")).write.mode("overwrite").partitionBy("step").parquet(staged)
+    steps = max(min_files, -(-reviews.count() // rows_per_file))
+    micros = F.unix_micros(F.col(time).cast("timestamp")).alias("_us")
+    records = envelope(reviews, key, text, epoch_seconds(F.col(time)), keep=[micros, F.col(key).alias("_id")])
+    staged = f"{folder}-staged"
+    (
+        records.repartitionByRange(steps, "_us", "_id")
+        .select("key", "value", F.spark_partition_id().alias("step"))
+        .write.mode("overwrite")
+        .partitionBy("step")
+        .parquet(staged)
+    )
     spark = reviews.sparkSession
-    for i in range(len(cuts) + 1):
-        rows = spark.read.parquet(staged).filter(F.col("step") == i).select("key", "value")
-        publish(rows, path=folder)
+    written = spark.read.schema("key string, value string, step int").parquet(staged)
+    for step in range(steps):
+        publish(written.filter(F.col("step") == step).select("key", "value").coalesce(1), path=folder)
 
 
 def read_feed(
