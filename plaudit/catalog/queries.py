@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,8 +41,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     times = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("send_ts")
     )
-    texts = ingest.clean_reviews(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
-    return spread(texts.join(times, "doc_id").withColumnRenamed("doc_id", "review_id"))
+    texts = ingest.clean_reviews(documents(spark, sf_dir), "text", keep=["doc_id"])
+    return texts.join(times, "doc_id").withColumnRenamed("doc_id", "review_id")
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,8 +254,8 @@ def sentiment_scores_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_scores_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return scoring.score_by_join(rows, "doc_id", "text", scoring.lexicon_frame(spark, corpus.LEXICON))
+    table = scoring.lexicon_frame(spark, corpus.LEXICON)
+    return scoring.score_by_join(documents(spark, sf_dir), "doc_id", "text", table)
 
 
 def sentiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

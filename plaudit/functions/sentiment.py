@@ -14,8 +14,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
-import unicodedata
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
@@ -162,16 +160,16 @@ def arrow_polarity(text: Column, lexicon: Lexicon) -> Column:
             p1, p2 = word, p1
         return total, hits
 
-    def word_pattern() -> re.Pattern[str]:
-        # LETTER_WORD in Python's notation, where a word character may also be a numeral sign.
-        numerals = "".join(
-            chr(c) for c in range(sys.maxunicode) if unicodedata.category(chr(c)) in ("No", "Nl")
-        )
-        letter = rf"[^\W\d_{numerals}]"
-        return re.compile(rf"{letter}+(?:'{letter}+)*")
+    # LETTER_WORD in Python's notation, except that a word character may also be a numeral sign.
+    find_words = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*").findall
+
+    def words_of(value: str) -> list[str]:
+        words = find_words(value)
+        if value.isascii() or all(word.replace("'", "").isalpha() for word in words):
+            return words
+        return find_words("".join(c if c.isalpha() or c == "'" else " " for c in value))
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words_of = word_pattern().findall
         for batch in batches:
             scores = []
             for value in batch:

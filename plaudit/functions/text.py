@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -68,7 +70,7 @@ def matches_keyword(text: Column, keywords: Iterable[str], whole_word: bool = Fa
         return F.lit(False)
     lowered = F.lower(text)
     if not whole_word:
-        return lowered.rlike("|".join(re.escape(word) for word in words))
+        return reduce(or_, [F.contains(lowered, F.lit(word)) for word in words])
     return lowered.rlike(r"(?<!\p{L})(?:" + "|".join(re.escape(word) for word in words) + r")(?!\p{L})")
 
 
