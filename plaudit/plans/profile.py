@@ -20,26 +20,32 @@ def text_profile(
     """Top words and category counts as one (task, key, value) table.
 
     Both tasks share one scan and one shuffle: each text yields its words and its
-    category as tagged keys, counted in each task before they move. Categories that
-    did not occur come from a union with zero rows.
+    category, counted in each task before they move. Words hold no space, so a
+    leading one marks a category. Categories that did not occur come from a union
+    with zero rows.
     """
     scored = with_sentiment(df.select(text), text, lexicon)
-    tagged = F.concat(
-        F.transform(
-            batch_tokens(F.col(text)), lambda word: F.struct(F.lit("words").alias("task"), word.alias("key"))
-        ),
-        F.array(F.struct(F.lit("sentiment").alias("task"), F.col("category").alias("key"))),
-    )
     skipped = ["", *sorted(stop_words)]
     ones = (
-        scored.select(F.inline(tagged))
-        .filter((F.col("task") == "sentiment") | ~F.col("key").isin(skipped))
+        scored.select(
+            F.explode(F.concat(batch_tokens(F.col(text)), F.array(F.concat(F.lit(" "), "category")))).alias("item")
+        )
+        .filter(~F.col("item").isin(skipped))
         .withColumn("n", F.lit(1).cast("bigint"))
     )
-    zeros = in_memory(
-        df.sparkSession, [("sentiment", name, 0) for name in presets.CATEGORIES], "task string, key string, n bigint"
+    zeros = in_memory(df.sparkSession, [(f" {name}", 0) for name in presets.CATEGORIES], "item string, n bigint")
+    is_category = F.startswith("item", F.lit(" "))
+    counts = (
+        ones.unionByName(zeros)
+        .groupBy("item")
+        .agg(F.sum("n").alias("value"))
+        .select(
+            F.when(is_category, "sentiment").otherwise("words").alias("task"),
+            F.ltrim("item").alias("key"),
+            "value",
+        )
     )
-    counts = ones.unionByName(zeros).groupBy("task", "key").agg(F.sum("n").alias("value"))
+    # Each task keeps its own best rows before they move, so no group gathers whole.
     order = Window.partitionBy("task").orderBy(F.desc("value"), F.asc("key"))
     best = counts.withColumn("_rank", F.row_number().over(order)).filter(
         F.col("_rank") <= max(k, len(presets.CATEGORIES))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -9,7 +11,7 @@ from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.sources.readers import list_files
 from plaudit.sources.writers import write_partitions
 
-DONE_SCHEMA = "source_file string, batch string"
+DONE_SCHEMA = "source_file string"
 
 
 def _relative(path: str, root: str):
@@ -45,18 +47,31 @@ def convert_new_files(
     done only after its rows are committed, and a file converted again replaces its
     own partition, so a run that dies half-way is simply repeated.
     """
-    converted = 0
-    while True:
-        batch = pending_files(spark, source, target).orderBy("path").limit(files_per_batch).collect()
-        if not batch:
-            return converted
-        rows = spark.read.parquet(*[row.path for row in batch]).select(
+    pending = pending_files(spark, source, target)
+    count = pending.count()
+    if not count:
+        return 0
+    # The list is made once and cut into batches by path, so no run lists the source twice.
+    batches = -(-count // files_per_batch)
+    plan = f"{target}/_pending/{uuid.uuid4().hex[:12]}"
+    (
+        pending.repartitionByRange(batches, "path")
+        .withColumn("batch", F.spark_partition_id())
+        .write.partitionBy("batch")
+        .parquet(plan)
+    )
+    planned = spark.read.schema("source_file string, path string, batch int").parquet(plan)
+    for number in range(batches):
+        files = planned.filter(F.col("batch") == number).select("source_file", "path")
+        paths = [row.path for row in files.collect()]
+        if not paths:
+            continue
+        rows = spark.read.parquet(*paths).select(
             *columns, _relative("_metadata.file_path", source).alias("source_file")
         )
         write_partitions(rows, f"{target}/data", "source_file", format="json")
-        done = spark.createDataFrame([(row.source_file, batch[0].source_file) for row in batch], DONE_SCHEMA)
-        done.coalesce(1).write.mode("append").parquet(f"{target}/_manifest")
-        converted += len(batch)
+        files.select("source_file").coalesce(1).write.mode("append").parquet(f"{target}/_manifest")
+    return count
 
 
 def convert_stream(
