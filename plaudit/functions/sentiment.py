@@ -120,21 +120,23 @@ def _value_of(word: Column, values: dict[str, float], default: float) -> Column:
 
 
 def native_hits(words: Column, lexicon: Lexicon) -> Column:
-    """The contributions of all known words, an ``array<bigint>``."""
+    """The contributions of all known words, an ``array<bigint>``.
 
-    def units(x: Column) -> Column:
+    ``words`` must be a plain column, not the tokeniser's expression: the words before a
+    known one are fetched by position, which would cut the text again each time.
+    """
+
+    def units(word: Column, i: Column) -> Column:
+        p1, p2 = (F.coalesce(F.get(words, i - back), F.lit("")) for back in (1, 2))
         negated = is_negated(
-            _one_of(x["p1"], lexicon.negations),
-            _one_of(x["p1"], lexicon.intensity),
-            x["p1"],
-            _one_of(x["p2"], lexicon.negations),
+            _one_of(p1, lexicon.negations), _one_of(p1, lexicon.intensity), p1, _one_of(p2, lexicon.negations)
         )
-        return hit_units(
-            _value_of(x["w"], lexicon.polarity, 0.0), _value_of(x["p1"], lexicon.intensity, 1.0), negated
+        value = hit_units(
+            _value_of(word, lexicon.polarity, 0.0), _value_of(p1, lexicon.intensity, 1.0), negated
         )
+        return F.when(_one_of(word, lexicon.polarity), value)
 
-    known = F.filter(with_neighbours(words), lambda x: _one_of(x["w"], lexicon.polarity))
-    return F.transform(known, units)
+    return F.filter(F.transform(words, units), lambda unit: unit.isNotNull())
 
 
 def arrow_polarity(text: Column, lexicon: Lexicon) -> Column:

@@ -15,11 +15,12 @@ from plaudit.functions.sentiment import (
     with_neighbours,
 )
 from plaudit.functions.text import counted_label, letter_words
+from plaudit.sources.readers import in_memory
 from plaudit.sizing import BROADCAST_MAX_ROWS, is_small, lookup_join
 
 
 def lexicon_frame(spark: SparkSession, lexicon: Lexicon) -> DataFrame:
-    return spark.createDataFrame(lexicon.rows(), LEXICON_SCHEMA)
+    return in_memory(spark, lexicon.rows(), LEXICON_SCHEMA)
 
 
 def lexicon_table(

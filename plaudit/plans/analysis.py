@@ -15,7 +15,7 @@ from plaudit.operators.metrics import observed, partition_count, sentiment_measu
 from plaudit.operators.sampling import bernoulli_sample, hash_sample, smallest_level, sweep_word_frequency
 from plaudit.operators.scoring import category_share
 from plaudit.operators.words import ranked, top_words, word_frequency, word_rows
-from plaudit.sizing import spread
+from plaudit.sizing import leaves_cores_idle, spread
 from plaudit.sources.readers import CORRUPT, in_memory, read_json_lines, size_report
 from plaudit.sources.writers import write_parquet, write_partitions, write_report
 
@@ -54,7 +54,7 @@ def run_analysis(
     stop_words: Iterable[str] = presets.ENGLISH_STOP_WORDS,
     placeholders: Iterable[str] = (),
     partitions: int | None = None,
-    keep_in_memory: bool = False,
+    keep_in_memory: bool | None = None,
     sort_words: bool = False,
     text: str = CLEAN_TEXT,
 ) -> DataFrame:
@@ -63,12 +63,17 @@ def run_analysis(
     Each of the two results is computed once, while it is written; reports and
     measures come from what was written or observed. With a ``key`` the sample is
     drawn by its hash, else by chance with a fixed seed, so both passes see
-    the same rows. Returns the metrics as one row.
+    the same rows. ``keep_in_memory`` caches the rows between the passes; by default
+    only an input too small to busy all cores is cached, a large one is read twice.
+    Returns the metrics as one row.
     """
     start = time.perf_counter()
     rows = exclude_texts(non_blank(spark.read.parquet(source), text), text, placeholders)
     if percent < 100:
         rows = hash_sample(rows, key, percent) if key else bernoulli_sample(rows, percent / 100, seed)
+    rows = rows.select(text)
+    if keep_in_memory is None:
+        keep_in_memory = leaves_cores_idle(rows)
     rows = rows.repartition(partitions) if partitions else spread(rows)
     if keep_in_memory:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -76,11 +81,12 @@ def run_analysis(
         frequency = word_frequency(word_rows(rows, text, stop_words=stop_words))
         frequency = ranked(frequency) if sort_words else frequency
         write_partitions(frequency.withColumn("pct", F.lit(percent)), f"{target}/word_frequency", "pct")
-        written = spark.read.parquet(f"{target}/word_frequency").filter(F.col("pct") == percent)
+        written = spark.read.schema("word string, frequency bigint, pct int").parquet(f"{target}/word_frequency")
+        written = written.filter(F.col("pct") == percent)
         write_report(top_words(written.select("word", "frequency")), f"{target}/top_words/pct={percent}")
         words_done = time.perf_counter()
 
-        scored = with_sentiment(rows.select(text), text, lexicon, scorer)
+        scored = with_sentiment(rows, text, lexicon, scorer)
         scored, seen = observed(scored, f"analysis-{percent}", sentiment_measures())
         scored = scored.withColumnRenamed("polarity", "compound").withColumn("pct", F.lit(percent))
         write_partitions(scored, f"{target}/sentiment", "pct")
@@ -95,7 +101,8 @@ def run_analysis(
     )
     write_report(counts, f"{target}/categories/pct={percent}")
     done = time.perf_counter()
-    parts = partition_count(spark.read.parquet(f"{target}/sentiment").filter(F.col("pct") == percent))
+    written = spark.read.schema("category string, pct int").parquet(f"{target}/sentiment")
+    parts = partition_count(written.filter(F.col("pct") == percent))
     metrics = in_memory(
         spark,
         [

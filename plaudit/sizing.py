@@ -13,17 +13,23 @@ def plan_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def leaves_cores_idle(df: DataFrame) -> bool:
+    """Whether the input holds less than a full split for each core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return plan_bytes(df) < cores * SPREAD_BYTES_PER_CORE
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core work when the input is too small to split by itself.
 
     A Parquet file splits no finer than its row groups, so a few small files
     would keep one core busy and leave the others idle. Input that already holds a
-    full split per core is returned as it is: on a large table nothing moves.
+    full split per core is returned as it is: on a large table nothing moves. Apply
+    it to a scan; behind a join the size estimate says little.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_bytes(df) >= cores * SPREAD_BYTES_PER_CORE:
+    if not leaves_cores_idle(df):
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:

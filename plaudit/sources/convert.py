@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from plaudit.operators.ingest import CLEAN_TEXT
-from plaudit.sources.readers import list_files
+from plaudit.sources.readers import in_memory, list_files
 from plaudit.sources.writers import write_partitions
 
 DONE_SCHEMA = "source_file string"
@@ -24,7 +24,7 @@ def _done_files(spark: SparkSession, manifest: str) -> DataFrame:
     try:
         return spark.read.schema(DONE_SCHEMA).parquet(manifest)
     except AnalysisException:
-        return spark.createDataFrame([], DONE_SCHEMA)
+        return in_memory(spark, [], DONE_SCHEMA)
 
 
 def pending_files(spark: SparkSession, source: str, target: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 CORRUPT = "_corrupt_record"
@@ -63,5 +64,12 @@ def size_report(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
 
 
 def in_memory(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
-    """A small constant table, such as word lists or sample sizes."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small constant table, such as word lists or sample sizes.
+
+    Handed over as Arrow it becomes a local relation: Catalyst knows its size and no
+    Python worker is started for it.
+    """
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(fields)
+    data = pa.table({name: list(values) for name, values in zip(fields.names, columns)})
+    return spark.createDataFrame(data, fields)

@@ -6,6 +6,7 @@ import pytest
 
 from plaudit.catalog.queries import QUERIES
 from plaudit.functions import presets
+from plaudit.functions.sentiment import with_sentiment
 from plaudit.operators import sampling, scoring, windows, words
 from plaudit.catalog import corpus
 
@@ -80,6 +81,10 @@ def test_no_python_in_the_hot_path(spark, name):
     assert "Python" not in plan_of(QUERIES[name](spark, SF))
 
 
+def test_scorer_cuts_each_text_once(raw):
+    assert plan_of(with_sentiment(raw, "text", corpus.LEXICON)).count("regexp_extract_all") == 1
+
+
 def test_profile_scans_once(spark):
     plan = plan_of(QUERIES["profile"](spark, SF))
     assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan
