@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from plaudit.session import build_session  # noqa: E402
+from plaudit.session import build_session, scoped_conf  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,3 +24,10 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    """Only sides that the library itself found small are broadcast."""
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        yield

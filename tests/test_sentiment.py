@@ -66,13 +66,13 @@ def brute_force(text, lexicon):
     return sum(units) / (len(units) * 1e6) if units else 0.0
 
 
-def test_golden_rows_in_every_form(spark):
+def test_golden_rows_in_every_form(spark, no_auto_broadcast):
     df = frame(spark, [text for text, _, _ in GOLDEN])
     for scored in forms(spark, df, LEXICON):
         assert results(scored) == [(p, c) for _, p, c in GOLDEN]
 
 
-def test_random_texts_in_every_form(spark):
+def test_random_texts_in_every_form(spark, no_auto_broadcast):
     rng = random.Random(5)
     vocabulary = [*LEXICON.polarity, *LEXICON.intensity, *LEXICON.negations, "a", "x", "the", "café", "don't"]
     seps = [" ", "  ", ", ", "\n", "! ", " 7 ", "² "]
@@ -83,7 +83,7 @@ def test_random_texts_in_every_form(spark):
         assert [p for p, _ in results(scored)] == expected
 
 
-def test_large_lexicon_takes_the_arrow_form(spark):
+def test_large_lexicon_takes_the_arrow_form(spark, no_auto_broadcast):
     rng = random.Random(6)
     lexicon = Lexicon({f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}": rng.randrange(-100, 101) / 100 for i in range(600)},
                       LEXICON.intensity, LEXICON.negations)
@@ -103,7 +103,7 @@ def test_short_lexicon_stays_in_the_jvm(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
-def test_hot_word_in_the_salted_join(spark):
+def test_hot_word_in_the_salted_join(spark, no_auto_broadcast):
     df = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 3 == 0, "good " * 50).otherwise("bad fine").alias("text"))
     table = scoring.lexicon_frame(spark, LEXICON)
     scored = scoring.score_by_join(df, "id", "text", table, max_broadcast_rows=1)
