@@ -42,11 +42,15 @@ def analyze(spark: SparkSession, args: argparse.Namespace) -> None:
         percent=args.percent,
         key=args.key,
         seed=args.seed,
+        limit=args.limit,
         lexicon=load_lexicon(spark, args),
         placeholders=args.placeholder,
         partitions=args.partitions,
         keep_in_memory=args.keep_in_memory,
     )
+    if args.mode:
+        log = metrics.run_log(result, f"{args.percent}", args.mode)
+        log.coalesce(1).write.mode("append").json(f"{args.target}/run_log")
     print(json.dumps(result.first().asDict()))
 
 
@@ -126,6 +130,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--percent", type=int, default=100)
     sub.add_argument("--key", help="draw the sample by the hash of this column")
     sub.add_argument("--seed", type=int, default=0)
+    sub.add_argument("--limit", type=int, help="keep only the rows with the smallest keys")
+    sub.add_argument("--mode", help="note the run's times under this name, for the compare command")
     sub.add_argument("--placeholder", action="append", default=[])
     sub.add_argument("--partitions", type=int)
     sub.add_argument("--keep-in-memory", action="store_true")

@@ -36,6 +36,18 @@ def with_rates(metrics: DataFrame, seconds: str = "total_seconds") -> DataFrame:
     ).withColumn("ms_per_record", F.when(records > 0, time / records * 1000).otherwise(F.lit(0.0)))
 
 
+def run_log(metrics: DataFrame, run_id: str, mode: str) -> DataFrame:
+    """A run's times as rows (run_id, mode, task, seconds), the shape that runs are compared in."""
+    tasks = [name for name in metrics.columns if name.endswith("_seconds")]
+    pairs = F.array(
+        *[
+            F.struct(F.lit(name.removesuffix("_seconds")).alias("task"), F.col(name).alias("seconds"))
+            for name in tasks
+        ]
+    )
+    return metrics.select(F.lit(run_id).alias("run_id"), F.lit(mode).alias("mode"), F.inline(pairs))
+
+
 def run_comparison(
     log: DataFrame, task: str, mode: str, seconds: str, base: str, other: str
 ) -> DataFrame:

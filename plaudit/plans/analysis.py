@@ -12,7 +12,7 @@ from plaudit.functions import presets
 from plaudit.functions.sentiment import Lexicon, with_sentiment
 from plaudit.operators.ingest import CLEAN_TEXT, clean_reviews, exclude_texts, non_blank
 from plaudit.operators.metrics import observed, partition_count, sentiment_measures, with_rates
-from plaudit.operators.sampling import bernoulli_sample, hash_sample, smallest_level, sweep_word_frequency
+from plaudit.operators.sampling import bernoulli_sample, first_rows, hash_sample, smallest_level, sweep_word_frequency
 from plaudit.operators.scoring import category_share
 from plaudit.operators.words import ranked, top_words, word_frequency, word_rows
 from plaudit.sizing import leaves_cores_idle, spread
@@ -49,6 +49,7 @@ def run_analysis(
     percent: int = 100,
     key: str | None = None,
     seed: int = 0,
+    limit: int | None = None,
     lexicon: Lexicon | None = None,
     scorer: Callable[[str], float] | None = None,
     stop_words: Iterable[str] = presets.ENGLISH_STOP_WORDS,
@@ -63,7 +64,7 @@ def run_analysis(
     Each of the two results is computed once, while it is written; reports and
     measures come from what was written or observed. With a ``key`` the sample is
     drawn by its hash, else by chance with a fixed seed, so both passes see
-    the same rows. ``keep_in_memory`` caches the rows between the passes; by default
+    the same rows; ``limit`` keeps the rows with the smallest keys. ``keep_in_memory`` caches the rows between the passes; by default
     only an input too small to busy all cores is cached, a large one is read twice.
     Returns the metrics as one row.
     """
@@ -71,6 +72,10 @@ def run_analysis(
     rows = exclude_texts(non_blank(spark.read.parquet(source), text), text, placeholders)
     if percent < 100:
         rows = hash_sample(rows, key, percent) if key else bernoulli_sample(rows, percent / 100, seed)
+    if limit is not None:
+        if not key:
+            raise ValueError("a row limit needs a key: without one the two passes could read different rows")
+        rows = first_rows(rows, key, limit)
     rows = rows.select(text)
     if keep_in_memory is None:
         keep_in_memory = leaves_cores_idle(rows)

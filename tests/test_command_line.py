@@ -26,7 +26,7 @@ def test_pipeline(spark, tmp_path, capsys):
     spark.read.parquet(str(tmp_path / "clean")).withColumn("review_id", F.monotonically_increasing_id()).write.json(
         str(tmp_path / "numbered")
     )
-    run("sweep", str(spark_parquet(spark, tmp_path)), tmp_path / "sweep", "--key", "review_id")
+    run("sweep", str(numbered_parquet(spark, tmp_path)), tmp_path / "sweep", "--key", "review_id")
     assert spark.read.json(str(tmp_path / "sweep" / "metrics")).count() == 5
     run("publish", tmp_path / "numbered", "--checkpoint", tmp_path / "pc", "--option", f"path={tmp_path / 'feed'}")
     run("stream", tmp_path / "feed", tmp_path / "out", "--checkpoint", tmp_path / "sc", "--state-partitions", 2)
@@ -34,13 +34,17 @@ def test_pipeline(spark, tmp_path, capsys):
     assert {r.category: r["count"] for r in scored.groupBy("category").count().collect()} == {"positive": 1, "negative": 2}
     assert spark.read.parquet(str(tmp_path / "out" / "set_aside")).count() == 0
 
-    log = tmp_path / "log.json"
-    log.write_text('{"mode": "sequential", "task": "words", "seconds": 2.0}\n{"mode": "parallel", "task": "words", "seconds": 1.0}\n')
-    run("compare", log, tmp_path / "compared")
-    assert spark.read.json(str(tmp_path / "compared")).first().speedup == 2.0
+    # The same run cached and uncached, compared by task.
+    assert result["total_records"] == 4
+    run("analyze", tmp_path / "clean", tmp_path / "results", "--mode", "parallel", "--keep-in-memory")
+    run("analyze", tmp_path / "numbered.parquet", tmp_path / "results", "--mode", "sequential", "--key", "review_id",
+        "--limit", 1000)
+    run("compare", tmp_path / "results" / "run_log", tmp_path / "compared")
+    rows = {r.task: r for r in spark.read.json(str(tmp_path / "compared")).collect()}
+    assert set(rows) == {"words", "sentiment", "total"} and all(r.speedup > 0 for r in rows.values())
 
 
-def spark_parquet(spark, tmp_path):
+def numbered_parquet(spark, tmp_path):
     path = tmp_path / "numbered.parquet"
     spark.read.json(str(tmp_path / "numbered")).write.parquet(str(path))
     return path

@@ -162,6 +162,14 @@ def test_run_analysis_of_samples(spark, tmp_path):
     assert {r.pct for r in spark.read.parquet(f"{target}/sentiment").select("pct").distinct().collect()} == {20, 40}
 
 
+def test_run_analysis_of_the_first_rows(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    spark.range(50).select(F.col("id"), F.lit("good day").alias(CLEAN_TEXT)).write.parquet(source)
+    assert run_analysis(spark, source, target, key="id", limit=7, lexicon=LEXICON).first().positive_count == 7
+    with pytest.raises(ValueError):
+        run_analysis(spark, source, target, limit=7)
+
+
 def test_run_sweep(spark, tmp_path):
     source, target = str(tmp_path / "s"), str(tmp_path / "t")
     spark.range(500).select(F.col("id"), F.lit("good day").alias(CLEAN_TEXT)).write.parquet(source)
