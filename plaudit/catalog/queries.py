@@ -20,7 +20,7 @@ from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.plans.analysis import sweep_metrics
 from plaudit.plans.profile import text_profile
 from plaudit.session import work_dir
-from plaudit.sizing import spread
+from plaudit.sizing import rounds, spread
 from plaudit.sources import convert, readers, writers
 from plaudit.streaming import feed, top_words as stream
 
@@ -333,40 +333,38 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _staged(spark: SparkSession, sf_dir: str, folder: str, copies: int = 1) -> str:
+def _feed(spark: SparkSession, sf_dir: str, folder: str, copies: int = 1) -> DataFrame:
+    """The reviews as a stream of records, replayed in the order of their times."""
     rows = reviews(spark, sf_dir)
     if copies > 1:
         rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
-    feed.stage_replay(rows, "review_id", CLEAN_TEXT, "send_ts", f"{folder}/feed")
-    return f"{folder}/feed"
+    steps = rounds(table(spark, sf_dir, "documents"))
+    files = feed.stage_replay(rows, "review_id", CLEAN_TEXT, "send_ts", f"{folder}/feed", steps)
+    return feed.good_records(feed.decode(feed.read_feed(spark, f"{folder}/feed", max_files=files)))
 
 
-def _started(spark: SparkSession) -> dict:
-    """No more state partitions than cores; small files are split so that all cores score."""
-    cores = spark.sparkContext.defaultParallelism
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return {
-        "state_partitions": min(cores, current),
-        "conf": {"spark.sql.files.maxPartitionBytes": "1m", "spark.sql.files.openCostInBytes": "64k"},
-    }
+def _state(spark: SparkSession) -> dict[str, int]:
+    """No more state partitions than cores."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return {"state_partitions": min(spark.sparkContext.defaultParallelism, shuffle)}
 
 
 def window_top_words_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "stream")
-    records = feed.good_records(feed.decode(feed.read_feed(spark, _staged(spark, sf_dir, folder))))
+    records = _feed(spark, sf_dir, folder)
     counted = stream.windowed_words(
         stream.scored_records(records, corpus.LEXICON, corpus.KEYWORDS),
         delay=f"{corpus.REPLAY_DELAY_SECONDS} seconds",
     )
-    stream.write_top_words(counted, f"{folder}/out", f"{folder}/checkpoint", **_started(spark)).awaitTermination()
+    stream.write_top_words(counted, f"{folder}/out", f"{folder}/checkpoint", **_state(spark)).awaitTermination()
     return _epochs(windows.read_window_documents(stream.read_top_words(spark, f"{folder}/out")))
 
 
 def scored_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "scored")
-    records = feed.good_records(feed.decode(feed.read_feed(spark, _staged(spark, sf_dir, folder))))
+    records = _feed(spark, sf_dir, folder)
     rows = stream.scored_records(records, corpus.LEXICON, corpus.KEYWORDS)
-    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_started(spark)).awaitTermination()
+    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark)).awaitTermination()
     return readers.read_parquet(spark, f"{folder}/out").select(
         "review_id", CLEAN_TEXT, F.unix_micros("send_ts").alias("send_us"), "polarity", "category"
     )
@@ -375,9 +373,9 @@ def scored_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record is sent twice and kept once."""
     folder = work_dir(spark, "dedup")
-    records = feed.good_records(feed.decode(feed.read_feed(spark, _staged(spark, sf_dir, folder, copies=2))))
+    records = _feed(spark, sf_dir, folder, copies=2)
     rows = stream.without_repeats(records, f"{corpus.REPLAY_DELAY_SECONDS} seconds")
-    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_started(spark)).awaitTermination()
+    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark)).awaitTermination()
     return readers.read_parquet(spark, f"{folder}/out").select("review_id", CLEAN_TEXT)
 
 
@@ -393,7 +391,7 @@ def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed.publish(mixed.select("key", "value"), path=f"{folder}/feed")
     decoded = feed.decode(feed.read_feed(spark, f"{folder}/feed", max_files=8))
     stream.write_rows(
-        feed.quarantined(decoded), f"{folder}/bad", f"{folder}/checkpoint", **_started(spark)
+        feed.quarantined(decoded), f"{folder}/bad", f"{folder}/checkpoint", **_state(spark)
     ).awaitTermination()
     return readers.read_parquet(spark, f"{folder}/bad")
 

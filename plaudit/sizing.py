@@ -19,6 +19,12 @@ def leaves_cores_idle(df: DataFrame) -> bool:
     return plan_bytes(df) < cores * SPREAD_BYTES_PER_CORE
 
 
+def rounds(df: DataFrame, at_least: int = 4) -> int:
+    """Into how many rounds to cut a table so that each gives every core about one split."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(at_least, -(-plan_bytes(df) // (cores * SPREAD_BYTES_PER_CORE)))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core work when the input is too small to split by itself.
 

@@ -75,31 +75,35 @@ def publish_new_files(
     query.awaitTermination()
 
 
-def stage_replay(
-    reviews: DataFrame, key: str, text: str, time: str, folder: str, rows_per_file: int = 10_000, min_files: int = 4
-) -> None:
+def stage_replay(reviews: DataFrame, key: str, text: str, time: str, folder: str, steps: int) -> int:
     """Lay reviews down as record files in the order of ``time``, for a stream that reads files by age.
 
-    The reviews are cut into steps by time; one file holds one step, a bounded number
-    of rows, and is older than the file of the next step. So no record is late,
-    however many files the stream takes at a time. Many reviews of the same time
-    share several steps.
+    The reviews are cut into ``steps`` by time, many of the same time into several. All
+    files of a step are older than those of the next, and each step has the same
+    number of files, which is returned: a stream that takes that many at a time
+    takes whole steps, so no record is late.
     """
-    steps = max(min_files, -(-reviews.count() // rows_per_file))
+    spark = reviews.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    parts = min(cores, 32)
     micros = F.unix_micros(F.col(time).cast("timestamp")).alias("_us")
     records = envelope(reviews, key, text, epoch_seconds(F.col(time)), keep=[micros, F.col(key).alias("_id")])
-    staged = f"{folder}-staged"
     (
-        records.repartitionByRange(steps, "_us", "_id")
-        .select("key", "value", F.spark_partition_id().alias("step"))
+        records.repartitionByRange(steps * parts, "_us", "_id")
+        .withColumn("part", F.spark_partition_id())
+        .select("key", "value", "part", F.floor(F.col("part") / parts).cast("int").alias("step"))
         .write.mode("overwrite")
         .partitionBy("step")
-        .parquet(staged)
+        .parquet(f"{folder}-staged")
     )
-    spark = reviews.sparkSession
-    written = spark.read.schema("key string, value string, step int").parquet(staged)
+    staged = spark.read.schema("key string, value string, part int, step int").parquet(f"{folder}-staged")
+    # Dealt out in turn, a part of at least as many rows as files leaves no file empty.
+    fullest = staged.groupBy("step", "part").count().groupBy("step").agg(F.max("count").alias("rows"))
+    files = cores if (fullest.agg(F.min("rows")).first()[0] or 0) >= cores else 1
     for step in range(steps):
-        publish(written.filter(F.col("step") == step).select("key", "value").coalesce(1), path=folder)
+        rows = staged.filter(F.col("step") == step).select("key", "value")
+        publish(rows.repartition(files) if files > 1 else rows.coalesce(1), path=folder)
+    return files
 
 
 def read_feed(

@@ -190,19 +190,34 @@ def test_envelope_without_a_time_is_stamped_now(spark):
     assert abs(row.send_time - time.time()) < 60
 
 
-def test_replay_files_follow_time(spark, tmp_path):
-    df = spark.range(1000).select(
+@pytest.mark.parametrize("n, steps, expected_files", [(3000, 5, 8), (20, 3, 1), (2, 4, 1)])
+def test_replay_steps_follow_time(spark, tmp_path, n, steps, expected_files):
+    df = spark.range(n).select(
         F.col("id"), F.lit("great").alias(CLEAN_TEXT),
         # A third of the reviews have the same time.
         F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") * 7 % 1000)).alias("ts"),
     )
     folder = tmp_path / "replay"
-    feed.stage_replay(df, "id", CLEAN_TEXT, "ts", str(folder), rows_per_file=100)
+    assert feed.stage_replay(df, "id", CLEAN_TEXT, "ts", str(folder), steps) == expected_files
     files = sorted(folder.glob("part-*.json"), key=lambda f: f.stat().st_mtime_ns)
     times = [[json.loads(json.loads(x)["value"])["send_time"] for x in f.read_text().splitlines()] for f in files]
-    times = [t for t in times if t]
-    assert sum(map(len, times)) == 1000 and max(map(len, times)) < 250
-    assert all(max(a) <= min(b) for a, b in zip(times, times[1:]))
+    assert sum(map(len, times)) == n
+    whole = [sum(times[i:i + expected_files], []) for i in range(0, len(times), expected_files)]
+    if expected_files > 1:
+        assert len(files) == steps * expected_files and all(times)
+    whole = [step for step in whole if step]
+    assert all(max(a) <= min(b) for a, b in zip(whole, whole[1:]))
+
+
+def test_hot_record_is_dropped_with_and_without_salt(spark, files, tmp_path):
+    hot = [(1, "great", 0)] * 500
+    files.reviews(*hot, (2, "great", 1), *hot)
+    files.reviews(*hot, (3, "great", 2))
+    for salts in (1, 8):
+        unique = stream.without_repeats(records(spark, files), "10 minutes", salts=salts)
+        out = str(tmp_path / f"u{salts}")
+        stream.write_rows(unique, out, str(tmp_path / f"c{salts}"), state_partitions=2).awaitTermination()
+        assert sorted(r.review_id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
 
 
 def test_files_are_sent_once(spark, tmp_path):
