@@ -187,8 +187,10 @@ def test_spread(spark, tmp_path):
     df = spark.read.parquet(path)
     assert plan_bytes(df) < 1 << 20
     assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    big = spark.range(10**12)
-    assert spread(big) is big
+    many = str(tmp_path / "many")
+    spark.range(1000).repartition(spark.sparkContext.defaultParallelism).write.parquet(many)
+    for busy in (spark.read.parquet(many), spark.range(10**12)):
+        assert spread(busy) is busy
 
 
 def test_work_dir_lies_in_the_shared_folder(spark):

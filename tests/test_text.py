@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
@@ -51,6 +52,13 @@ def test_stream_tokens_split_like_python(spark):
     assert column(rows(spark, texts), stream_tokens(F.col("t"))) == [t.lower().split() for t in texts]
 
 
+def test_stream_tokens_split_at_every_code_point_like_python(spark):
+    codes = [c for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame(pa.table({"id": codes, "t": [f"a{chr(c)}b" for c in codes]}))
+    cut = {r.id for r in df.filter(F.size(stream_tokens(F.col("t"))) > 1).select("id").collect()}
+    assert cut == {c for c in codes if chr(c).isspace()}
+
+
 def test_has_content(spark):
     df = rows(spark, ["a", "", "  ", "\t\n", None])
     assert [bool(x) for x in column(df, has_content(F.col("t")))] == [True, False, False, False, False]
