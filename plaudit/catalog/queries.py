@@ -20,7 +20,7 @@ from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.plans.analysis import sweep_metrics
 from plaudit.plans.profile import text_profile
 from plaudit.session import work_dir
-from plaudit.sizing import rounds, spread
+from plaudit.sizing import leaves_cores_idle, rounds, spread
 from plaudit.sources import convert, readers, writers
 from plaudit.streaming import feed, top_words as stream
 
@@ -343,10 +343,13 @@ def _feed(spark: SparkSession, sf_dir: str, folder: str, copies: int = 1) -> Dat
     return feed.good_records(feed.decode(feed.read_feed(spark, f"{folder}/feed", max_files=files)))
 
 
-def _state(spark: SparkSession) -> dict[str, int]:
-    """No more state partitions than cores."""
+def _state(spark: SparkSession, sf_dir: str) -> dict:
+    """No more state partitions than cores; state in memory only where the whole table is small."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return {"state_partitions": min(spark.sparkContext.defaultParallelism, shuffle)}
+    return {
+        "state_partitions": min(spark.sparkContext.defaultParallelism, shuffle),
+        "rocksdb": not leaves_cores_idle(table(spark, sf_dir, "documents")),
+    }
 
 
 def window_top_words_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,7 +359,7 @@ def window_top_words_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream.scored_records(records, corpus.LEXICON, corpus.KEYWORDS),
         delay=f"{corpus.REPLAY_DELAY_SECONDS} seconds",
     )
-    stream.write_top_words(counted, f"{folder}/out", f"{folder}/checkpoint", **_state(spark)).awaitTermination()
+    stream.write_top_words(counted, f"{folder}/out", f"{folder}/checkpoint", **_state(spark, sf_dir)).awaitTermination()
     return _epochs(windows.read_window_documents(stream.read_top_words(spark, f"{folder}/out")))
 
 
@@ -364,7 +367,7 @@ def scored_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "scored")
     records = _feed(spark, sf_dir, folder)
     rows = stream.scored_records(records, corpus.LEXICON, corpus.KEYWORDS)
-    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark)).awaitTermination()
+    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark, sf_dir)).awaitTermination()
     return readers.read_parquet(spark, f"{folder}/out").select(
         "review_id", CLEAN_TEXT, F.unix_micros("send_ts").alias("send_us"), "polarity", "category"
     )
@@ -375,7 +378,7 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "dedup")
     records = _feed(spark, sf_dir, folder, copies=2)
     rows = stream.without_repeats(records, f"{corpus.REPLAY_DELAY_SECONDS} seconds")
-    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark)).awaitTermination()
+    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark, sf_dir)).awaitTermination()
     return readers.read_parquet(spark, f"{folder}/out").select("review_id", CLEAN_TEXT)
 
 
@@ -391,7 +394,7 @@ def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed.publish(mixed.select("key", "value"), path=f"{folder}/feed")
     decoded = feed.decode(feed.read_feed(spark, f"{folder}/feed", max_files=8))
     stream.write_rows(
-        feed.quarantined(decoded), f"{folder}/bad", f"{folder}/checkpoint", **_state(spark)
+        feed.quarantined(decoded), f"{folder}/bad", f"{folder}/checkpoint", **_state(spark, sf_dir)
     ).awaitTermination()
     return readers.read_parquet(spark, f"{folder}/bad")
 

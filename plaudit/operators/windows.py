@@ -18,17 +18,21 @@ def sliding_word_counts(
     time: str = "send_ts",
     window_seconds: int = presets.WINDOW_SECONDS,
     slide_seconds: int = presets.SLIDE_SECONDS,
+    per_slide: bool = True,
 ) -> DataFrame:
     """(window, word, total, positive, negative, neutral) from rows (time, word, category).
 
-    A row belongs to window/slide windows. Rows are counted per slide first and only
-    those counts are copied into the windows, so the copies cost vocabulary, not text.
-    That needs a window made of whole slides; otherwise rows are copied.
+    A row belongs to window/slide windows. With ``per_slide`` rows are counted per slide
+    first and only those counts are copied into the windows, so the copies cost
+    vocabulary, not text; on a stream the windows' state is then touched once per slide,
+    not once per micro-batch. That needs a window made of whole slides. Otherwise rows
+    are copied, which saves a shuffle, and on a stream a state store: better where
+    words seldom repeat within a slide, or a micro-batch spans many slides.
     """
     counts = [F.count("*").alias("total")] + [
         F.count_if(F.col("category") == name).alias(name) for name in presets.CATEGORIES
     ]
-    if window_seconds % slide_seconds:
+    if not per_slide or window_seconds % slide_seconds:
         span = F.window(time, _span(window_seconds), _span(slide_seconds))
         return words.groupBy(span.alias("window"), "word").agg(*counts)
     per_slide = words.groupBy(F.window(time, _span(slide_seconds)).alias("slide"), "word").agg(*counts)

@@ -59,6 +59,7 @@ def windowed_words(
     time: str = "send_ts",
     window_seconds: int = presets.WINDOW_SECONDS,
     slide_seconds: int = presets.SLIDE_SECONDS,
+    per_slide: bool = True,
     **word_options,
 ) -> DataFrame:
     """Words per sliding window with their sentiment breakdown, flat.
@@ -69,7 +70,7 @@ def windowed_words(
     if delay is not None:
         scored = scored.withWatermark(time, delay)
     words = feed_words(scored, time=time, **word_options)
-    return flat_windows(sliding_word_counts(words, time, window_seconds, slide_seconds))
+    return flat_windows(sliding_word_counts(words, time, window_seconds, slide_seconds, per_slide))
 
 
 def write_top_words(

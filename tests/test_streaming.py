@@ -42,8 +42,9 @@ def records(spark, files, max_files=1):
     return feed.good_records(feed.decode(feed.read_feed(spark, str(files.folder), max_files)))
 
 
-def run_windows(spark, files, tmp_path, delay="60 seconds", name="w", rocksdb=True):
-    counts = stream.windowed_words(stream.scored_records(records(spark, files), LEXICON), delay=delay)
+def run_windows(spark, files, tmp_path, delay="60 seconds", name="w", rocksdb=True, per_slide=True):
+    scored = stream.scored_records(records(spark, files), LEXICON)
+    counts = stream.windowed_words(scored, delay=delay, per_slide=per_slide)
     query = stream.write_top_words(
         counts, str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"), rocksdb=rocksdb, state_partitions=2
     )
@@ -91,10 +92,11 @@ def test_stream_equals_batch(spark, files, tmp_path):
     assert not [row for row in found if row[2] == "here"]  # its review holds no keyword
 
 
-def test_in_memory_state_gives_the_same(spark, files, tmp_path):
+@pytest.mark.parametrize("options", [{"rocksdb": False}, {"per_slide": False}])
+def test_other_state_gives_the_same(spark, files, tmp_path, options):
     for part in split(REVIEWS, 3):
         files.reviews(*part)
-    run_windows(spark, files, tmp_path, rocksdb=False)
+    run_windows(spark, files, tmp_path, **options)
     assert windows_of(spark, tmp_path) == batch_windows(spark, REVIEWS, 2000 - 60)
 
 
