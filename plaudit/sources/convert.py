@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.sources.readers import in_memory, list_files
@@ -14,16 +14,24 @@ from plaudit.sources.writers import write_partitions
 DONE_SCHEMA = "source_file string"
 
 
-def _relative(path: str, root: str):
-    """The part of a file's path below the root folder: equal names in sub-folders stay apart."""
+def _relative(path: str, root: str) -> Column:
+    """The part of a file's path below the root folder: equal names in sub-folders stay apart.
+
+    A root that is spelled differently in the paths leaves them whole, which names the
+    files just as well.
+    """
     folder = "/" + root.rstrip("/").split("://")[-1].removeprefix("file:").lstrip("/") + "/"
-    return F.substring_index(F.col(path), folder, -1)
+    start = F.locate(folder, F.col(path))
+    below = F.substring(F.col(path), start + len(folder), F.length(path))
+    return F.when(start > 0, below).otherwise(F.col(path))
 
 
 def _done_files(spark: SparkSession, manifest: str) -> DataFrame:
     try:
         return spark.read.schema(DONE_SCHEMA).parquet(manifest)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return in_memory(spark, [], DONE_SCHEMA)
 
 
@@ -43,6 +51,7 @@ def convert_new_files(
     files_per_batch: int = 1000,
 ) -> int:
     """Convert what is pending, a bounded number of files at a time; returns the number converted.
+
     Each source file has its own partition below ``target/data``. A file is noted as
     done only after its rows are committed, and a file converted again replaces its
     own partition, so a run that dies half-way is simply repeated.

@@ -72,8 +72,9 @@ def texts(spark, folder):
     return sorted(r[0] for r in rows.collect())
 
 
-def test_incremental_conversion(spark, tmp_path):
-    source, target = tmp_path / "source", str(tmp_path / "target")
+@pytest.mark.parametrize("root", ["source", "with space", "x"])
+def test_incremental_conversion(spark, tmp_path, root):
+    source, target = tmp_path / root, str(tmp_path / "target")
 
     def add(folder, name, *values):
         spark.createDataFrame([(v, 1) for v in values], f"{CLEAN_TEXT} string, extra int").coalesce(1).write.parquet(
@@ -89,9 +90,12 @@ def test_incremental_conversion(spark, tmp_path):
     assert convert.convert_new_files(spark, str(source), target) == 0
     # The same name in another folder is another file.
     add("y", "one", "d")
-    assert [r.source_file for r in convert.pending_files(spark, str(source), target).collect()] == ["y/one.parquet"]
-    assert convert.convert_new_files(spark, str(source), target) == 1
-    assert texts(spark, target) == ["a", "b", "c", "d"]
+    (name,) = [r.source_file for r in convert.pending_files(spark, str(source), target).collect()]
+    assert name.endswith("y/one.parquet") and (name == "y/one.parquet" or " " in root)
+    add(f"y/{root}", "one", "e")
+    assert convert.convert_new_files(spark, str(source), target) == 2
+    assert convert.convert_new_files(spark, str(source), target) == 0
+    assert texts(spark, target) == ["a", "b", "c", "d", "e"]
 
 
 def test_conversion_repeats_after_a_lost_manifest(spark, tmp_path):
