@@ -13,7 +13,6 @@ from plaudit.functions.sentiment import Lexicon, with_sentiment
 from plaudit.operators.ingest import CLEAN_TEXT, clean_reviews, exclude_texts, non_blank
 from plaudit.operators.metrics import observed, partition_count, sentiment_measures, with_rates
 from plaudit.operators.sampling import bernoulli_sample, first_rows, hash_sample, smallest_level, sweep_word_frequency
-from plaudit.operators.scoring import category_share
 from plaudit.operators.words import ranked, top_words, word_frequency, word_rows
 from plaudit.sizing import leaves_cores_idle, spread
 from plaudit.sources.readers import CORRUPT, in_memory, read_json_lines, size_report
