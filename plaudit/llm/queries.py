@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import mixing, pieces, secrets
+from plaudit.llm import mixing, pieces, secrets, tokens
 from plaudit.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -27,7 +31,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op2_mix_sources, op7_sentencepiece, op8_secrets)
+    for query in (op2_mix_sources, op3_token_counts, op7_sentencepiece, op8_secrets)
 }
 
 ORACLE = {
