@@ -5,8 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import mixing, pieces, secrets, tokens
-from plaudit.llm.common import table
+from plaudit.llm import mixing, pieces, quality, secrets, tokens, toxicity
+from plaudit.llm.common import remainder, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scores.select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,9 +37,19 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = quality.fit_and_score(docs, table(spark, sf_dir, "labels"))
+    return scores.select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op2_mix_sources, op3_token_counts, op7_sentencepiece, op8_secrets)
+    for query in (
+        op1_toxicity, op2_mix_sources, op3_token_counts, op7_sentencepiece, op8_secrets, op10_quality,
+    )
 }
 
 ORACLE = {
