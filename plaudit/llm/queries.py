@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import mixing, pieces, quality, secrets, tokens, toxicity
+from plaudit.llm import minhash, mixing, pieces, quality, secrets, tokens, toxicity
 from plaudit.llm.common import remainder, table
 
 
@@ -37,6 +37,12 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents")).withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scores = quality.fit_and_score(docs, table(spark, sf_dir, "labels"))
@@ -48,7 +54,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_toxicity, op2_mix_sources, op3_token_counts, op7_sentencepiece, op8_secrets, op10_quality,
+        op1_toxicity, op2_mix_sources, op3_token_counts, op7_sentencepiece, op8_secrets, op9_near_copies,
+        op10_quality,
     )
 }
 
