@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plaudit.llm.common import blocks, per_text, written
 from plaudit.llm.components import components
+from plaudit.llm.units import cut, per_unit
 from plaudit.sizing import is_small
 
 SHINGLE = 5
@@ -206,15 +207,7 @@ def across(members: DataFrame, sketch: DataFrame) -> DataFrame:
     ``BUCKET_BLOCK`` texts are cut into blocks, and each pair of blocks is a unit of work, so
     that no task holds more than two blocks. A pair of several buckets is reported by its first.
     """
-    parts = F.ceil(F.col("size") / BUCKET_BLOCK).cast("int")
-    cut = members.withColumn("_block", F.pmod(F.xxhash64("doc_id"), parts).cast("int")).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    units = cut.select(
-        F.struct("band", F.least("_block", "_other").alias("i"), F.greatest("_block", "_other").alias("j")).alias("unit"),
-        "band", F.col("_block").alias("block"), "doc_id", "component",
-    ).join(sketch, "doc_id")
-    units = units.withColumn("unit", F.xxhash64("unit")).select(
+    units = cut(members, "band", "doc_id", "size", BUCKET_BLOCK).join(sketch, "doc_id").select(
         "unit", "band", "block", "doc_id", "component", "bands", "marks"
     )
 
@@ -235,21 +228,7 @@ def across(members: DataFrame, sketch: DataFrame) -> DataFrame:
             found += [(ids[i], j) for j in ids[rest]]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            held = batch if held is None or not len(held) else pd.concat([held, batch], ignore_index=True)
-            if not len(held):
-                continue
-            starts = np.flatnonzero(np.append(True, np.diff(held["unit"].to_numpy()) != 0))
-            for start, end in zip(starts[:-1], starts[1:]):
-                if end - start > 1:
-                    yield compare(held.iloc[start:end])
-            held = held.iloc[starts[-1] :]
-        if held is not None and len(held) > 1:
-            yield compare(held)
-
-    return units.repartition("unit").sortWithinPartitions("unit").mapInPandas(run, "a bigint, b bigint")
+    return per_unit(units, compare, "a bigint, b bigint")
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

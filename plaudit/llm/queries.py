@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import minhash, mixing, pieces, quality, secrets, tokens, toxicity
+from plaudit.llm import forest, itq, minhash, mixing, pieces, pii, quality, secrets, tokens, toxicity
 from plaudit.llm.common import remainder, table
 
 
@@ -29,6 +29,20 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+def op5_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_embeddings(table(spark, sf_dir, "embeddings")).withColumn(
+        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
+    )
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -54,7 +68,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_toxicity, op2_mix_sources, op3_token_counts, op7_sentencepiece, op8_secrets, op9_near_copies,
+        op1_toxicity, op2_mix_sources, op3_token_counts, op4_nearest,
+        op5_near_embeddings, op6_personal_data, op7_sentencepiece, op8_secrets, op9_near_copies,
         op10_quality,
     )
 }
