@@ -9,7 +9,7 @@ rules in its operator's module.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plaudit.llm import minhash, mixing, pieces, secrets, toxicity
 from plaudit.llm.common import table, written
@@ -27,8 +27,8 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets give way to their kind in brackets; every document stays."""
-    return secrets.redact(docs)
+    """Secrets give way to their kind in brackets, and lengths follow; every document stays."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -110,6 +110,13 @@ class Encoder:
             else b"" if p.type == CONTROL else p.piece.replace(SPACE, " ").encode()
             for p in model.pieces
         ]
+        # Characters of each piece, and the byte of each byte piece (-1 for others).
+        self.byte = np.full(self.size, -1, np.int64)
+        for value, i in self.bytes.items():
+            self.byte[i] = value
+        self.chars = np.array([
+            int(b & 0xC0 != 0x80) if b >= 0 else len(surface.decode()) for b, surface in zip(self.byte.tolist(), self.surface)
+        ])
         # A character without a piece is the symbol size + its code point: no pair holds it.
         self.symbol = np.arange(0x110000, dtype=np.int32) + self.size
         for piece, i in ids.items():
@@ -170,30 +177,26 @@ class Encoder:
         ids = ids.tolist()
         return [ids[a:b] for a, b in zip([0, *last.tolist()], last.tolist())]
 
-    def spans(self, text: str, ids: list[int]) -> tuple[list[int], list[int]]:
+    def spans(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """First and last byte (exclusive) in ``text`` of each piece of its encoding."""
-        if not ids:
-            return [], []
+        pieces = np.array(ids, np.int64)
+        if not len(pieces):
+            return pieces, pieces
         sources = np.append(np.zeros(len(self.dummy), np.int64), self.map.sources(text))
-        fallback = {i: b for b, i in self.bytes.items()}
-        begins, ends, char = [], [], 0
-        lengths = [len(self.surface[i].decode()) if i not in fallback else 0 for i in ids]
-        left = 0  # bytes still to come of a character that fell back to bytes
-        for i, length in zip(ids, lengths):
-            if length:
-                begins.append(int(sources[char]))
-                char += length
-                ends.append(int(sources[char]))
-                continue
-            byte = fallback[i]
-            if not left:
-                left = width = 1 + (byte >= 0xC0) + (byte >= 0xE0) + (byte >= 0xF0)
-            first, last = int(sources[char]), int(sources[char + 1])
-            at = first + width - left
-            begins.append(min(at, last))
-            left -= 1
-            ends.append(last if not left else min(at + 1, last))
-            char += not left
+        chars = self.chars[pieces]  # the first byte of a character counts as it, further ones as none
+        upto = np.cumsum(chars)
+        begins, ends = sources[upto - chars], sources[upto]
+        byte = self.byte[pieces]
+        if (byte >= 0).any():
+            further = (byte & 0xC0) == 0x80
+            further[byte < 0] = False
+            place = np.arange(len(pieces))
+            nth = place - np.maximum.accumulate(np.where(further, 0, place))
+            last = np.append(~further[1:], True)
+            of_char = np.where(further, sources[upto - 1], begins)
+            until = np.where(further, sources[np.minimum(upto, len(sources) - 1)], ends)
+            begins = np.where(byte >= 0, np.minimum(of_char + nth, until), begins)
+            ends = np.where(byte >= 0, np.where(last, until, np.minimum(of_char + nth + 1, until)), ends)
         return begins, ends
 
     def decode(self, ids: list[int]) -> str:
