@@ -5,15 +5,16 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from plaudit.functions import presets
-from plaudit.functions.sentiment import Lexicon
+from plaudit.functions.sentiment import IN_MEMORY_WORDS, Lexicon, with_sentiment
 from plaudit.operators import metrics
 from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.operators.scoring import lexicon_table
 from plaudit.plans import analysis
 from plaudit.session import build_session
+from plaudit.sizing import is_small
 from plaudit.sources import convert, readers
 from plaudit.streaming import feed, top_words
 
@@ -22,16 +23,17 @@ def _pairs(values: list[str]) -> dict[str, str]:
     return dict(value.split("=", 1) for value in values)
 
 
-def load_lexicon(spark: SparkSession, args: argparse.Namespace) -> Lexicon | None:
-    """Word lists from Parquet tables; the starter lists if none are given."""
+def load_lexicon(spark: SparkSession, args: argparse.Namespace) -> Lexicon | DataFrame | None:
+    """Word lists from Parquet tables, as a table if they are too many for one task; the starter lists if none are given."""
     if not args.lexicon:
         return None
     tables = [spark.read.parquet(path) if path else None for path in (args.lexicon, args.modifiers, args.negations)]
-    return Lexicon.from_table(lexicon_table(*tables))
+    table = lexicon_table(*tables)
+    return Lexicon.from_table(table) if is_small(table, IN_MEMORY_WORDS) else table
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    print(json.dumps(analysis.ingest(spark, args.source, args.target)))
+    print(json.dumps(analysis.ingest(spark, args.source, args.target, id_column=args.id)))
 
 
 def analyze(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -69,7 +71,7 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
         args.source,
         args.key,
         args.checkpoint,
-        schema=f"{args.key} bigint, {CLEAN_TEXT} string",
+        schema=f"{args.key} string, {CLEAN_TEXT} string",
         files_per_batch=args.files_per_batch,
         pause=args.pause,
         format=args.format,
@@ -81,10 +83,13 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     """Scored records, set-aside records and top words per window, as three queries."""
     records = feed.read_feed(spark, args.source, format=args.format, **_pairs(args.option))
     decoded = feed.decode(records)
-    good = feed.good_records(decoded)
-    if args.drop_repeats:
-        good = top_words.without_repeats(good, args.delay)
-    scored = top_words.scored_records(good, load_lexicon(spark, args), args.keywords)
+    lexicon = load_lexicon(spark, args)
+    if isinstance(lexicon, DataFrame):
+        raise SystemExit(f"a stream scores with at most {IN_MEMORY_WORDS} words in each list")
+    wanted = top_words.wanted_records(
+        feed.good_records(decoded), args.keywords, args.delay if args.drop_repeats else None
+    )
+    scored = with_sentiment(wanted, CLEAN_TEXT, lexicon)
     start = {"every": args.every, "state_partitions": args.state_partitions}
     windows = top_words.windowed_words(scored, delay=None if args.drop_repeats else args.delay)
     started = [
@@ -112,10 +117,10 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="plaudit")
     commands = top.add_subparsers(required=True, dest="command")
 
-    def command(run, name: str, *, target: bool = True, lexicon: bool = False) -> argparse.ArgumentParser:
+    def command(run, name: str, *, target: bool = True, lexicon: bool = False, source: dict | None = None) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=run.__doc__)
         sub.set_defaults(run=run)
-        sub.add_argument("source")
+        sub.add_argument("source", **(source or {}))
         if target:
             sub.add_argument("target")
         if lexicon:
@@ -124,7 +129,8 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--negations", help="Parquet table (word)")
         return sub
 
-    command(ingest, "ingest")
+    sub = command(ingest, "ingest")
+    sub.add_argument("--id", help="field that holds a unique id; without it a review is known by its place in the clean files")
 
     sub = command(analyze, "analyze", lexicon=True)
     sub.add_argument("--percent", type=int, default=100)
@@ -134,24 +140,24 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--mode", help="note the run's times under this name, for the compare command")
     sub.add_argument("--placeholder", action="append", default=[])
     sub.add_argument("--partitions", type=int)
-    sub.add_argument("--keep-in-memory", action="store_true")
+    sub.add_argument("--keep-in-memory", action=argparse.BooleanOptionalAction, help="by default an input too small to busy all cores is kept")
 
     sub = command(sweep, "sweep", lexicon=True)
     sub.add_argument("--key", required=True)
     sub.add_argument("--percents", type=int, nargs="+", default=list(presets.FRACTIONS))
 
     sub = command(to_json, "convert")
-    sub.add_argument("--files-per-batch", type=int, default=1000)
+    sub.add_argument("--files-per-batch", type=int, help="by default as many as the cluster takes")
 
     sub = command(publish, "publish", target=False)
     sub.add_argument("--key", default="review_id")
     sub.add_argument("--checkpoint", required=True)
-    sub.add_argument("--files-per-batch", type=int, default=1)
+    sub.add_argument("--files-per-batch", type=int, help="by default as many as the cluster takes")
     sub.add_argument("--pause", help="time between batches; without it the run ends when all is sent")
     sub.add_argument("--format", default="json")
     sub.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 
-    sub = command(stream, "stream", lexicon=True)
+    sub = command(stream, "stream", lexicon=True, source={"nargs": "?", "help": "a folder of files; none for a message log"})
     sub.add_argument("--checkpoint", required=True)
     sub.add_argument("--keywords", nargs="+", default=list(presets.STREAM_KEYWORDS))
     sub.add_argument("--delay", default="2 minutes")

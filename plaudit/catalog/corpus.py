@@ -21,5 +21,9 @@ LEXICON = Lexicon(
 )
 
 TOP_LIMITED_ROWS = 500
+# Labels and the first documents by id that they stand for.
+ROW_LIMITS = {20: 100, 40: 300, 60: 500, 80: 700, 100: 1_000_000_000}
 REPLAY_DELAY_SECONDS = 600
+LATE_DELAY_SECONDS = 10 * 86_400
+WHOLE_FEED_SECONDS = 400 * 86_400
 COMPARED_MODES = ("view", "click")

@@ -25,7 +25,7 @@ UNICODE_CUT = (
     r"'[ \t\n\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'"
 )
 
-PLACE = "CAST('0x' || substring(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100"
+PLACE = "CAST('0x' || substring(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % 100"
 
 RAW_WORDS = f"""
 all_words AS (
@@ -94,6 +94,11 @@ window_counts AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY total DESC, word) AS rank FROM window_counts)"""
 
+LIMIT_ROWS = ", ".join(f"({label}, {n})" for label, n in corpus.ROW_LIMITS.items())
+LIMITS = f"""
+limits(pct, n) AS (VALUES {LIMIT_ROWS}),
+numbered AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS nth FROM documents WHERE doc_id IS NOT NULL)"""
+
 FREQUENCY = f"WITH {WORDS} SELECT word, count(*) AS frequency FROM words GROUP BY word"
 TOP = f"{FREQUENCY} ORDER BY frequency DESC, word LIMIT {presets.TOP_WORDS}"
 SWEEP = f"""WITH {WORDS}, fractions(pct) AS (VALUES {FRACTION_ROWS})
@@ -111,6 +116,10 @@ ORACLE: dict[str, str] = {
     "incremental_convert": CLEAN_ONLY,
     "incremental_convert_stream": CLEAN_ONLY,
     "report_json": TOP,
+    "output_size": "SELECT count(*) AS rows, true AS bytes_match, true AS gib_match FROM documents WHERE regexp_matches(text, '\\S')",
+    "source_files": "SELECT lang, count(*) AS rows, true AS listed FROM documents GROUP BY lang",
+    "partition_report": "SELECT count(*) AS rows, 16 AS partitions FROM documents",
+    "bernoulli_sample": "SELECT true AS subset, true AS same_again, true AS size_fits",
     "exclude_texts": f"{CLEAN} WHERE regexp_matches(text, '\\S') AND lower(text) NOT IN {_list(corpus.PLACEHOLDERS)}",
     "keyword_filter": f"{CLEAN} WHERE {KEYWORD_HIT}",
     "keyword_filter_whole_word": f"""{CLEAN}
@@ -141,6 +150,10 @@ w AS (SELECT unnest(string_split_regex(lower(text), {ASCII_CUT})) AS word FROM f
 SELECT word, count(*) AS frequency FROM w
 WHERE word <> '' AND word NOT IN {_list(presets.ENGLISH_STOP_WORDS)}
 GROUP BY word ORDER BY frequency DESC, word LIMIT {presets.TOP_WORDS}""",
+    "row_limit_words": f"""
+WITH {WORDS}, {LIMITS}
+SELECT pct, word, count(*) AS frequency FROM words JOIN numbered USING (doc_id) JOIN limits ON nth <= n
+GROUP BY pct, word""",
     "stream_word_frequency": f"""
 WITH w AS (SELECT unnest(string_split_regex(lower(text), {UNICODE_CUT})) AS word FROM documents)
 SELECT word, count(*) AS frequency FROM w
@@ -151,6 +164,17 @@ WHERE word <> '' AND word NOT IN {_list(presets.STREAM_STOP_WORDS)} GROUP BY wor
     "sentiment_scores": SCORES,
     "sentiment_scores_arrow": SCORES,
     "sentiment_scores_join": SCORES,
+    "sentiment_scores_salted": SCORES,
+    "sentiment_counts_limited": f"""
+WITH {SCORED}, {COUNTS.replace("LEFT JOIN scored s", f"LEFT JOIN (SELECT * FROM scored ORDER BY doc_id LIMIT {corpus.TOP_LIMITED_ROWS}) s")}
+SELECT category, count FROM counts""",
+    "row_limit_metrics": f"""
+WITH {SCORED}, {LIMITS}, within AS (SELECT * FROM scored JOIN numbered USING (doc_id) JOIN limits ON nth <= n)
+SELECT pct, count(doc_id) AS total_records, round(coalesce(avg(polarity), 0.0::DOUBLE), 6) AS avg_sentiment,
+       count(doc_id) FILTER (category = 'positive') AS positive_count,
+       count(doc_id) FILTER (category = 'negative') AS negative_count,
+       count(doc_id) FILTER (category = 'neutral') AS neutral_count
+FROM limits LEFT JOIN within USING (pct) GROUP BY pct""",
     "sentiment_counts": f"WITH {SCORED}, {COUNTS} SELECT category, count FROM counts",
     "sentiment_mean": f"WITH {SCORED} SELECT round(coalesce(avg(polarity), 0.0::DOUBLE), 6) AS avg_sentiment FROM scored",
     "sentiment_share": f"""
@@ -201,8 +225,19 @@ SELECT doc_id AS review_id, lower(text) AS "cleaned_reviewText", epoch_us(ts) AS
 FROM documents JOIN events ON event_id = doc_id""",
     "dedup_stream": """
 SELECT doc_id AS review_id, lower(text) AS "cleaned_reviewText" FROM documents JOIN events ON event_id = doc_id""",
+    "late_rows_stream": f"""
+WITH sent AS (SELECT doc_id, text, epoch_us(ts) AS us FROM documents JOIN events ON event_id = doc_id)
+SELECT doc_id AS review_id, lower(text) AS "cleaned_reviewText" FROM sent
+WHERE doc_id % 10 <> 0
+   OR us // 1000 > (SELECT max(us) // 1000 FROM sent WHERE doc_id % 10 <> 0) - {corpus.LATE_DELAY_SECONDS} * 1000""",
+    "restart_stream": """
+SELECT doc_id AS review_id, lower(text) AS "cleaned_reviewText" FROM documents JOIN events ON event_id = doc_id""",
+    "pipeline_stream": f"""
+WITH {SCORED}
+SELECT lower(text) AS "cleaned_reviewText", polarity, category FROM scored WHERE {KEYWORD_HIT}""",
     "quarantine_stream": """
 SELECT html AS value, 'not valid JSON' AS problem FROM pages
-UNION ALL SELECT props, 'no text' FROM events""",
+UNION ALL SELECT props, 'no text' FROM events
+UNION ALL SELECT '', 'no id' FROM benchmark""",
     "publish_new_files_stream": 'SELECT doc_id AS review_id, lower(text) AS "cleaned_reviewText" FROM documents',
 }

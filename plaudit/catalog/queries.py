@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from plaudit.catalog import corpus
 from plaudit.functions import presets
@@ -17,10 +18,10 @@ from plaudit.functions.text import (
 )
 from plaudit.operators import ingest, metrics, sampling, scoring, windows, words
 from plaudit.operators.ingest import CLEAN_TEXT
-from plaudit.plans.analysis import sweep_metrics
+from plaudit.plans.analysis import ingest as ingest_raw, limit_metrics, sweep_metrics
 from plaudit.plans.profile import text_profile
 from plaudit.session import work_dir
-from plaudit.sizing import leaves_cores_idle, rounds, spread
+from plaudit.sizing import rounds, spread
 from plaudit.sources import convert, readers, writers
 from plaudit.streaming import feed, top_words as stream
 
@@ -35,12 +36,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
+def utc(column: str) -> Column:
+    """A time without a zone as a time in UTC, whatever the session's zone."""
+    return F.concat(F.col(column).cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean texts with the time at which they are sent."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    times = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("send_ts")
-    )
+    times = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), utc("ts").alias("send_ts"))
     texts = ingest.clean_reviews(documents(spark, sf_dir), "text", keep=["doc_id"])
     return texts.join(times, "doc_id").withColumnRenamed("doc_id", "review_id")
 
@@ -94,13 +97,18 @@ def json_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_json_lines(spark, folder, f"{CLEAN_TEXT} string", glob="part-*.json")
 
 
+def _english(others: bool) -> Column:
+    """Documents in English, or all others, those without a language among them."""
+    english = F.col("lang").eqNullSafe("en")
+    return ~english if others else english
+
+
 def incremental_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Convert English texts, add the others, convert again: nothing twice, nothing left out."""
     folder = work_dir(spark, "convert")
     texts = table(spark, sf_dir, "documents").withColumn(CLEAN_TEXT, F.lower("text"))
     for others, subfolder in ((False, "first"), (True, "second")):
-        part = texts.filter((F.col("lang") != "en") if others else (F.col("lang") == "en"))
-        writers.write_parquet(part.select(CLEAN_TEXT).repartition(4), f"{folder}/source/{subfolder}")
+        writers.write_parquet(texts.filter(_english(others)).select(CLEAN_TEXT), f"{folder}/source/{subfolder}")
         convert.convert_new_files(spark, f"{folder}/source", f"{folder}/target")
     return readers.read_json_lines(spark, f"{folder}/target/data", f"{CLEAN_TEXT} string").select(CLEAN_TEXT)
 
@@ -109,8 +117,7 @@ def incremental_convert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "convert-stream")
     texts = table(spark, sf_dir, "documents").withColumn(CLEAN_TEXT, F.lower("text"))
     for others in (False, True):
-        part = texts.filter((F.col("lang") != "en") if others else (F.col("lang") == "en"))
-        part.select(CLEAN_TEXT).repartition(4).write.mode("append").parquet(f"{folder}/source")
+        texts.filter(_english(others)).select(CLEAN_TEXT).write.mode("append").parquet(f"{folder}/source")
         convert.convert_stream(spark, f"{folder}/source", f"{folder}/target", f"{folder}/checkpoint")
     return readers.read_json_lines(spark, f"{folder}/target", f"{CLEAN_TEXT} string")
 
@@ -122,27 +129,43 @@ def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def output_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size report of a written folder against what a scan of its files says."""
     folder = work_dir(spark, "size")
     writers.write_parquet(ingest_clean(spark, sf_dir), folder)
-    return readers.size_report(spark, folder, ".parquet")
+    files = (
+        readers.read_parquet(spark, folder)
+        .groupBy(F.col("_metadata.file_path"), F.col("_metadata.file_size").alias("size"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("rows"), F.sum("size").alias("scanned"))
+    )
+    report = readers.size_report(spark, folder, ".parquet")
+    return files.crossJoin(report).select(  # one row each
+        "rows", (F.col("scanned") == F.col("bytes")).alias("bytes_match"),
+        (F.col("gib") == F.col("bytes") / 1024**3).alias("gib_match"),
+    )
 
 
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per written file, from the metadata of the scan, beside the listing."""
+    """Rows per language over the listed files, and whether the scan read just those files."""
     folder = work_dir(spark, "files")
-    writers.write_parquet(documents(spark, sf_dir), folder)
+    writers.write_parquet(table(spark, sf_dir, "documents").select("doc_id", "lang"), folder)
     rows = (
         readers.read_parquet(spark, folder)
-        .groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("size"), "lang")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return readers.list_files(spark, folder, ".parquet").join(rows, "file_path", "left").select(
-        F.substring_index("path", "/", -1).alias("file"), "length", F.coalesce("rows", F.lit(0)).alias("rows")
+    listed = readers.list_files(spark, folder, ".parquet").withColumnRenamed("file_path", "listed_path")
+    return (
+        rows.join(listed, F.col("file_path") == F.col("listed_path"), "left")
+        .groupBy("lang")
+        .agg(F.sum("n").alias("rows"), F.bool_and(F.coalesce(F.col("size") == F.col("length"), F.lit(False))).alias("listed"))
     )
 
 
 def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.partition_report(table(spark, sf_dir, "documents").select("doc_id").repartition(400))
+    """Rows over all partitions and the number of partitions after a fixed repartition."""
+    report = metrics.partition_report(table(spark, sf_dir, "documents").select("doc_id").repartition(16))
+    return report.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("partitions"))
 
 
 # Filters and samples
@@ -169,7 +192,20 @@ def sample_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bernoulli_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.bernoulli_sample(table(spark, sf_dir, "documents").select("doc_id"), 0.2, seed=7)
+    """Checks of a chance sample: a subset, no row twice, the same for the same seed, about the size asked for."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    one, again = (
+        sampling.bernoulli_sample(docs, 0.2, seed=7).groupBy("doc_id").agg(F.count(F.lit(1)).alias(name))
+        for name in ("taken", "again")
+    )
+    rows = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).join(one, "doc_id", "full").join(again, "doc_id", "full")
+    n, taken, again = (F.coalesce(name, F.lit(0)) for name in ("n", "taken", "again"))
+    return rows.agg(
+        F.bool_and(taken <= n).alias("subset"),
+        F.bool_and(taken == again).alias("same_again"),
+        # Six standard deviations of the binomial.
+        (F.abs(F.sum(taken) - 0.2 * F.sum(n)) <= 6 * F.sqrt(0.16 * F.sum(n))).alias("size_fits"),
+    )
 
 
 def bernoulli_sample_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,6 +251,10 @@ def top_words_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.top_words(words.word_frequency(words.word_rows(rows, "text")))
 
 
+def row_limit_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.sweep_limits(documents(spark, sf_dir), "doc_id", "text", corpus.ROW_LIMITS)
+
+
 def stream_word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = words.word_rows(
         documents(spark, sf_dir), "text", tokens=stream_tokens, stop_words=presets.STREAM_STOP_WORDS
@@ -262,6 +302,25 @@ def sentiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.category_counts(scored(spark, sf_dir))
 
 
+def sentiment_scores_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lexicon as a table that is taken for too large to broadcast."""
+    table = scoring.lexicon_frame(spark, corpus.LEXICON)
+    return scoring.score_by_join(documents(spark, sf_dir), "doc_id", "text", table, max_broadcast_rows=0)
+
+
+def sentiment_counts_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sampling.first_rows(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", corpus.TOP_LIMITED_ROWS
+    )
+    return scoring.category_counts(with_sentiment(rows, "text", corpus.LEXICON))
+
+
+def row_limit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return limit_metrics(scored(spark, sf_dir), "doc_id", corpus.ROW_LIMITS).withColumn(
+        "avg_sentiment", F.round("avg_sentiment", 6)
+    )
+
+
 def sentiment_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.mean_sentiment(scored(spark, sf_dir)).select(F.round("avg_sentiment", 6).alias("avg_sentiment"))
 
@@ -316,10 +375,7 @@ def window_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timestamps to epoch seconds and back, to the microsecond."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    rows = table(spark, sf_dir, "events").select(
-        "event_id", epoch_seconds(F.col("ts").cast("timestamp")).alias("send_time")
-    )
+    rows = table(spark, sf_dir, "events").select("event_id", epoch_seconds(utc("ts")).alias("send_time"))
     return rows.withColumn("send_us", F.unix_micros(event_time(F.col("send_time"))))
 
 
@@ -328,90 +384,156 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reviews(spark, sf_dir)
     feed.publish(feed.envelope(rows, "review_id", send_time=epoch_seconds(F.col("send_ts"))), path=folder)
     sent = readers.read_json_lines(spark, folder, "key string, value string")
-    return feed.good_records(feed.decode(sent)).select(
+    return _numbered(feed.good_records(feed.decode(sent))).select(
         "review_id", CLEAN_TEXT, F.unix_micros("send_ts").alias("send_us")
     )
 
 
-def _feed(spark: SparkSession, sf_dir: str, folder: str, copies: int = 1) -> DataFrame:
-    """The reviews as a stream of records, replayed in the order of their times."""
+def _numbered(records: DataFrame) -> DataFrame:
+    """Ids travel as text; those of the documents are numbers."""
+    return records.withColumn("review_id", F.col("review_id").cast("bigint"))
+
+
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    """The records that a feed's files hold, as a stream."""
+    return feed.good_records(feed.decode(feed.read_feed(spark, f"{folder}/feed")))
+
+
+def _state(spark: SparkSession) -> dict:
+    """No more state partitions than cores."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return {"state_partitions": min(spark.sparkContext.defaultParallelism, shuffle)}
+
+
+def _replayed(spark: SparkSession, sf_dir: str, folder: str, start: Callable[[], StreamingQuery], copies: int = 1) -> None:
+    """The reviews in the order of their times, each step taken by a stream that goes on from its checkpoint."""
     rows = reviews(spark, sf_dir)
     if copies > 1:
         rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
     steps = rounds(table(spark, sf_dir, "documents"))
-    files = feed.stage_replay(rows, "review_id", CLEAN_TEXT, "send_ts", f"{folder}/feed", steps)
-    return feed.good_records(feed.decode(feed.read_feed(spark, f"{folder}/feed", max_files=files)))
-
-
-def _state(spark: SparkSession, sf_dir: str) -> dict:
-    """No more state partitions than cores; state in memory only where the whole table is small."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return {
-        "state_partitions": min(spark.sparkContext.defaultParallelism, shuffle),
-        "rocksdb": not leaves_cores_idle(table(spark, sf_dir, "documents")),
-    }
+    feed.replay(
+        rows, "review_id", CLEAN_TEXT, "send_ts", f"{folder}/feed", steps, lambda: start().awaitTermination()
+    )
 
 
 def window_top_words_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "stream")
-    records = _feed(spark, sf_dir, folder)
-    counted = stream.windowed_words(
-        stream.scored_records(records, corpus.LEXICON, corpus.KEYWORDS),
-        delay=f"{corpus.REPLAY_DELAY_SECONDS} seconds",
-    )
-    stream.write_top_words(counted, f"{folder}/out", f"{folder}/checkpoint", **_state(spark, sf_dir)).awaitTermination()
+
+    def start() -> StreamingQuery:
+        counted = stream.windowed_words(
+            stream.scored_records(_records(spark, folder), corpus.LEXICON, corpus.KEYWORDS),
+            delay=f"{corpus.REPLAY_DELAY_SECONDS} seconds",
+        )
+        return stream.write_top_words(counted, f"{folder}/out", f"{folder}/checkpoint", **_state(spark))
+
+    _replayed(spark, sf_dir, folder, start)
     return _epochs(windows.read_window_documents(stream.read_top_words(spark, f"{folder}/out")))
 
 
 def scored_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "scored")
-    records = _feed(spark, sf_dir, folder)
-    rows = stream.scored_records(records, corpus.LEXICON, corpus.KEYWORDS)
-    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark, sf_dir)).awaitTermination()
-    return readers.read_parquet(spark, f"{folder}/out").select(
+
+    def start() -> StreamingQuery:
+        rows = stream.scored_records(_records(spark, folder), corpus.LEXICON, corpus.KEYWORDS)
+        return stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark))
+
+    _replayed(spark, sf_dir, folder, start)
+    return _numbered(readers.read_parquet(spark, f"{folder}/out")).select(
         "review_id", CLEAN_TEXT, F.unix_micros("send_ts").alias("send_us"), "polarity", "category"
     )
 
 
+def _unique(spark: SparkSession, folder: str, delay_seconds: int) -> StreamingQuery:
+    rows = stream.without_repeats(_records(spark, folder), f"{delay_seconds} seconds")
+    return stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark))
+
+
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record is sent twice and kept once."""
     folder = work_dir(spark, "dedup")
-    records = _feed(spark, sf_dir, folder, copies=2)
-    rows = stream.without_repeats(records, f"{corpus.REPLAY_DELAY_SECONDS} seconds")
-    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark, sf_dir)).awaitTermination()
-    return readers.read_parquet(spark, f"{folder}/out").select("review_id", CLEAN_TEXT)
+    _replayed(spark, sf_dir, folder, lambda: _unique(spark, folder, corpus.REPLAY_DELAY_SECONDS), copies=2)
+    return _numbered(readers.read_parquet(spark, f"{folder}/out")).select("review_id", CLEAN_TEXT)
+
+
+def _send(rows: DataFrame, folder: str) -> None:
+    feed.publish(
+        feed.envelope(rows, "review_id", send_time=epoch_seconds(F.col("send_ts"))), path=f"{folder}/feed"
+    )
+
+
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth review comes after all others: those beyond the delay are left out."""
+    folder = work_dir(spark, "late")
+    rows = reviews(spark, sf_dir)
+    for late in (False, True):
+        _send(rows.filter((F.col("review_id") % 10 == 0) == F.lit(late)), folder)
+        _unique(spark, folder, corpus.LATE_DELAY_SECONDS).awaitTermination()
+    return _numbered(readers.read_parquet(spark, f"{folder}/out")).select("review_id", CLEAN_TEXT)
+
+
+def restart_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two thirds are sent and the stream ends; then all are sent, and it goes on from its checkpoint: none is kept twice."""
+    folder = work_dir(spark, "restart")
+    rows = reviews(spark, sf_dir)
+    for sent_again in (F.col("review_id") % 3 != 0, F.lit(True)):
+        _send(rows.filter(sent_again), folder)
+        _unique(spark, folder, corpus.WHOLE_FEED_SECONDS).awaitTermination()
+    return _numbered(readers.read_parquet(spark, f"{folder}/out")).select("review_id", CLEAN_TEXT)
+
+
+def pipeline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines -> clean Parquet -> JSON lines -> feed, sent twice -> unique scored records, with no ids of their own."""
+    folder = work_dir(spark, "whole")
+    raw = table(spark, sf_dir, "documents").select(F.to_json(F.struct(F.col("text").alias("reviewText"))).alias("value"))
+    raw.write.text(f"{folder}/raw")
+    ingest_raw(spark, f"{folder}/raw", f"{folder}/clean")
+    convert.convert_new_files(spark, f"{folder}/clean", f"{folder}/json")
+    for run in ("first", "second"):
+        feed.publish_new_files(
+            spark, f"{folder}/json/data", "review_id", f"{folder}/{run}", schema=f"review_id string, {CLEAN_TEXT} string",
+            path=f"{folder}/feed",
+        )
+    wanted = stream.wanted_records(
+        _records(spark, folder), corpus.KEYWORDS, repeats_within=f"{corpus.WHOLE_FEED_SECONDS} seconds"
+    )
+    rows = with_sentiment(wanted, CLEAN_TEXT, corpus.LEXICON)
+    stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark)).awaitTermination()
+    return readers.read_parquet(spark, f"{folder}/out").select(CLEAN_TEXT, "polarity", "category")
 
 
 def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A feed of reviews, markup (no JSON) and event properties (JSON without a text)."""
+    """A feed of reviews, markup (no JSON), event properties (JSON without a text) and reviews without an id."""
     folder = work_dir(spark, "quarantine")
     good = feed.envelope(
         reviews(spark, sf_dir), "review_id", send_time=epoch_seconds(F.col("send_ts"))
     ).select("value")
     markup = table(spark, sf_dir, "pages").select(F.col("html").alias("value"))
     other = table(spark, sf_dir, "events").select(F.col("props").alias("value"))
-    mixed = good.unionByName(markup).unionByName(other).withColumn("key", F.lit("0"))
+    nameless = table(spark, sf_dir, "benchmark").select(
+        F.to_json(F.struct(F.lit("without an id").alias(CLEAN_TEXT), F.lit(0.0).alias("send_time"))).alias("value")
+    )
+    mixed = good.unionByName(markup).unionByName(other).unionByName(nameless).withColumn("key", F.lit("0"))
     feed.publish(mixed.select("key", "value"), path=f"{folder}/feed")
-    decoded = feed.decode(feed.read_feed(spark, f"{folder}/feed", max_files=8))
+    decoded = feed.decode(feed.read_feed(spark, f"{folder}/feed"))
     stream.write_rows(
-        feed.quarantined(decoded), f"{folder}/bad", f"{folder}/checkpoint", **_state(spark, sf_dir)
+        feed.quarantined(decoded), f"{folder}/bad", f"{folder}/checkpoint", **_state(spark)
     ).awaitTermination()
-    return readers.read_parquet(spark, f"{folder}/bad")
+    return readers.read_parquet(spark, f"{folder}/bad").select(
+        F.when(F.col("problem") == "no id", "").otherwise(F.col("value")).alias("value"), "problem"
+    )
 
 
 def publish_new_files_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean JSON files sent on as records, a few files per micro-batch, each file once."""
+    """Clean JSON files sent on as records, a bounded number per micro-batch, each file once."""
     folder = work_dir(spark, "resend")
     rows = ingest.clean_reviews(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
-    writers.write_json_lines(
-        rows.withColumnRenamed("doc_id", "review_id").repartition(4), f"{folder}/source"
-    )
+    writers.write_json_lines(rows.withColumnRenamed("doc_id", "review_id"), f"{folder}/source")
     for _ in range(2):
         feed.publish_new_files(
-            spark, f"{folder}/source", "review_id", f"{folder}/checkpoint", files_per_batch=2, path=f"{folder}/sent"
+            spark, f"{folder}/source", "review_id", f"{folder}/checkpoint", path=f"{folder}/sent"
         )
     sent = readers.read_json_lines(spark, f"{folder}/sent", "key string, value string")
-    return feed.good_records(feed.decode(sent)).select("review_id", CLEAN_TEXT)
+    return _numbered(feed.good_records(feed.decode(sent))).select("review_id", CLEAN_TEXT)
 
 
 QUERIES: dict[str, Query] = {
@@ -422,12 +544,14 @@ QUERIES: dict[str, Query] = {
         exclude_texts, keyword_filter, keyword_filter_whole_word, default_keyword_filter,
         sample_fraction, bernoulli_sample, bernoulli_sample_all,
         word_frequency, word_frequency_sorted, word_frequency_with_empty, word_frequency_stripped,
-        word_frequency_stop_table, top_words, top_words_limited, stream_word_frequency,
+        word_frequency_stop_table, top_words, top_words_limited, row_limit_words,
+        stream_word_frequency,
         fraction_sweep, fraction_sweep_range_join, fraction_tables,
-        sentiment_scores, sentiment_scores_arrow, sentiment_scores_join, sentiment_counts,
+        sentiment_scores, sentiment_scores_arrow, sentiment_scores_join,
+        sentiment_scores_salted, sentiment_counts, sentiment_counts_limited, row_limit_metrics,
         sentiment_mean, sentiment_share, run_metrics, fraction_metrics, profile, run_compare,
         window_word_counts, window_top_words, event_times, publish_roundtrip,
-        window_top_words_stream, scored_records_stream, dedup_stream, quarantine_stream,
-        publish_new_files_stream,
+        window_top_words_stream, scored_records_stream, dedup_stream, late_rows_stream, restart_stream,
+        quarantine_stream, publish_new_files_stream, pipeline_stream,
     )
 }

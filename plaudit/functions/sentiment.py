@@ -13,7 +13,6 @@ the order of the rows and every form of the scorer gives the same double.
 from __future__ import annotations
 
 import math
-import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
@@ -23,10 +22,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plaudit.functions import presets
 from plaudit.functions.text import letter_words
-from plaudit.sizing import BROADCAST_MAX_ROWS
 
-# Beyond this many entries the Arrow form beats nested lookups in an expression.
-NATIVE_MAX_ENTRIES = 256
+#: Words that a plan carries; a longer list is a table, for ``operators.scoring.score_by_join``.
+IN_MEMORY_WORDS = 20_000
 
 
 @dataclass(frozen=True)
@@ -42,7 +40,7 @@ class Lexicon:
         return cls(presets.STARTER_POLARITY, presets.STARTER_INTENSITY, presets.STARTER_NEGATIONS)
 
     @classmethod
-    def from_table(cls, table: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Lexicon:
+    def from_table(cls, table: DataFrame, max_rows: int = IN_MEMORY_WORDS) -> Lexicon:
         """Fetch a table in the shape of :func:`lexicon_table`, if it is of bounded size."""
         rows = table.select("word", "polarity", "intensity", "negates").limit(max_rows + 1).collect()
         if len(rows) > max_rows:
@@ -139,8 +137,8 @@ def native_hits(words: Column, lexicon: Lexicon) -> Column:
     return F.filter(F.transform(words, units), lambda unit: unit.isNotNull())
 
 
-def arrow_polarity(text: Column, lexicon: Lexicon) -> Column:
-    """The same rule on Arrow batches, for lexicons too large for an expression.
+def arrow_polarity(words: Column, lexicon: Lexicon) -> Column:
+    """The same rule on Arrow batches of the words that :func:`letter_words` cuts, so that all forms see the same.
 
     The function carries plain dictionaries only, so workers need no copy of this package.
     """
@@ -148,7 +146,7 @@ def arrow_polarity(text: Column, lexicon: Lexicon) -> Column:
     negating = set(lexicon.negations)
     factor, unit = presets.NEGATION_FACTOR, float(presets.SCORE_UNIT)
 
-    def units(words: list[str]) -> tuple[int, int]:
+    def units(words: Iterable[str]) -> tuple[int, int]:
         total = hits = 0
         p1 = p2 = ""
         for word in words:
@@ -162,44 +160,38 @@ def arrow_polarity(text: Column, lexicon: Lexicon) -> Column:
             p1, p2 = word, p1
         return total, hits
 
-    # LETTER_WORD in Python's notation, except that a word character may also be a numeral sign.
-    find_words = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*").findall
-
-    def words_of(value: str) -> list[str]:
-        words = find_words(value)
-        if value.isascii() or all(word.replace("'", "").isalpha() for word in words):
-            return words
-        return find_words("".join(c if c.isalpha() or c == "'" else " " for c in value))
-
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             scores = []
             for value in batch:
-                total, hits = units(words_of(value or ""))
+                total, hits = units(() if value is None else value)
                 scores.append(float(total) / (hits * unit) if hits else 0.0)
             yield pd.Series(scores, dtype="float64")
 
     score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(score, "double")(F.lower(text))
+    return F.pandas_udf(score, "double")(words)
 
 
 def plugin_polarity(text: Column, scorer: Callable[[str], float]) -> Column:
-    """Any Python scorer, on Arrow batches. No text, blank text and errors score 0.0."""
+    """Any Python scorer, on Arrow batches: a struct of ``polarity`` and ``failed``.
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def one(value: str | None) -> float:
+    No text and blank text score 0.0. So does a text on which the scorer fails, and it says so.
+    """
+
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def one(value: str | None) -> tuple[float, bool]:
             if not value or not value.strip():
-                return 0.0
+                return 0.0, False
             try:
-                return float(scorer(value))
+                return float(scorer(value)), False
             except Exception:
-                return 0.0
+                return 0.0, True
 
         for batch in batches:
-            yield pd.Series([one(value) for value in batch], dtype="float64")
+            yield pd.DataFrame([one(value) for value in batch], columns=["polarity", "failed"])
 
-    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(score, "double")(text)
+    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(score, "polarity double, failed boolean")(text)
 
 
 def with_sentiment(
@@ -207,22 +199,23 @@ def with_sentiment(
     text: str,
     lexicon: Lexicon | None = None,
     scorer: Callable[[str], float] | None = None,
-    form: str = "auto",
+    form: str = "native",
 ) -> DataFrame:
     """Add ``polarity`` and ``category`` row by row: no shuffle, batch or stream.
 
-    ``form`` is "native" (expressions), "arrow" (the same rule on Arrow batches) or
-    "auto", which takes the native form for short lexicons. ``scorer`` plugs in
-    another scorer instead of the lexicon.
+    ``form`` is "native" (expressions, at any size of the lexicon) or "arrow" (the same rule on Arrow
+    batches); both give the same double. ``scorer`` plugs in another scorer instead of the lexicon, and
+    adds ``scorer_failed``, so that failures are counted and not taken for neutral texts.
     """
     if scorer is not None:
-        scored = df.withColumn("polarity", plugin_polarity(F.col(text), scorer))
+        kept = df.columns
+        scored = df.withColumn("_scored", plugin_polarity(F.col(text), scorer)).select(
+            *kept, F.col("_scored.polarity").alias("polarity"), F.col("_scored.failed").alias("scorer_failed")
+        )
         return scored.withColumn("category", category(F.col("polarity")))
     lexicon = lexicon or Lexicon.starter()
-    if form == "auto":
-        form = "native" if len(lexicon.polarity) <= NATIVE_MAX_ENTRIES else "arrow"
     if form == "arrow":
-        scored = df.withColumn("polarity", arrow_polarity(F.col(text), lexicon))
+        scored = df.withColumn("polarity", arrow_polarity(letter_words(F.col(text)), lexicon))
         return scored.withColumn("category", category(F.col("polarity")))
     if form != "native":
         raise ValueError(f"unknown form {form!r}")

@@ -16,60 +16,104 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None) ->
 
 
 def hash_percent(key: str) -> Column:
-    """A row's place in 0..99, from its key alone."""
-    return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % 100
+    """A row's place in 0..99, from its key alone; a row without a key has the place of the empty text."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100
+
+
+def checked_percents(percents: Iterable[int]) -> list[int]:
+    """The sample sizes in order, each once; a size outside 0 to 100 is an error."""
+    sizes = sorted(set(percents))
+    if any(not 0 <= size <= 100 for size in sizes):
+        raise ValueError(f"sample sizes are whole percents from 0 to 100, not {sizes}")
+    return sizes
 
 
 def hash_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
     """A reproducible sample: the same rows for every partitioning, smaller ones inside larger ones."""
-    return df.filter(hash_percent(key) < percent)
+    return df.filter(hash_percent(key) < checked_percents([percent])[0])
+
 
+#: Keys that are drawn to the driver to place a bound.
+KEY_SAMPLE = 10_000
 
-def any_rows(df: DataFrame, n: int) -> DataFrame:
-    """Some n rows, whichever come first."""
-    return df.limit(n)
+
+def nth_key(df: DataFrame, key: str, n: int):
+    """The n-th smallest key, or None if there are no more than ``n``.
+
+    A bounded sample of keys gives a bound a little above the n-th, which is checked by a
+    count; only the keys up to it, about ``n``, are then ordered.
+    """
+    keys = df.select(key).filter(F.col(key).isNotNull())
+    total = keys.count()
+    if n >= total:
+        return None
+    drawn = sorted(row[0] for row in keys.sample(min(1.0, KEY_SAMPLE / total), seed=0).collect())
+    share = n / total
+    place = int((share + 4 * (share * (1 - share) / max(len(drawn), 1)) ** 0.5) * len(drawn)) + 1
+    near = keys.filter(F.col(key) <= F.lit(drawn[place])) if place < len(drawn) else keys
+    if near.count() < n:
+        near = keys
+    return near.orderBy(key).limit(n).agg(F.max(key)).first()[0]
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The n rows with the smallest (unique) keys.
+    """The n rows with the smallest (unique) keys; rows without a key have no place and are not among them.
 
     Only keys travel to find the n-th one; the texts stay in place and the bound
     reaches the scan as a filter.
     """
     if n <= 0:
         return df.filter(F.lit(False))
-    last = df.select(key).orderBy(key).limit(n).agg(F.max(key).alias("last"))
-    return df.filter(F.col(key) <= last.scalar())
+    last = nth_key(df, key, n)
+    return df.filter(F.col(key).isNotNull() if last is None else F.col(key) <= F.lit(last))
 
 
 def smallest_level(key: str, percents: Iterable[int]) -> Column:
     """The smallest sample size that contains the row; null if none does."""
     place = hash_percent(key)
-    return F.coalesce(*[F.when(place < percent, F.lit(percent)) for percent in sorted(set(percents))])
+    return F.coalesce(*[F.when(place < percent, F.lit(percent)) for percent in checked_percents(percents)])
 
 
-def sweep_word_frequency(
-    df: DataFrame, key: str, text: str, percents: Iterable[int] = presets.FRACTIONS, **word_options
-) -> DataFrame:
-    """(pct, word, frequency) for every sample size, from one scan and one shuffle.
+def smallest_limit(df: DataFrame, key: str, limits: dict[int, int]) -> Column:
+    """The smallest label of ``limits`` (label: first rows by key) that contains the row; null if none does."""
+    levels = []
+    for label, n in sorted(limits.items()):
+        last = nth_key(df, key, n)
+        levels.append(F.when(F.col(key).isNotNull() if last is None else F.col(key) <= F.lit(last), F.lit(label)))
+    return F.coalesce(*levels)
 
-    A row is counted once, under the smallest size that holds it. The counts of all
-    sizes sit side by side on the word, so the running sums need no second shuffle.
+
+def words_by_level(leveled: DataFrame, text: str, levels: Iterable[int], name: str = "pct", **word_options) -> DataFrame:
+    """(pct, word, frequency) for rows marked with ``_level``, the smallest sample that holds them.
+
+    A row is counted once, under its level. The counts of all samples sit side by side on the word, so
+    the running sums need no second shuffle.
     """
-    percents = sorted(set(percents))
-    leveled = df.withColumn("_level", smallest_level(key, percents)).filter(F.col("_level").isNotNull())
-    words = word_rows(leveled, text, keep=["_level"], **word_options)
+    levels = sorted(set(levels))
+    words = word_rows(leveled.filter(F.col("_level").isNotNull()), text, keep=["_level"], **word_options)
     counted = words.groupBy("word").agg(
-        *[F.count_if(F.col("_level") <= percent).alias(f"n_{percent}") for percent in percents]
+        *[F.count_if(F.col("_level") <= level).alias(f"n_{level}") for level in levels]
     )
     pairs = F.array(
-        *[F.struct(F.lit(percent).alias("pct"), F.col(f"n_{percent}").alias("frequency")) for percent in percents]
-    )
-    return (
-        counted.select("word", F.inline(pairs))
-        .filter(F.col("frequency") > 0)
-        .select("pct", "word", "frequency")
+        *[F.struct(F.lit(level).alias(name), F.col(f"n_{level}").alias("frequency")) for level in levels]
     )
+    return counted.select("word", F.inline(pairs)).filter(F.col("frequency") > 0).select(name, "word", "frequency")
+
+
+def sweep_word_frequency(
+    df: DataFrame, key: str, text: str, percents: Iterable[int] = presets.FRACTIONS, **word_options
+) -> DataFrame:
+    """(pct, word, frequency) for every sample size, from one scan and one shuffle."""
+    percents = checked_percents(percents)
+    return words_by_level(df.withColumn("_level", smallest_level(key, percents)), text, percents, **word_options)
+
+
+def sweep_limits(
+    df: DataFrame, key: str, text: str, limits: dict[int, int] = presets.ROW_LIMITS, **word_options
+) -> DataFrame:
+    """(pct, word, frequency) for every row limit, from one scan and one shuffle after the bounds are found."""
+    return words_by_level(df.withColumn("_level", smallest_limit(df, key, limits)), text, limits, **word_options)
 
 
 def sweep_by_range_join(
@@ -77,15 +121,26 @@ def sweep_by_range_join(
 ) -> DataFrame:
     """The same sweep for sample sizes given as a table ``fractions(pct)``.
 
-    The texts are counted per (place, word) first; only those counts meet the
-    fractions in the range join ``place < pct``.
+    Each of the 100 places is given the smallest size that holds it; texts are counted per (size, word), and only
+    those counts meet the sizes in the range join. A size that is null or outside 0 to 100 is an error.
     """
-    words = word_rows(df.withColumn("_place", hash_percent(key)), text, keep=["_place"], **word_options)
-    counted = words.groupBy("_place", "word").agg(F.count("*").alias("n"))
+    size = F.col("pct").cast("int")
     # Sizes are whole percents, so at most 101 rows are broadcast, whatever the table holds.
-    sizes = fractions.select(F.col("pct").cast("int")).filter("pct between 0 and 100").distinct()
+    sizes = fractions.select(
+        F.when(size.between(0, 100), size)
+        .otherwise(F.raise_error(F.concat(F.lit("no whole percent from 0 to 100: "), F.coalesce(size.cast("string"), F.lit("null")))))
+        .cast("int").alias("pct")
+    ).distinct()
+    places = df.sparkSession.range(100).select(F.col("id").alias("_place"))
+    levels = places.join(F.broadcast(sizes), F.col("_place") < F.col("pct")).groupBy("_place").agg(
+        F.min("pct").alias("_level")
+    )
+    leveled = df.withColumn("_place", hash_percent(key)).join(F.broadcast(levels), "_place")
+    counted = word_rows(leveled, text, keep=["_level"], **word_options).groupBy("_level", "word").agg(
+        F.count("*").alias("n")
+    )
     return (
-        counted.join(F.broadcast(sizes), F.col("_place") < F.col("pct"))
+        counted.join(F.broadcast(sizes), F.col("_level") <= F.col("pct"))
         .groupBy("pct", "word")
         .agg(F.sum("n").alias("frequency"))
     )

@@ -61,42 +61,45 @@ def score_by_join(
 ) -> DataFrame:
     """(key, polarity, category) for every row, with the lexicon as a table of any size.
 
-    Each word carries its two predecessors, so no window is needed. A text's words
-    lie in one task, where they shrink to one (key, sum, hits) row before the
-    shuffle; the text itself never moves. Texts without known words stay in.
+    Each word carries its two predecessors, so no window is needed. Words of the corpus meet the
+    words with a polarity in an inner join; only known words go on to the modifiers and negations, a
+    part of the table with its own size check. A text's words lie in one task, where they
+    shrink to one (key, sum, hits) row before the shuffle; the text itself never
+    moves. Texts without known words come back by key, which must not be null.
     """
-    small = is_small(table, max_broadcast_rows)
     words = (
         df.select(key, letter_words(F.col(text)).alias("_words"))
         .select(key, F.explode(with_neighbours(F.col("_words"))).alias("x"))
         .select(key, F.col("x.w").alias("w"), F.col("x.p1").alias("p1"), F.col("x.p2").alias("p2"))
+        .filter(F.col("w").isNotNull())
     )
+    opinions = table.filter(F.col("polarity").isNotNull())
+    before = table.filter(F.col("intensity").isNotNull() | F.col("negates"))
+    few_opinions, few_before = (is_small(side, max_broadcast_rows) for side in (opinions, before))
 
-    def lookup(rows: DataFrame, column: str, **wanted: str) -> DataFrame:
+    def lookup(rows: DataFrame, side: DataFrame, column: str, small: bool, how: str, **wanted: str) -> DataFrame:
         values = [F.col(source).alias(name) for name, source in wanted.items()]
-        side = table.select(F.col("word").alias(column), *values)
-        return lookup_join(rows, side, column, salt_by=key, small=small)
-
-    known = lookup(words, "w", _polarity="polarity")
-    # Only known words go on, and the entries without a word, which keep every text in.
-    known = known.filter(F.col("_polarity").isNotNull() | F.col("w").isNull())
-    known = lookup(known, "p1", _intensity="intensity", _neg1="negates")
-    known = lookup(known, "p2", _neg2="negates")
+        return lookup_join(rows, side.select(F.col("word").alias(column), *values), column, key, small, how)
+
+    known = lookup(words, opinions, "w", few_opinions, "inner", _polarity="polarity")
+    known = lookup(known, before, "p1", few_before, "left", _intensity="intensity", _neg1="negates")
+    known = lookup(known, before, "p2", few_before, "left", _neg2="negates")
     negated = is_negated(
         F.coalesce("_neg1", F.lit(False)),
         F.col("_intensity").isNotNull(),
         F.coalesce("p1", F.lit("")),
         F.coalesce("_neg2", F.lit(False)),
     )
-    units = F.when(
-        F.col("_polarity").isNotNull(),
-        hit_units(F.col("_polarity"), F.coalesce("_intensity", F.lit(1.0)), negated),
-    )
-    return (
+    units = hit_units(F.col("_polarity"), F.coalesce("_intensity", F.lit(1.0)), negated)
+    sums = (
         known.select(key, units.alias("_units"))
         .groupBy(key)
         .agg(F.sum("_units").alias("_sum"), F.count("_units").alias("_hits"))
-        .select(key, mean_polarity(F.col("_sum"), F.col("_hits")).alias("polarity"))
+    )
+    return (
+        df.select(key)
+        .join(sums, key, "left")
+        .select(key, F.coalesce(mean_polarity(F.col("_sum"), F.col("_hits")), F.lit(0.0)).alias("polarity"))
         .withColumn("category", category(F.col("polarity")))
     )
 

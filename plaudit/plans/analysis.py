@@ -12,17 +12,27 @@ from plaudit.functions import presets
 from plaudit.functions.sentiment import Lexicon, with_sentiment
 from plaudit.operators.ingest import CLEAN_TEXT, clean_reviews, exclude_texts, non_blank
 from plaudit.operators.metrics import observed, partition_count, sentiment_measures, with_rates
-from plaudit.operators.sampling import bernoulli_sample, first_rows, hash_sample, smallest_level, sweep_word_frequency
+from plaudit.operators.sampling import (
+    bernoulli_sample, checked_percents, first_rows, hash_sample, smallest_level, smallest_limit, sweep_word_frequency,
+)
 from plaudit.operators.words import ranked, top_words, word_frequency, word_rows
 from plaudit.sizing import leaves_cores_idle, spread
-from plaudit.sources.readers import CORRUPT, in_memory, read_json_lines, size_report
+from plaudit.operators.scoring import score_by_join
+from plaudit.sources.readers import CORRUPT, REVIEW_ID, in_memory, read_json_lines, read_reviews, size_report
 from plaudit.sources.writers import write_parquet, write_partitions, write_report
 
 
-def ingest(spark: SparkSession, source: str, target: str, text: str = "reviewText") -> dict:
-    """Raw JSON lines to clean Parquet; returns the counts, taken while writing."""
+def ingest(
+    spark: SparkSession, source: str, target: str, text: str = "reviewText", id_column: str | None = None
+) -> dict:
+    """Raw JSON lines to clean Parquet; returns the counts, taken while writing.
+
+    A unique id in the raw lines is kept as ``review_id``. Without one, a review's id is its
+    place in the clean files, which every reader derives alike (``readers.read_reviews``).
+    """
+    fields = f"{text} string" + (f", `{id_column}` string" if id_column else "")
     raw, seen = observed(
-        read_json_lines(spark, source, f"{text} string", with_corrupt=True),
+        read_json_lines(spark, source, fields, with_corrupt=True),
         "ingest-raw",
         [
             F.count(F.lit(1)).alias("lines"),
@@ -30,7 +40,8 @@ def ingest(spark: SparkSession, source: str, target: str, text: str = "reviewTex
             F.count_if(F.col(text).isNull() & F.col(CORRUPT).isNull()).alias("without_text"),
         ],
     )
-    write_parquet(clean_reviews(raw, text), target)
+    kept = raw.withColumn(REVIEW_ID, F.col(id_column)) if id_column else raw
+    write_parquet(clean_reviews(kept, text, keep=[REVIEW_ID] if id_column else []), target)
     size = size_report(spark, target, ".parquet").first()
     counts = dict(seen.get)
     return {
@@ -41,6 +52,13 @@ def ingest(spark: SparkSession, source: str, target: str, text: str = "reviewTex
     }
 
 
+def scored_by(rows: DataFrame, text: str, lexicon: Lexicon | DataFrame | None, scorer=None) -> DataFrame:
+    """Rows (with ``review_id``) scored by word lists, by a table of words of any size, or by a plug-in."""
+    if isinstance(lexicon, DataFrame):
+        return rows.join(score_by_join(rows, REVIEW_ID, text, lexicon), REVIEW_ID)
+    return with_sentiment(rows, text, lexicon, scorer)
+
+
 def run_analysis(
     spark: SparkSession,
     source: str,
@@ -49,7 +67,7 @@ def run_analysis(
     key: str | None = None,
     seed: int = 0,
     limit: int | None = None,
-    lexicon: Lexicon | None = None,
+    lexicon: Lexicon | DataFrame | None = None,
     scorer: Callable[[str], float] | None = None,
     stop_words: Iterable[str] = presets.ENGLISH_STOP_WORDS,
     placeholders: Iterable[str] = (),
@@ -65,35 +83,40 @@ def run_analysis(
     drawn by its hash, else by chance with a fixed seed, so both passes see
     the same rows; ``limit`` keeps the rows with the smallest keys. ``keep_in_memory`` caches the rows between the passes; by default
     only an input too small to busy all cores is cached, a large one is read twice.
-    Returns the metrics as one row.
+    Returns the metrics as one row: ``read_seconds`` is the time to plan the sample and, if it is kept in
+    memory, to fetch it; ``save_seconds`` that of the reports.
     """
     start = time.perf_counter()
-    rows = exclude_texts(non_blank(spark.read.parquet(source), text), text, placeholders)
+    rows = exclude_texts(non_blank(read_reviews(spark, source), text), text, placeholders)
     if percent < 100:
         rows = hash_sample(rows, key, percent) if key else bernoulli_sample(rows, percent / 100, seed)
     if limit is not None:
         if not key:
             raise ValueError("a row limit needs a key: without one the two passes could read different rows")
         rows = first_rows(rows, key, limit)
-    rows = rows.select(text)
+    rows = rows.select(*([REVIEW_ID] if isinstance(lexicon, DataFrame) else []), text)
     if keep_in_memory is None:
         keep_in_memory = leaves_cores_idle(rows)
     rows = rows.repartition(partitions) if partitions else spread(rows)
     if keep_in_memory:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        rows.write.format("noop").mode("overwrite").save()
+    read_done = time.perf_counter()
     try:
         frequency = word_frequency(word_rows(rows, text, stop_words=stop_words))
         frequency = ranked(frequency) if sort_words else frequency
         write_partitions(frequency.withColumn("pct", F.lit(percent)), f"{target}/word_frequency", "pct")
+        words_done = time.perf_counter()
         written = spark.read.schema("word string, frequency bigint, pct int").parquet(f"{target}/word_frequency")
         written = written.filter(F.col("pct") == percent)
         write_report(top_words(written.select("word", "frequency")), f"{target}/top_words/pct={percent}")
-        words_done = time.perf_counter()
+        top_done = time.perf_counter()
 
-        scored = with_sentiment(rows, text, lexicon, scorer)
+        scored = scored_by(rows, text, lexicon, scorer)
         scored, seen = observed(scored, f"analysis-{percent}", sentiment_measures())
         scored = scored.withColumnRenamed("polarity", "compound").withColumn("pct", F.lit(percent))
         write_partitions(scored, f"{target}/sentiment", "pct")
+        sentiment_done = time.perf_counter()
     finally:
         if keep_in_memory:
             rows.unpersist()
@@ -115,14 +138,17 @@ def run_analysis(
                 measures["total_records"],
                 float(measures["avg_sentiment"]),
                 *[measures[f"{name}_count"] for name in presets.CATEGORIES],
-                words_done - start,
-                done - words_done,
+                read_done - start,
+                words_done - read_done,
+                sentiment_done - top_done,
+                (top_done - words_done) + (done - sentiment_done),
                 done - start,
                 parts.first()["partition_count"],
             )
         ],
         "pct int, total_records bigint, avg_sentiment double, positive_count bigint, negative_count bigint, "
-        "neutral_count bigint, words_seconds double, sentiment_seconds double, total_seconds double, "
+        "neutral_count bigint, read_seconds double, words_seconds double, sentiment_seconds double, "
+        "save_seconds double, total_seconds double, "
         "partition_count bigint",
     )
     metrics = with_rates(metrics)
@@ -134,8 +160,17 @@ def sweep_metrics(
     scored: DataFrame, key: str, percents: Iterable[int] = presets.FRACTIONS
 ) -> DataFrame:
     """Rows, mean polarity and category counts for every sample size, from one pass."""
-    percents = sorted(set(percents))
-    leveled = scored.withColumn("_level", smallest_level(key, percents))
+    percents = checked_percents(percents)
+    return metrics_by_level(scored.withColumn("_level", smallest_level(key, percents)), percents)
+
+
+def limit_metrics(scored: DataFrame, key: str, limits: dict[int, int] = presets.ROW_LIMITS) -> DataFrame:
+    """The same for every row limit, given as label: first rows by key."""
+    return metrics_by_level(scored.withColumn("_level", smallest_limit(scored, key, limits)), sorted(limits))
+
+
+def metrics_by_level(leveled: DataFrame, percents: Iterable[int]) -> DataFrame:
+    """Measures of rows marked with ``_level``, the smallest sample that holds them."""
 
     def within(percent: int, name: str | None = None):
         inside = F.col("_level") <= percent
@@ -165,13 +200,14 @@ def run_sweep(
     target: str,
     key: str,
     percents: Iterable[int] = presets.FRACTIONS,
-    lexicon: Lexicon | None = None,
+    lexicon: Lexicon | DataFrame | None = None,
     text: str = CLEAN_TEXT,
     **word_options,
 ) -> None:
     """Word counts and measures of all sample sizes: two passes in place of one run per size."""
-    rows = spread(non_blank(spark.read.parquet(source), text).select(key, text))
+    rows = non_blank(read_reviews(spark, source), text)
+    rows = spread(rows.select(*dict.fromkeys((key, *([REVIEW_ID] if isinstance(lexicon, DataFrame) else []), text))))
     words = sweep_word_frequency(rows, key, text, percents, **word_options)
     write_partitions(words, f"{target}/word_frequency", "pct")
-    scored = with_sentiment(rows, text, lexicon)
+    scored = scored_by(rows, text, lexicon)
     write_report(sweep_metrics(scored, key, percents), f"{target}/metrics")

@@ -19,19 +19,6 @@ def leaves_cores_idle(df: DataFrame) -> bool:
     return plan_bytes(df) < cores * SPREAD_BYTES_PER_CORE and len(df.inputFiles()) < cores
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core work when the input is too small to split by itself.
-
-    A Parquet file splits no finer than its row groups, so a few small files
-    would keep one core busy and leave the others idle. Input that already holds a
-    full split or a file per core is returned as it is: on a large table nothing
-    moves. Apply it to a scan; behind a join the size estimate says little.
-    """
-    if not leaves_cores_idle(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def rounds(df: DataFrame, at_least: int = 4) -> int:
     """Into how many rounds to cut a table so that each gives every core about one split."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -5,27 +5,15 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plaudit.operators.ingest import CLEAN_TEXT
-from plaudit.sources.readers import in_memory, list_files
+from plaudit.sources.readers import REVIEW_ID, in_memory, list_files, relative_path, with_review_id
 from plaudit.sources.writers import write_partitions
 
 DONE_SCHEMA = "source_file string"
 
 
-def _relative(path: str, root: str) -> Column:
-    """The part of a file's path below the root folder: equal names in sub-folders stay apart.
-
-    A root that is spelled differently in the paths leaves them whole, which names the
-    files just as well.
-    """
-    folder = "/" + root.rstrip("/").split("://")[-1].removeprefix("file:").lstrip("/") + "/"
-    start = F.locate(folder, F.col(path))
-    below = F.substring(F.col(path), start + len(folder), F.length(path))
-    return F.when(start > 0, below).otherwise(F.col(path))
-
-
 def _done_files(spark: SparkSession, manifest: str) -> DataFrame:
     try:
         return spark.read.schema(DONE_SCHEMA).parquet(manifest)
@@ -35,10 +23,15 @@ def _done_files(spark: SparkSession, manifest: str) -> DataFrame:
         return in_memory(spark, [], DONE_SCHEMA)
 
 
+def files_per_round(spark: SparkSession) -> int:
+    """Files that keep every core busy for a while."""
+    return max(1000, 16 * spark.sparkContext.defaultParallelism)
+
+
 def pending_files(spark: SparkSession, source: str, target: str) -> DataFrame:
     """(path, source_file) of Parquet files that have not been converted: an anti join."""
     files = list_files(spark, source, ".parquet").select(
-        "path", _relative("file_path", source).alias("source_file")
+        "path", relative_path("file_path", source).alias("source_file")
     )
     return files.join(_done_files(spark, f"{target}/_manifest"), "source_file", "left_anti")
 
@@ -47,15 +40,17 @@ def convert_new_files(
     spark: SparkSession,
     source: str,
     target: str,
-    columns: tuple[str, ...] = (CLEAN_TEXT,),
-    files_per_batch: int = 1000,
+    columns: tuple[str, ...] = (REVIEW_ID, CLEAN_TEXT),
+    files_per_batch: int | None = None,
 ) -> int:
     """Convert what is pending, a bounded number of files at a time; returns the number converted.
 
     Each source file has its own partition below ``target/data``. A file is noted as
     done only after its rows are committed, and a file converted again replaces its
-    own partition, so a run that dies half-way is simply repeated.
+    own partition, so a run that dies half-way is simply repeated. Rows without a
+    ``review_id`` get their place in the source. All files have the schema of the first.
     """
+    files_per_batch = files_per_batch or files_per_round(spark)
     pending = pending_files(spark, source, target)
     count = pending.count()
     if not count:
@@ -70,14 +65,15 @@ def convert_new_files(
         .parquet(plan)
     )
     planned = spark.read.schema("source_file string, path string, batch int").parquet(plan)
+    schema = spark.read.parquet(planned.agg(F.min("path")).first()[0]).schema
     for number in range(batches):
         files = planned.filter(F.col("batch") == number).select("source_file", "path")
         paths = [row.path for row in files.collect()]
         if not paths:
             continue
-        rows = spark.read.parquet(*paths).select(
-            *columns, _relative("_metadata.file_path", source).alias("source_file")
-        )
+        scan = spark.read.schema(schema).parquet(*paths)
+        rows = with_review_id(scan.withColumn("source_file", relative_path("_metadata.file_path", source)), source)
+        rows = rows.select(*columns, "source_file")
         write_partitions(rows, f"{target}/data", "source_file", format="json")
         files.select("source_file").coalesce(1).write.mode("append").parquet(f"{target}/_manifest")
     return count
@@ -89,14 +85,17 @@ def convert_stream(
     target: str,
     checkpoint: str,
     schema: str = f"{CLEAN_TEXT} string",
-    files_per_batch: int = 1000,
+    files_per_batch: int | None = None,
 ) -> None:
     """The same as a stream that stops when nothing is new: the checkpoint remembers the files."""
-    query = (
+    rows = (
         spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFilesPerTrigger", files_per_batch or files_per_round(spark))
         .option("pathGlobFilter", "*.parquet")
         .parquet(source)
+    )
+    query = (
+        with_review_id(rows, source)
         .writeStream.format("json")
         .option("path", target)
         .option("ignoreNullFields", False)

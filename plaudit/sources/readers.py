@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CORRUPT = "_corrupt_record"
+REVIEW_ID = "review_id"
 
 
 def read_json_lines(
@@ -39,6 +40,38 @@ def read_parquet(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return reader.parquet(path)
 
 
+def row_place(root: str) -> Column:
+    """A row's file below ``root`` and its number in it: an exact id that every later read gives again.
+
+    For Parquet files, which are not changed once written.
+    """
+    return F.concat(relative_path("_metadata.file_path", root), F.lit(":"), F.col("_metadata.row_index").cast("string"))
+
+
+def relative_path(path: str, root: str) -> Column:
+    """The part of a file's path below the root folder: equal names in sub-folders stay apart.
+
+    A root that is spelled differently in the paths leaves them whole, which names the
+    files just as well.
+    """
+    folder = "/" + root.rstrip("/").split("://")[-1].removeprefix("file:").lstrip("/") + "/"
+    start = F.locate(folder, F.col(path))
+    below = F.substring(F.col(path), start + len(folder), F.length(path))
+    return F.when(start > 0, below).otherwise(F.col(path))
+
+
+def with_review_id(rows: DataFrame, root: str) -> DataFrame:
+    """Rows of a Parquet scan with a ``review_id`` as text: their own, or their place in the source."""
+    place = row_place(root)
+    own = F.coalesce(F.col(REVIEW_ID).cast("string"), place) if REVIEW_ID in rows.columns else place
+    return rows.select(own.alias(REVIEW_ID), *[name for name in rows.columns if name != REVIEW_ID])
+
+
+def read_reviews(spark: SparkSession, path: str) -> DataFrame:
+    """Clean reviews, every one with a ``review_id``."""
+    return with_review_id(spark.read.parquet(path), path)
+
+
 def list_files(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """(path, length, file_path) of all files below a folder with the suffix.
 

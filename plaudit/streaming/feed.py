@@ -6,7 +6,7 @@ so files here and a message log in production take the same code.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,7 +16,7 @@ from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.session import scoped_conf
 from plaudit.sources.readers import CORRUPT
 
-ENVELOPE = f"review_id bigint, {CLEAN_TEXT} string, send_time double"
+ENVELOPE = f"review_id string, {CLEAN_TEXT} string, send_time double"
 
 
 def envelope(
@@ -29,12 +29,14 @@ def envelope(
     """Rows as (key, value) records; ``send_time`` is in epoch seconds, by default now.
 
     The partition key comes from the review's id: a record that is sent again after a
-    failure gets the same key, lands in the same partition and can be recognised.
+    failure gets the same key, lands in the same partition and can be recognised. A review
+    without an id cannot, so it is an error.
     """
+    review_id = F.coalesce(F.col(key).cast("string"), F.raise_error(F.lit(f"a review without {key} cannot be sent")))
     stamped = F.unix_micros(F.current_timestamp()) / F.lit(1e6) if send_time is None else send_time
     value = F.to_json(
         F.struct(
-            F.col(key).cast("bigint").alias("review_id"),
+            review_id.alias("review_id"),
             F.col(text).alias(CLEAN_TEXT),
             stamped.cast("double").alias("send_time"),
         )
@@ -54,17 +56,17 @@ def publish_new_files(
     key: str,
     checkpoint: str,
     schema: str = ENVELOPE,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
     pause: str | None = None,
     format: str = "json",
     **options: str,
 ) -> None:
-    """Send JSON files as they appear, a few per micro-batch; each file is sent once.
+    """Send JSON files as they appear, a bounded number per micro-batch; each file is sent once.
 
     ``pause`` is the time between micro-batches; without it the run ends when
     nothing is new.
     """
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source)
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch or files_per_trigger(spark)).json(source)
     writer = (
         envelope(rows, key)
         .writeStream.format(format)
@@ -75,49 +77,57 @@ def publish_new_files(
     query.awaitTermination()
 
 
-def stage_replay(reviews: DataFrame, key: str, text: str, time: str, folder: str, steps: int) -> int:
-    """Lay reviews down as record files in the order of ``time``, for a stream that reads files by age.
+def files_per_trigger(spark: SparkSession) -> int:
+    """Files per micro-batch that give every core several."""
+    return 4 * spark.sparkContext.defaultParallelism
 
-    The reviews are cut into ``steps`` by time, many of the same time into several. All
-    files of a step are older than those of the next, and each step has the same
-    number of files, which is returned: a stream that takes that many at a time
-    takes whole steps, so no record is late.
+
+def replay(
+    reviews: DataFrame, key: str, text: str, time: str, folder: str, steps: int, after_step: Callable[[], None]
+) -> None:
+    """Publish reviews to ``folder`` in the order of ``time``, step by step.
+
+    ``after_step`` runs once a step lies there: a stream that stops when nothing is new and goes on
+    from its checkpoint takes whole steps, so no record is late. The reviews are sorted into steps and
+    parts once, by all cores; publishing moves nothing.
     """
     spark = reviews.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    parts = min(cores, 32)
     micros = F.unix_micros(F.col(time).cast("timestamp")).alias("_us")
     records = envelope(reviews, key, text, epoch_seconds(F.col(time)), keep=[micros, F.col(key).alias("_id")])
     (
-        records.repartitionByRange(steps * parts, "_us", "_id")
-        .withColumn("part", F.spark_partition_id())
-        .select("key", "value", "part", F.floor(F.col("part") / parts).cast("int").alias("step"))
+        records.repartitionByRange(steps * cores, "_us", "_id")
+        .select("key", "value", F.floor(F.spark_partition_id() / cores).cast("int").alias("step"))
         .write.mode("overwrite")
         .partitionBy("step")
         .parquet(f"{folder}-staged")
     )
-    staged = spark.read.schema("key string, value string, part int, step int").parquet(f"{folder}-staged")
-    # Dealt out in turn, a part of at least as many rows as files leaves no file empty.
-    fullest = staged.groupBy("step", "part").count().groupBy("step").agg(F.max("count").alias("rows"))
-    files = cores if (fullest.agg(F.min("rows")).first()[0] or 0) >= cores else 1
+    staged = spark.read.schema("key string, value string, step int").parquet(f"{folder}-staged")
     for step in range(steps):
-        rows = staged.filter(F.col("step") == step).select("key", "value")
-        publish(rows.repartition(files) if files > 1 else rows.coalesce(1), path=folder)
-    return files
+        publish(staged.filter(F.col("step") == step).select("key", "value"), path=folder)
+        after_step()
+
+
+#: Formats of files, whose streams need a schema (fixed values).
+FILE_FORMATS = ("json", "parquet", "orc", "csv", "avro")
 
 
 def read_feed(
-    spark: SparkSession, path: str | None = None, max_files: int = 1, format: str = "json", **options: str
+    spark: SparkSession, path: str | None = None, max_files: int | None = None, format: str = "json", **options: str
 ) -> DataFrame:
     """The feed as a stream of (key, value) records, a bounded amount per micro-batch.
 
-    With files, ``max_files`` is the bound. With a message log, give its format and
-    options (topic, starting point, records per batch); all of its partitions are read.
+    With files, ``max_files`` is the bound, by default as many as the cluster takes; ``options`` win over
+    it. With a message log or another source, give its format and options (topic, starting point,
+    records per batch); all of its partitions are read. A source without keys gives null keys.
     """
-    reader = spark.readStream.format(format).options(**options)
-    if path is None:
-        return reader.load().selectExpr("cast(key as string) key", "cast(value as string) value")
-    return reader.schema("key string, value string").option("maxFilesPerTrigger", max_files).load(path)
+    reader = spark.readStream.format(format)
+    if format in FILE_FORMATS:
+        bound = {"maxFilesPerTrigger": str(max_files or files_per_trigger(spark))}
+        reader = reader.schema("key string, value string").options(**bound)
+    records = reader.options(**options).load(path)
+    key = F.col("key") if "key" in records.columns else F.lit(None)
+    return records.select(key.cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
 def decode(records: DataFrame) -> DataFrame:
@@ -134,6 +144,7 @@ def decode(records: DataFrame) -> DataFrame:
         F.when(F.col("value").isNull(), "no value")
         .when(F.col(f"_r.{CORRUPT}").isNotNull() | F.col("_r").isNull(), "not valid JSON")
         .when(F.col(f"_r.{CLEAN_TEXT}").isNull(), "no text")
+        .when(F.col("_r.review_id").isNull(), "no id")
         .when(F.col("_r.send_time").isNull(), "no send time")
     )
     return parsed.select(

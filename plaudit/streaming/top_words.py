@@ -43,6 +43,18 @@ def scored_records(
     return with_sentiment(records.filter(matches_keyword(F.col(text), keywords, whole_word)), text, lexicon)
 
 
+def wanted_records(
+    records: DataFrame,
+    keywords: Iterable[str] = presets.STREAM_KEYWORDS,
+    repeats_within: str | None = None,
+    text: str = CLEAN_TEXT,
+    whole_word: bool = False,
+) -> DataFrame:
+    """Records that hold a keyword, without repeats if a delay is given: the filter spares the state the others."""
+    wanted = records.filter(matches_keyword(F.col(text), keywords, whole_word))
+    return without_repeats(wanted, repeats_within) if repeats_within else wanted
+
+
 def feed_words(
     scored: DataFrame,
     text: str = CLEAN_TEXT,
@@ -78,7 +90,6 @@ def write_top_words(
     folder: str,
     checkpoint: str,
     k: int = presets.WINDOW_TOP_WORDS,
-    rocksdb: bool = True,
     **start_options,
 ):
     """Write one nested document per finished window.
@@ -92,13 +103,13 @@ def write_top_words(
         documents = window_documents(top_per_window(batch, k))
         documents.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/batch_id={batch_id}")
 
-    conf = {**(ROCKSDB_STATE if rocksdb else {}), **start_options.pop("conf", {})}
+    conf = {**ROCKSDB_STATE, **start_options.pop("conf", {})}
     return start_stream(windows, checkpoint, lambda w: w.foreachBatch(write_batch), conf=conf, **start_options)
 
 
-def write_rows(df: DataFrame, folder: str, checkpoint: str, format: str = "parquet", rocksdb: bool = True, **start_options):
+def write_rows(df: DataFrame, folder: str, checkpoint: str, format: str = "parquet", **start_options):
     """Append every row to files exactly once: scored records, quarantined records, unique records."""
-    conf = {**(ROCKSDB_STATE if rocksdb else {}), **start_options.pop("conf", {})}
+    conf = {**ROCKSDB_STATE, **start_options.pop("conf", {})}
     return start_stream(
         df, checkpoint, lambda w: w.format(format).option("path", folder), conf=conf, **start_options
     )
