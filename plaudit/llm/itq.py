@@ -114,9 +114,12 @@ def linked(rows: DataFrame, limit: float = LIMIT) -> tuple[DataFrame, DataFrame]
         for i in range(len(unit)):
             apart = np.bitwise_count(codes ^ codes[i]).sum(axis=1)
             keep[i] = (apart <= model.value.radius).sum() > 1
-        return unit.loc[keep, ["unit", "place", "block", "id"]]
+        return unit.loc[keep, ["unit", "place", "block", "crosses", "id"]]
 
-    found = per_unit(units.select("unit", "place", "block", "id", "code"), near, "unit bigint, place int, block int, id bigint")
+    found = per_unit(
+        units.select("unit", "place", "block", "crosses", "id", "code"), near,
+        "unit bigint, place int, block int, crosses boolean, id bigint",
+    )
     # Only the rows with a near one in a bucket take their vectors there.
     vectors = rows.select("id", "embedding", "copies").join(coded.select("id", "keys"), "id")
     ranked = written(found, "itq-near").join(vectors, "id")
@@ -125,7 +128,7 @@ def linked(rows: DataFrame, limit: float = LIMIT) -> tuple[DataFrame, DataFrame]
         ids, block = unit["id"].to_numpy(), unit["block"].to_numpy()
         copies, place = unit["copies"].to_numpy(), int(unit["place"].iloc[0])
         x, keys = unit_rows(as_matrix(unit["embedding"])), np.stack(unit["keys"].to_numpy())
-        cross = block.min() != block.max()
+        cross = bool(unit["crosses"].iloc[0])
         cosines = x @ x.T
         links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
         for i in range(len(ids)):
@@ -153,7 +156,7 @@ def linked(rows: DataFrame, limit: float = LIMIT) -> tuple[DataFrame, DataFrame]
 
     pairs = written(
         per_unit(
-            ranked.select("unit", "place", "block", "id", "embedding", "copies", "keys"), rerank,
+            ranked.select("unit", "place", "block", "crosses", "id", "embedding", "copies", "keys"), rerank,
             "id bigint, links bigint, root bigint",
         ),
         "itq-links",

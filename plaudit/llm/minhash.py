@@ -43,7 +43,7 @@ LEAST_ESTIMATE = 0.6
 BLOCK_CHARS = 1 << 21
 MEMO_ENTRIES = 400_000
 #: Texts of a bucket that are compared with each other in one task.
-BUCKET_BLOCK = 512
+BUCKET_BLOCK = 256
 EMPTY = np.uint64(2**64 - 1)
 
 
@@ -178,9 +178,7 @@ def verified(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
     Only texts that occur in a pair are read again; pairs of one text lie together, so that its set is built once a task.
     """
     pairs = written(pairs.distinct(), f"{label}-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    few = is_small(ids)
-    held = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    held = texts_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), texts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets: OrderedDict[int, set[bytes]] = OrderedDict()
@@ -200,35 +198,85 @@ def verified(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
     return written(found, f"{label}-links")
 
 
-def across(members: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) of a bucket whose components differ.
+def texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts of the documents listed; a list of checked size is sent to the texts, a longer one joined."""
+    ids = ids.distinct()
+    return texts.join(F.broadcast(ids) if is_small(ids) else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def candidates(unit: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a unit its later partners: another component, this band first, a likely sketch."""
+    ids, block = unit["doc_id"].to_numpy(), unit["block"].to_numpy()
+    component = unit["component"].to_numpy()
+    marks = np.frombuffer(b"".join(unit["marks"]), np.uint8).reshape(-1, BINS)
+    bands = np.stack(unit["bands"].to_numpy())
+    at = np.flatnonzero(bands[0] == unit["band"].iloc[0])[0]
+    crosses = bool(unit["crosses"].iloc[0])
+    for i in range(len(ids)):
+        rest = np.flatnonzero((component != component[i]) & (ids > ids[i]))
+        if crosses:
+            rest = rest[block[rest] != block[i]]
+        rest = rest[~(bands[rest, :at] == bands[i, :at]).any(axis=1)]
+        rest = rest[(marks[rest] == marks[i]).mean(axis=1) >= LEAST_ESTIMATE]
+        if len(rest):
+            yield i, rest
+
+
+def across(members: DataFrame, sketch: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+    """Links (a, b) between the components that meet in a bucket, enough to join all that are linked.
 
     ``members`` are (band, doc_id, component, size of the bucket). Buckets of more than
     ``BUCKET_BLOCK`` texts are cut into blocks, and each pair of blocks is a unit of work, so
-    that no task holds more than two blocks. A pair of several buckets is reported by its first.
+    that no task holds more than two blocks. Sketches first say which rows have a partner at all; only
+    these take their texts to the unit, where partners are compared. Pairs are not written out: a unit yields
+    the links of a spanning forest.
     """
-    units = cut(members, "band", "doc_id", "size", BUCKET_BLOCK).join(sketch, "doc_id").select(
-        "unit", "band", "block", "doc_id", "component", "bands", "marks"
+    columns = ["unit", "band", "block", "crosses", "doc_id", "component", "bands", "marks"]
+    units = cut(members, "band", "doc_id", "size", BUCKET_BLOCK).join(sketch, "doc_id").select(*columns)
+
+    def likely_rows(unit: pd.DataFrame) -> pd.DataFrame:
+        keep = np.zeros(len(unit), bool)
+        for i, rest in candidates(unit):
+            keep[i] = keep[rest] = True
+        return unit.loc[keep, columns]
+
+    found = written(
+        per_unit(
+            units, likely_rows,
+            "unit bigint, band bigint, block int, crosses boolean, doc_id bigint, component bigint, "
+            "bands array<bigint>, marks binary",
+        ),
+        f"{label}-likely",
     )
 
     def compare(unit: pd.DataFrame) -> pd.DataFrame:
-        ids, block = unit["doc_id"].to_numpy(), unit["block"].to_numpy()
-        component = unit["component"].to_numpy()
-        marks = np.frombuffer(b"".join(unit["marks"]), np.uint8).reshape(-1, BINS)
-        bands = np.stack(unit["bands"].to_numpy())
-        at = np.flatnonzero(bands[0] == unit["band"].iloc[0])[0]
-        cross = block.min() != block.max()
-        found = []
-        for i in range(len(ids)):
-            rest = np.flatnonzero((component != component[i]) & (ids > ids[i]))
-            if cross:
-                rest = rest[block[rest] != block[i]]
-            rest = rest[~(bands[rest, :at] == bands[i, :at]).any(axis=1)]
-            rest = rest[(marks[rest] == marks[i]).mean(axis=1) >= LEAST_ESTIMATE]
-            found += [(ids[i], j) for j in ids[rest]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return per_unit(units, compare, "a bigint, b bigint")
+        ids, memo = unit["doc_id"].to_numpy(), WordHashes()
+        sets = [np.unique(shingle_hashes([words_of(text)], memo)[0]) for text in unit["text"]]
+        root: dict[int, int] = {c: c for c in unit["component"].tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        links = []
+        component = unit["component"].tolist()
+        for i, rest in candidates(unit):
+            for j in rest.tolist():
+                a, b = find(component[i]), find(component[j])
+                small, large = sorted((len(sets[i]), len(sets[j])))
+                if a == b or 100 * small < PERCENT * large:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= PERCENT * (small + large - common) and similar(
+                    shingle_set(unit["text"].iloc[i]), shingle_set(unit["text"].iloc[j])
+                ):
+                    links.append((ids[i], ids[j]))
+                    root[max(a, b)] = min(a, b)
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    with_texts = found.join(texts_of(found.select("doc_id"), texts), "doc_id").select(*columns, "text")
+    return written(per_unit(with_texts, compare, "a bigint, b bigint"), f"{label}-links")
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -258,7 +306,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     mixed_buckets = rest.groupBy("band").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
     ).filter("least <> most").select("band")
-    more = verified(across(rest.join(mixed_buckets, "band", "left_semi"), sketch), docs, "near-rest")
+    more = across(rest.join(mixed_buckets, "band", "left_semi"), sketch, docs, "near-rest")
     if not more.isEmpty():
         found = components(links.union(more), "near-all")
     named = classes.select("content", F.col("doc_id").alias("id")).join(found, "id", "left").select(

@@ -10,16 +10,17 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def cut(members: DataFrame, bucket: str, row: str, size: str, limit: int) -> DataFrame:
-    """Adds (unit, block): every two rows of a bucket meet in one unit of at most two blocks.
+    """Adds (unit, block, crosses): every two rows of a bucket meet in one unit of at most two blocks.
 
     A bucket of at most ``limit`` rows is one unit. A larger one is cut into blocks by a hash of ``row``,
-    and each pair of blocks (a block with itself too) is a unit; rows are copied once per block.
+    and each pair of blocks (a block with itself too) is a unit; rows are copied once per block. Of a
+    unit that ``crosses``, only the pairs from different blocks are its own.
     """
     blocks = F.ceil(F.col(size) / limit).cast("int")
     block = F.pmod(F.xxhash64(row), blocks).cast("int")
     dealt = members.withColumn("block", block).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     unit = F.xxhash64(bucket, F.least("block", "_other"), F.greatest("block", "_other"))
-    return dealt.withColumn("unit", unit).drop("_other")
+    return dealt.withColumn("unit", unit).withColumn("crosses", F.col("block") != F.col("_other")).drop("_other")
 
 
 def per_unit(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, *order: str) -> DataFrame:
