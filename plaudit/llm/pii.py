@@ -141,8 +141,10 @@ def found_in(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         matches(F.col("_text"), CANDIDATE, lambda value: F.lit(True)),
         lambda m: F.struct(m["start"], m["end"], m["value"], lexical(m["before"]).alias("pattern")),
     )
-    return docs.select(F.col(doc_id).alias("doc_id"), body.alias("_text")).select(
-        "doc_id", F.xxhash64("_text").alias("text_key"), base.alias("base"), others.alias("candidates")
+    # Every pattern needs a digit or an at sign; a text without them is not searched further.
+    searched = F.when(body.rlike("[0-9@]"), body).otherwise(F.lit(""))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("text_key"), searched.alias("_text")).select(
+        "doc_id", "text_key", base.alias("base"), others.alias("candidates")
     )
 
 
