@@ -5,13 +5,17 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from plaudit.session import work_dir
 
 #: A word: a run of anything but ASCII white space (fixed value).
 WORD = r"[^\x20\x09-\x0D]+"
+#: Characters of texts that are worked on together.
+BLOCK_CHARS = 1 << 21
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,17 +35,22 @@ def per_text(
 ) -> DataFrame:
     """One row per document, computed from its whole text; null texts count as empty.
 
-    ``prepare`` runs once per task and returns a function from (ids, texts) to the columns of ``schema``.
+    ``prepare`` runs once per task and returns a function from (ids, texts) to the columns of ``schema``, in order.
+    It gets a bounded block of texts at a time, so that results of a batch of long texts don't pile up.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    types = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
         for batch in batches:
-            ids = batch.iloc[:, 0]
-            texts = [t if isinstance(t, str) else "" for t in batch.iloc[:, 1]]
-            yield pd.DataFrame(work(ids, texts))
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for start, end in blocks(texts, BLOCK_CHARS):
+                out = work(batch.column(0).slice(start, end - start), texts[start:end])
+                columns = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for f, v in zip(types, out.values())]
+                yield pa.RecordBatch.from_arrays(columns, schema=types)
 
-    return df.select(id_col, text_col).mapInPandas(run, schema)
+    return df.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def remainder(doc_id: str, mod: int) -> Column:

@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from plaudit.llm.common import blocks, per_text, written
+from plaudit.llm.common import per_text, written
 from plaudit.llm.components import components
 from plaudit.llm.units import cut, per_unit
 from plaudit.sizing import is_small
@@ -40,7 +40,6 @@ PERCENT = 75
 BANDS, DEEP = 40, 5
 BINS = BANDS * DEEP
 LEAST_ESTIMATE = 0.6
-BLOCK_CHARS = 1 << 21
 MEMO_ENTRIES = 400_000
 #: Texts of a bucket that are compared with each other in one task.
 BUCKET_BLOCK = 256
@@ -121,21 +120,20 @@ def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
         def work(ids, texts):
             out = {doc_id: ids, "n_shingles": [], "content": [], "bands": [], "marks": []}
-            for start, end in blocks(texts, BLOCK_CHARS):
-                words = [words_of(text) for text in texts[start:end]]
-                hashes, counts = shingle_hashes(words, memo)
-                bins = sketches(hashes, counts)
-                bands = np.zeros((len(words), BANDS), np.uint64)
-                for k, odd in enumerate(BAND_ODD):
-                    bands += bins[:, k::DEEP] * odd
-                bands = mixed(bands + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-                marks = (bins & np.uint64(0xFF)).astype(np.uint8)
-                at = np.cumsum(counts)
-                for i, (count, last) in enumerate(zip(counts.tolist(), at.tolist())):
-                    out["n_shingles"].append(len(np.unique(hashes[last - count : last])))
-                    out["content"].append(hashlib.blake2b(b" ".join(words[i]), digest_size=16).digest())
-                    out["bands"].append(bands[i])
-                    out["marks"].append(marks[i].tobytes())
+            words = [words_of(text) for text in texts]
+            hashes, counts = shingle_hashes(words, memo)
+            bins = sketches(hashes, counts)
+            bands = np.zeros((len(words), BANDS), np.uint64)
+            for k, odd in enumerate(BAND_ODD):
+                bands += bins[:, k::DEEP] * odd
+            bands = mixed(bands + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+            marks = (bins & np.uint64(0xFF)).astype(np.uint8)
+            at = np.cumsum(counts)
+            for i, (count, last) in enumerate(zip(counts.tolist(), at.tolist())):
+                out["n_shingles"].append(len(np.unique(hashes[last - count : last])))
+                out["content"].append(hashlib.blake2b(b" ".join(words[i]), digest_size=16).digest())
+                out["bands"].append(bands[i])
+                out["marks"].append(marks[i].tobytes())
             return out
 
         return work

@@ -22,10 +22,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from plaudit.llm.bpe import Merges
-from plaudit.llm.common import blocks, per_text
+from plaudit.llm.common import per_text
 
 SPACE = "▁"
-BLOCK_CHARS = 1 << 21
 MEMO_ENTRIES = 500_000
 NORMAL, CONTROL, USER, UNUSED, BYTE = 1, 3, 4, 5, 6  # piece types of the model format (fixed values)
 
@@ -209,12 +208,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def in_blocks(path: str, texts: list[str]):
-    """(text, ids) for every text, a bounded block at a time."""
-    for start, end in blocks(texts, BLOCK_CHARS):
-        yield from zip(texts[start:end], encoder(path).encode(texts[start:end]))
-
-
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids, begins, ends): the pieces of each text and their byte spans in it."""
     kind = dict(docs.dtypes)[doc_id]
@@ -222,9 +215,9 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     def prepare():
         def work(ids, texts):
             out = {doc_id: ids, "ids": [], "begins": [], "ends": []}
-            for one, pieces in in_blocks(path, texts):
+            for one, pieces in zip(texts, encoder(path).encode(texts)):
                 begins, ends = encoder(path).spans(one, pieces)
-                out["ids"].append(pieces)
+                out["ids"].append(np.array(pieces, np.int32))
                 out["begins"].append(begins)
                 out["ends"].append(ends)
             return out
@@ -242,7 +235,7 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
         def work(ids, texts):
             out = {"doc_id": ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
             model = encoder(path)
-            for _, pieces in in_blocks(path, texts):
+            for pieces in model.encode(texts):
                 out["n_tokens"].append(len(pieces))
                 joined = ",".join(map(model.digits.__getitem__, pieces))
                 out["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())

@@ -28,9 +28,8 @@ from pyspark.sql import DataFrame
 from tokenizers.pre_tokenizers import ByteLevel
 
 from plaudit.llm.bpe import Merges
-from plaudit.llm.common import blocks, per_text
+from plaudit.llm.common import per_text
 
-BLOCK_CHARS = 1 << 21
 CHUNK = 128
 #: Pre-tokens of up to so many bytes are told apart as machine words, longer ones as strings.
 WORDS = 4
@@ -247,9 +246,7 @@ def token_counts(
 
     def prepare():
         def work(ids, texts):
-            tokens = []
-            for start, end in blocks(texts, BLOCK_CHARS):
-                tokens += counter(path).count(texts[start:end])
+            tokens = counter(path).count(texts)
             return {
                 doc_id: ids, "n_bytes": [len(t.encode()) for t in texts], "n_tokens": tokens,
                 "over_limit": [n > limit for n in tokens],
