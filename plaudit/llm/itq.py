@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from plaudit.llm.common import written
 from plaudit.llm.components import components
-from plaudit.llm.units import cut, per_unit
+from plaudit.llm.units import cut, pairs_of_units, per_units
 from plaudit.llm.vectors import as_matrix, sample, unit_rows, usable
 
 LIMIT = 0.93
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 8_000
 MISSED = 0.005
 #: Candidates are within so many standard deviations above the bits expected to differ at the limit.
 DEVIATIONS = 5
@@ -53,7 +53,7 @@ class Quantiser:
     """Mean, rotations and the layout of the tables."""
 
     def __init__(self, x: np.ndarray, total: int, limit: float = LIMIT):
-        self.bits = max(12, math.ceil(math.log2(max(total, 2))) - 4)
+        self.bits = max(12, math.ceil(math.log2(max(total, 2))) - 2)
         self.bits = min(self.bits, x.shape[1])
         same = 1 - math.acos(limit) / math.pi  # a bit agrees at the limit
         self.tables = math.ceil(math.log(MISSED) / math.log(1 - same**self.bits))
@@ -107,16 +107,16 @@ def linked(rows: DataFrame, limit: float = LIMIT) -> tuple[DataFrame, DataFrame]
     sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     units = cut(entries.join(sizes, "bucket"), "bucket", "id", "size", BUCKET_BLOCK)
 
-    def near(unit: pd.DataFrame) -> pd.DataFrame:
-        """Rows that have a row of the unit within the radius."""
-        codes = np.frombuffer(b"".join(unit["code"]), np.uint8).reshape(len(unit), -1)
-        keep = np.zeros(len(unit), bool)
-        for i in range(len(unit)):
-            apart = np.bitwise_count(codes ^ codes[i]).sum(axis=1)
-            keep[i] = (apart <= model.value.radius).sum() > 1
-        return unit.loc[keep, ["unit", "place", "block", "crosses", "id"]]
+    def near(units: pd.DataFrame) -> pd.DataFrame:
+        """Rows that have a row of their unit within the radius."""
+        codes = np.frombuffer(b"".join(units["code"]), np.uint8).reshape(len(units), -1)
+        keep = np.zeros(len(units), bool)
+        for a, b in pairs_of_units(units):
+            close = np.bitwise_count(codes[a] ^ codes[b]).sum(axis=1) <= model.value.radius
+            keep[a[close]] = keep[b[close]] = True
+        return units.loc[keep, ["unit", "place", "block", "crosses", "id"]]
 
-    found = per_unit(
+    found = per_units(
         units.select("unit", "place", "block", "crosses", "id", "code"), near,
         "unit bigint, place int, block int, crosses boolean, id bigint",
     )
@@ -124,38 +124,35 @@ def linked(rows: DataFrame, limit: float = LIMIT) -> tuple[DataFrame, DataFrame]
     vectors = rows.select("id", "embedding", "copies").join(coded.select("id", "keys"), "id")
     ranked = written(found, "itq-near").join(vectors, "id")
 
-    def rerank(unit: pd.DataFrame) -> pd.DataFrame:
-        ids, block = unit["id"].to_numpy(), unit["block"].to_numpy()
-        copies, place = unit["copies"].to_numpy(), int(unit["place"].iloc[0])
-        x, keys = unit_rows(as_matrix(unit["embedding"])), np.stack(unit["keys"].to_numpy())
-        cross = bool(unit["crosses"].iloc[0])
-        cosines = x @ x.T
-        links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        for i in range(len(ids)):
-            other = cosines[i] >= limit
-            other[i] = False
-            if cross:
-                other &= block != block[i]
-            at = np.flatnonzero(other)
-            # A pair counts in the first table that it shares.
-            at = at[~(keys[at, :place] == keys[i, :place]).any(axis=1)]
-            links[i] = copies[at].sum()
-            for j in at[at > i]:
-                a, b = i, j
-                while root[a] != a:
-                    a = root[a]
-                while root[b] != b:
-                    b = root[b]
-                root[max(a, b)] = min(a, b)
-                root[i] = root[j] = min(a, b)
-        for i in range(len(ids)):
-            while root[root[i]] != root[i]:
+    def rerank(units: pd.DataFrame) -> pd.DataFrame:
+        """Links of each row within its unit, and a row that it hangs together with."""
+        ids, copies, place = (units[name].to_numpy() for name in ("id", "copies", "place"))
+        x, keys = unit_rows(as_matrix(units["embedding"])), np.stack(units["keys"].to_numpy())
+        earlier = np.arange(keys.shape[1]) < place[:, None]
+        links, root = np.zeros(len(ids), np.int64), list(range(len(ids)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
                 root[i] = root[root[i]]
-        out = pd.DataFrame({"id": ids, "links": links, "root": ids[root]})
+                i = root[i]
+            return i
+
+        for a, b in pairs_of_units(units):
+            close = (x[a] * x[b]).sum(axis=1) >= limit
+            a, b = a[close], b[close]
+            # A pair counts in the first table that it shares.
+            first = ~((keys[a] == keys[b]) & earlier[a]).any(axis=1)
+            a, b = a[first], b[first]
+            np.add.at(links, a, copies[b])
+            np.add.at(links, b, copies[a])
+            for i, j in zip(a.tolist(), b.tolist()):
+                i, j = find(i), find(j)
+                root[max(i, j)] = min(i, j)
+        out = pd.DataFrame({"id": ids, "links": links, "root": ids[[find(i) for i in range(len(ids))]]})
         return out[(links > 0) | (out["id"] != out["root"])]
 
     pairs = written(
-        per_unit(
+        per_units(
             ranked.select("unit", "place", "block", "crosses", "id", "embedding", "copies", "keys"), rerank,
             "id bigint, links bigint, root bigint",
         ),

@@ -23,23 +23,58 @@ def cut(members: DataFrame, bucket: str, row: str, size: str, limit: int) -> Dat
     return dealt.withColumn("unit", unit).withColumn("crosses", F.col("block") != F.col("_other")).drop("_other")
 
 
+def whole_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches sorted by unit, cut so that no unit is in two of them."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        last = int(np.searchsorted(batch["unit"].to_numpy(), batch["unit"].iloc[-1]))
+        if held and held[0]["unit"].iloc[-1] != batch["unit"].iloc[-1]:
+            yield pd.concat([*held, batch.iloc[:last]], ignore_index=True)
+            held = []
+        elif not held and last:
+            yield batch.iloc[:last].reset_index(drop=True)
+        held.append(batch.iloc[last:] if not held else batch)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def sorted_units(df: DataFrame, *order: str) -> DataFrame:
+    return df.repartition("unit").sortWithinPartitions("unit", *order)
+
+
+def per_units(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``work`` on many whole units at a time: for units of a few rows each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from map(work, whole_units(batches))
+
+    return sorted_units(df).mapInPandas(run, schema)
+
+
 def per_unit(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, *order: str) -> DataFrame:
-    """``work`` on the rows of each unit, many units per task, one unit in memory at a time."""
+    """``work`` on the rows of one unit at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        for batch in batches:
-            if not len(batch):
-                continue
-            starts = np.flatnonzero(np.append(True, np.diff(batch["unit"].to_numpy()) != 0))
-            ends = np.append(starts[1:], len(batch))
-            for start, end in zip(starts, ends):
-                part = batch.iloc[start:end]
-                if held and held[0]["unit"].iloc[0] != part["unit"].iloc[0]:
-                    yield work(pd.concat(held, ignore_index=True) if len(held) > 1 else held[0])
-                    held = []
-                held.append(part)
-        if held:
-            yield work(pd.concat(held, ignore_index=True) if len(held) > 1 else held[0])
-
-    return df.repartition("unit").sortWithinPartitions("unit", *order).mapInPandas(run, schema)
+        for units in whole_units(batches):
+            starts = np.flatnonzero(np.append(True, np.diff(units["unit"].to_numpy()) != 0))
+            for start, end in zip(starts, [*starts[1:], len(units)]):
+                yield work(units.iloc[start:end].reset_index(drop=True))
+
+    return sorted_units(df, *order).mapInPandas(run, schema)
+
+
+def pairs_of_units(units: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows (places) of the same unit that are the unit's own, in steps of equal distance."""
+    unit, block = units["unit"].to_numpy(), units["block"].to_numpy()
+    crosses = units["crosses"].to_numpy()
+    left, step = np.arange(len(units)), 1
+    while len(left):
+        left = left[left + step < len(units)]
+        left = left[unit[left] == unit[left + step]]
+        right = left + step
+        own = ~crosses[left] | (block[left] != block[right])
+        if len(left):
+            yield left[own], right[own]
+        step += 1
