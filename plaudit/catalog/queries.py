@@ -394,9 +394,9 @@ def _numbered(records: DataFrame) -> DataFrame:
     return records.withColumn("review_id", F.col("review_id").cast("bigint"))
 
 
-def _records(spark: SparkSession, folder: str) -> DataFrame:
+def _records(spark: SparkSession, folder: str, files: str = "feed") -> DataFrame:
     """The records that a feed's files hold, as a stream."""
-    return feed.good_records(feed.decode(feed.read_feed(spark, f"{folder}/feed")))
+    return feed.good_records(feed.decode(feed.read_feed(spark, f"{folder}/{files}")))
 
 
 def _state(spark: SparkSession) -> dict:
@@ -491,10 +491,10 @@ def pipeline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run in ("first", "second"):
         feed.publish_new_files(
             spark, f"{folder}/json/data", "review_id", f"{folder}/{run}", schema=f"review_id string, {CLEAN_TEXT} string",
-            path=f"{folder}/feed",
+            path=f"{folder}/feed/{run}",
         )
     wanted = stream.wanted_records(
-        _records(spark, folder), corpus.KEYWORDS, repeats_within=f"{corpus.WHOLE_FEED_SECONDS} seconds"
+        _records(spark, folder, "feed/*"), corpus.KEYWORDS, repeats_within=f"{corpus.WHOLE_FEED_SECONDS} seconds"
     )
     rows = with_sentiment(wanted, CLEAN_TEXT, corpus.LEXICON)
     stream.write_rows(rows, f"{folder}/out", f"{folder}/checkpoint", **_state(spark)).awaitTermination()

@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from plaudit.__main__ import main
 from plaudit.streaming.top_words import read_top_words
 
@@ -23,31 +21,47 @@ def test_pipeline(spark, tmp_path, capsys):
     assert run("convert", tmp_path / "clean", tmp_path / "json")["converted_files"] == 0
     assert run("size", tmp_path / "clean", "--suffix", ".parquet")["bytes"] > 0
 
-    spark.read.parquet(str(tmp_path / "clean")).withColumn("review_id", F.monotonically_increasing_id()).write.json(
-        str(tmp_path / "numbered")
-    )
-    run("sweep", str(numbered_parquet(spark, tmp_path)), tmp_path / "sweep", "--key", "review_id")
+    # The README's order, with nothing by hand between the steps: ids come from the clean files.
+    run("sweep", tmp_path / "clean", tmp_path / "sweep", "--key", "review_id")
     assert spark.read.json(str(tmp_path / "sweep" / "metrics")).count() == 5
-    run("publish", tmp_path / "numbered", "--checkpoint", tmp_path / "pc", "--option", f"path={tmp_path / 'feed'}")
-    run("stream", tmp_path / "feed", tmp_path / "out", "--checkpoint", tmp_path / "sc", "--state-partitions", 2)
+    for sent in ("p1", "p2"):
+        run("publish", tmp_path / "json" / "data", "--checkpoint", tmp_path / sent, "--option", f"path={tmp_path / 'feed' / sent}")
+    assert spark.read.json(str(tmp_path / "feed" / "*")).count() == 8
+    run("stream", tmp_path / "feed" / "*", tmp_path / "out", "--checkpoint", tmp_path / "sc", "--state-partitions", 2,
+        "--drop-repeats", "--delay", "1 day")
     scored = spark.read.parquet(str(tmp_path / "out" / "scored"))
     assert {r.category: r["count"] for r in scored.groupBy("category").count().collect()} == {"positive": 1, "negative": 2}
+    assert scored.select("review_id").distinct().count() == 3 and scored.filter("review_id is null").count() == 0
     assert spark.read.parquet(str(tmp_path / "out" / "set_aside")).count() == 0
 
     # The same run cached and uncached, compared by task.
     assert result["total_records"] == 4
     run("analyze", tmp_path / "clean", tmp_path / "results", "--mode", "parallel", "--keep-in-memory")
-    run("analyze", tmp_path / "numbered.parquet", tmp_path / "results", "--mode", "sequential", "--key", "review_id",
-        "--limit", 1000)
+    run("analyze", tmp_path / "clean", tmp_path / "results", "--mode", "sequential", "--key", "review_id",
+        "--limit", 1000, "--no-keep-in-memory")
     run("compare", tmp_path / "results" / "run_log", tmp_path / "compared")
     rows = {r.task: r for r in spark.read.json(str(tmp_path / "compared")).collect()}
-    assert set(rows) == {"words", "sentiment", "total"} and all(r.speedup > 0 for r in rows.values())
+    assert set(rows) == {"read", "words", "sentiment", "save", "total"} and all(r.speedup > 0 for r in rows.values())
+
 
+def test_an_id_of_the_raw_lines_is_kept(spark, tmp_path, capsys):
+    raw = tmp_path / "raw.json"
+    raw.write_text("\n".join(json.dumps({"reviewText": "Great", "asin": f"x{i}"}) for i in range(3)))
+    main([str(a) for a in ("ingest", raw, tmp_path / "clean", "--id", "asin")], spark)
+    main([str(a) for a in ("convert", tmp_path / "clean", tmp_path / "json")], spark)
+    rows = spark.read.schema("review_id string").json(str(tmp_path / "json" / "data"))
+    assert sorted(r.review_id for r in rows.collect()) == ["x0", "x1", "x2"]
 
-def numbered_parquet(spark, tmp_path):
-    path = tmp_path / "numbered.parquet"
-    spark.read.json(str(tmp_path / "numbered")).write.parquet(str(path))
-    return path
+
+def test_a_lexicon_too_long_for_a_task_is_joined(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr("plaudit.__main__.IN_MEMORY_WORDS", 1)
+    raw = tmp_path / "raw.json"
+    raw.write_text("\n".join(json.dumps({"reviewText": t}) for t in ["good", "very bad", "none"]))
+    spark.createDataFrame([("good", 0.5), ("bad", -0.5)], "word string, polarity double").write.parquet(str(tmp_path / "lex"))
+    main([str(a) for a in ("ingest", raw, tmp_path / "clean")], spark)
+    main([str(a) for a in ("analyze", tmp_path / "clean", tmp_path / "out", "--lexicon", tmp_path / "lex")], spark)
+    result = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (result["positive_count"], result["negative_count"], result["neutral_count"]) == (1, 1, 1)
 
 
 def test_windows_appear_once_time_passes(spark, tmp_path):

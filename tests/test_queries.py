@@ -36,13 +36,3 @@ def test_entry(spark):
 
 def test_sql_is_given_for_known_queries_only():
     assert set(ORACLE) <= set(entry.queries())
-
-
-def test_physical_reports_add_up(spark):
-    queries = entry.queries()
-    n = spark.read.parquet(f"{SF}/documents.parquet").count()
-    files = queries["source_files"](spark, SF).collect()
-    assert sum(r.rows for r in files) == n and all(r.length > 0 for r in files)
-    size = queries["output_size"](spark, SF).first()
-    assert size.bytes > 0 and size.gib == size.bytes / 1024**3
-    assert sum(r.rows for r in queries["partition_report"](spark, SF).collect()) == n

@@ -102,7 +102,7 @@ def test_conversion_repeats_after_a_lost_manifest(spark, tmp_path):
     source, target = str(tmp_path / "source"), str(tmp_path / "target")
     spark.createDataFrame([("a",), ("b",), ("c",)], f"{CLEAN_TEXT} string").repartition(3).write.parquet(source)
     rows = readers.read_parquet(spark, source).select(
-        CLEAN_TEXT, convert._relative("_metadata.file_path", source).alias("source_file")
+        CLEAN_TEXT, readers.relative_path("_metadata.file_path", source).alias("source_file")
     )
     # A run that wrote rows but died before noting them.
     writers.write_partitions(rows, f"{target}/data", "source_file", format="json")
@@ -144,7 +144,9 @@ def test_run_analysis(spark, tmp_path, options):
     row = run_analysis(spark, source, target, lexicon=LEXICON, placeholders=["n/a"], **options).first()
     assert (row.pct, row.total_records, row.positive_count, row.negative_count, row.neutral_count) == (100, 4, 2, 1, 1)
     assert row.avg_sentiment == pytest.approx(0.175) and row.records_per_second > 0 and row.partition_count >= 1
-    assert row.total_seconds == pytest.approx(row.words_seconds + row.sentiment_seconds)
+    assert row.total_seconds == pytest.approx(
+        row.read_seconds + row.words_seconds + row.sentiment_seconds + row.save_seconds
+    )
     words = spark.read.parquet(f"{target}/word_frequency")
     assert {r.word: r.frequency for r in words.collect()} == {"good": 3, "day": 3, "bad": 1}
     top = [json.loads(x) for f in (tmp_path / "t" / "top_words" / "pct=100").glob("part-*") for x in f.read_text().splitlines()]

@@ -39,14 +39,15 @@ def files(tmp_path):
 
 
 def records(spark, files, max_files=1):
-    return feed.good_records(feed.decode(feed.read_feed(spark, str(files.folder), max_files)))
+    good = feed.good_records(feed.decode(feed.read_feed(spark, str(files.folder), max_files)))
+    return good.withColumn("review_id", F.col("review_id").cast("bigint"))
 
 
-def run_windows(spark, files, tmp_path, delay="60 seconds", name="w", rocksdb=True, per_slide=True):
+def run_windows(spark, files, tmp_path, delay="60 seconds", name="w", per_slide=True):
     scored = stream.scored_records(records(spark, files), LEXICON)
     counts = stream.windowed_words(scored, delay=delay, per_slide=per_slide)
     query = stream.write_top_words(
-        counts, str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"), rocksdb=rocksdb, state_partitions=2
+        counts, str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"), state_partitions=2
     )
     query.awaitTermination()
     return query
@@ -92,7 +93,7 @@ def test_stream_equals_batch(spark, files, tmp_path):
     assert not [row for row in found if row[2] == "here"]  # its review holds no keyword
 
 
-@pytest.mark.parametrize("options", [{"rocksdb": False}, {"per_slide": False}])
+@pytest.mark.parametrize("options", [{"per_slide": True}, {"per_slide": False}])
 def test_other_state_gives_the_same(spark, files, tmp_path, options):
     for part in split(REVIEWS, 3):
         files.reviews(*part)
@@ -148,7 +149,8 @@ BAD = {
     "{broken": "not valid JSON",
     "plain text": "not valid JSON",
     '{"send_time": 1.0}': "no text",
-    f'{{"{CLEAN_TEXT}": "x"}}': "no send time",
+    f'{{"{CLEAN_TEXT}": "x"}}': "no id",
+    f'{{"review_id": 4, "{CLEAN_TEXT}": "x"}}': "no send time",
     f'{{"{CLEAN_TEXT}": "x", "send_time": "soon"}}': "not valid JSON",
 }
 
@@ -160,7 +162,7 @@ def test_bad_records_are_set_aside(spark, files, tmp_path):
     stream.write_rows(feed.quarantined(decoded), str(tmp_path / "q"), str(tmp_path / "qc")).awaitTermination()
     assert {r.value: r.problem for r in spark.read.parquet(str(tmp_path / "q")).collect()} == BAD
     stream.write_rows(feed.good_records(decoded), str(tmp_path / "g"), str(tmp_path / "gc")).awaitTermination()
-    assert [r.review_id for r in spark.read.parquet(str(tmp_path / "g")).collect()] == [1]
+    assert [r.review_id for r in spark.read.parquet(str(tmp_path / "g")).collect()] == ["1"]
 
 
 def test_all_scored_records_are_kept(spark, files, tmp_path):
@@ -182,7 +184,7 @@ def test_envelope_roundtrip(spark, tmp_path):
     keys = {int(r.key) for r in back.select("key").distinct().collect()}
     assert min(keys) >= 0 and max(keys) <= 1000 and len(keys) > 900
     got = feed.good_records(feed.decode(back)).select("review_id", CLEAN_TEXT, "send_ts")
-    want = df.select(F.col("id").alias("review_id"), CLEAN_TEXT, F.col("ts").alias("send_ts"))
+    want = df.select(F.col("id").cast("string").alias("review_id"), CLEAN_TEXT, F.col("ts").alias("send_ts"))
     assert got.exceptAll(want).count() == 0 and got.count() == 3000
 
 
@@ -192,25 +194,57 @@ def test_envelope_without_a_time_is_stamped_now(spark):
     assert abs(row.send_time - time.time()) < 60
 
 
-@pytest.mark.parametrize("n, steps, expected_files", [(3000, 5, 8), (20, 3, 1), (2, 4, 1)])
-def test_replay_steps_follow_time(spark, tmp_path, n, steps, expected_files):
+def test_a_review_without_an_id_is_not_sent(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (None, "b")], f"id bigint, {CLEAN_TEXT} string")
+    with pytest.raises(Exception, match="a review without id cannot be sent"):
+        feed.publish(feed.envelope(df, "id"), path=str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("n, steps", [(3000, 5), (20, 3), (2, 4)])
+def test_replay_steps_follow_time(spark, tmp_path, n, steps):
     df = spark.range(n).select(
         F.col("id"), F.lit("great").alias(CLEAN_TEXT),
         # A third of the reviews have the same time.
         F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") * 7 % 1000)).alias("ts"),
     )
-    folder = tmp_path / "replay"
-    assert feed.stage_replay(df, "id", CLEAN_TEXT, "ts", str(folder), steps) == expected_files
-    files = sorted(folder.glob("part-*.json"), key=lambda f: f.stat().st_mtime_ns)
-    times = [[json.loads(json.loads(x)["value"])["send_time"] for x in f.read_text().splitlines()] for f in files]
-    assert sum(map(len, times)) == n
-    whole = [sum(times[i:i + expected_files], []) for i in range(0, len(times), expected_files)]
-    if expected_files > 1:
-        assert len(files) == steps * expected_files and all(times)
-    whole = [step for step in whole if step]
+    folder, seen, whole = tmp_path / "replay", set(), []
+
+    def step():
+        new = set(folder.glob("part-*.json")) - seen
+        seen.update(new)
+        lines = [line for file in new for line in file.read_text().splitlines()]
+        whole.append([json.loads(json.loads(line)["value"])["send_time"] for line in lines])
+
+    feed.replay(df, "id", CLEAN_TEXT, "ts", str(folder), steps, step)
+    assert len(whole) == steps and sum(map(len, whole)) == n
+    whole = [times for times in whole if times]
     assert all(max(a) <= min(b) for a, b in zip(whole, whole[1:]))
 
 
+def test_options_of_the_user_win(spark, files, tmp_path):
+    for part in split(REVIEWS, 3):
+        files.reviews(*part)
+    for bound, batches in (("50", 1), ("1", 3)):
+        rows = feed.decode(feed.read_feed(spark, str(files.folder), maxFilesPerTrigger=bound))
+        query = stream.write_rows(rows, str(tmp_path / f"o{bound}"), str(tmp_path / f"oc{bound}"))
+        query.awaitTermination()
+        assert len([p for p in query.recentProgress if p.numInputRows]) == batches
+
+
+def test_a_source_that_is_no_file(spark, tmp_path):
+    rows = feed.decode(feed.read_feed(spark, format="rate-micro-batch", rowsPerBatch="10"))
+    query = stream.write_rows(feed.quarantined(rows), str(tmp_path / "q"), str(tmp_path / "qc"))
+    query.awaitTermination()
+    assert {r.problem for r in spark.read.parquet(str(tmp_path / "q")).collect()} <= {"not valid JSON", "no text"}
+
+
+def test_the_filter_comes_before_the_state(spark, files):
+    files.reviews((1, "great", 0))
+    wanted = stream.wanted_records(records(spark, files), repeats_within="10 minutes")
+    plan = wanted._jdf.queryExecution().analyzed().toString().lower()  # read from top to bottom
+    assert plan.rindex("deduplicatewithinwatermark") < plan.index("contains(lower(")
+
+
 def test_hot_record_is_dropped_with_and_without_salt(spark, files, tmp_path):
     hot = [(1, "great", 0)] * 500
     files.reviews(*hot, (2, "great", 1), *hot)
@@ -230,4 +264,4 @@ def test_files_are_sent_once(spark, tmp_path):
         ).json(source)
         feed.publish_new_files(spark, source, "review_id", str(tmp_path / "c"), path=sent)
     rows = feed.decode(spark.read.schema("key string, value string").json(sent))
-    assert sorted(r.review_id for r in rows.collect()) == list(range(8))
+    assert sorted(r.review_id for r in rows.collect()) == [str(i) for i in range(8)]

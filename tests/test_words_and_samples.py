@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
@@ -77,13 +78,36 @@ def test_first_rows(spark):
     assert sorted(r.doc_id for r in sampling.first_rows(df.repartition(5), "doc_id", 17).collect()) == list(range(17))
     assert sampling.first_rows(df, "doc_id", 0).count() == 0
     assert sampling.first_rows(df, "doc_id", 10**6).count() == df.count()
-    assert sampling.any_rows(df, 7).count() == 7
+    text = df.select(F.format_string("k%06d", "doc_id").alias("k"))
+    assert sorted(r.k for r in sampling.first_rows(text, "k", 3).collect()) == ["k000000", "k000001", "k000002"]
+
+
+def test_rows_without_a_key(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, "d"), (None, "e")], "k bigint, text string")
+    assert sampling.hash_sample(df, "k", 100).count() == 5
+    assert [sorted(r.text for r in sampling.first_rows(df, "k", n).collect()) for n in (2, 3, 9)] == [
+        ["a", "b"], ["a", "b", "d"], ["a", "b", "d"],
+    ]
+    fractions = spark.createDataFrame([(100,)], "pct int")
+    for swept in (sampling.sweep_word_frequency(df, "k", "text", [100], stop_words=()),
+                  sampling.sweep_by_range_join(df, "k", "text", fractions, stop_words=())):
+        assert sorted(r.word for r in swept.collect()) == ["a", "b", "c", "d", "e"]
+
+
+@pytest.mark.parametrize("size", [120, -1, None])
+def test_sizes_outside_the_range_are_errors(spark, size):
+    df = spark.createDataFrame([(1, "a")], "k bigint, text string")
+    with pytest.raises(Exception, match="whole percent"):
+        sampling.sweep_by_range_join(df, "k", "text", spark.createDataFrame([(size,)], "pct int")).collect()
+    if size is not None:
+        with pytest.raises(ValueError, match="whole percent"):
+            sampling.sweep_word_frequency(df, "k", "text", [size])
 
 
 def test_sweep_equals_single_runs(spark):
     df = documents(spark)
     sweep = sampling.sweep_word_frequency(df, "doc_id", "text").cache()
-    fractions = spark.createDataFrame([(p,) for p in presets.FRACTIONS] + [(20,), (400,)], "pct int")
+    fractions = spark.createDataFrame([(p,) for p in presets.FRACTIONS] + [(20,)], "pct int")
     joined = sampling.sweep_by_range_join(df, "doc_id", "text", fractions)
     assert sweep.exceptAll(joined).count() == 0 and joined.exceptAll(sweep).count() == 0
     for percent in presets.FRACTIONS:
