@@ -42,7 +42,7 @@ BINS = BANDS * DEEP
 LEAST_ESTIMATE = 0.6
 MEMO_ENTRIES = 400_000
 #: Texts of a bucket that are compared with each other in one task.
-BUCKET_BLOCK = 256
+BUCKET_BLOCK = 1024
 EMPTY = np.uint64(2**64 - 1)
 
 
