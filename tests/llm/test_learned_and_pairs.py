@@ -1,14 +1,19 @@
 """Classifiers by held-out accuracy; near copies, neighbours and mixing against brute force."""
 
 import random
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plaudit.llm import forest, itq, minhash, mixing, toxicity
-from plaudit.llm.components import components
-from plaudit.llm.queries import QUERIES
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from compare import differences, oracle_connection  # noqa: E402
+from plaudit.llm import forest, itq, minhash, mixing, toxicity  # noqa: E402
+from plaudit.llm.components import components  # noqa: E402
+from plaudit.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -172,6 +177,10 @@ def test_targets_fill_up_to_their_limits(spark):
     assert rows == pytest.approx(target)
 
 
+def test_mix_equals_its_sql(spark):
+    assert differences(QUERIES["op2_mix_sources"](spark, SF), oracle_connection(SF), ORACLE["op2_mix_sources"]) == []
+
+
 def test_mix_emits_what_it_counts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     taken = {r.doc_id: r._mix.copies for r in mixing.mixed(docs).collect()}
