@@ -31,7 +31,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def per_text(
     df: DataFrame, schema: str, prepare: Callable[[], Callable[[list, list[str]], dict]], id_col: str = "doc_id",
-    text_col: str = "text",
+    text_col: str = "text", block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """One row per document, computed from its whole text; null texts count as empty.
 
@@ -45,7 +45,7 @@ def per_text(
         work = prepare()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start, end in blocks(texts, BLOCK_CHARS):
+            for start, end in blocks(texts, block_chars):
                 out = work(batch.column(0).slice(start, end - start), texts[start:end])
                 columns = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for f, v in zip(types, out.values())]
                 yield pa.RecordBatch.from_arrays(columns, schema=types)

@@ -25,7 +25,9 @@ from plaudit.llm.bpe import Merges
 from plaudit.llm.common import per_text
 
 SPACE = "▁"
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 250_000
+#: Characters of texts whose pieces and spans are handed on together; they take many times the texts' room.
+SPAN_BLOCK_CHARS = 1 << 18
 NORMAL, CONTROL, USER, UNUSED, BYTE = 1, 3, 4, 5, 6  # piece types of the model format (fixed values)
 
 
@@ -225,7 +227,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         return work
 
     schema = f"`{doc_id}` {kind}, ids array<int>, begins array<bigint>, ends array<bigint>"
-    return per_text(docs, schema, prepare, doc_id, text)
+    return per_text(docs, schema, prepare, doc_id, text, SPAN_BLOCK_CHARS)
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
