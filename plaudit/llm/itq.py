@@ -5,8 +5,9 @@ are the signs of the rotated vectors and the rotation is the best one (by singul
 vectors to codes, in turns. Several rotations give several codes. Each code is cut into substrings, one
 Hamming table for each; vectors that share a substring's bucket and are close over all
 bits are candidates, reranked with the original vectors. The length of a substring grows with
-the logarithm of the table, so that buckets stay small; the number of tables follows from
-it: two vectors at the limit share a bucket with probability 0.995.
+the logarithm of the table, so that buckets stay small. The number of tables and the radius are measured
+on pairs planted at the limit around the sample, after the mean is subtracted: of the half with the widest
+angles at least 0.995 share a bucket. The closer vectors lie to a common direction, the more tables that takes.
 
 Copies (equal label and vector) form a class of which one stands for all, with its number.
 Buckets are compared in units of bounded size, and a pair of several buckets counts in its first
@@ -33,8 +34,14 @@ from plaudit.llm.vectors import as_matrix, sample, unit_rows, usable
 LIMIT = 0.93
 SAMPLE_ROWS = 8_000
 MISSED = 0.005
-#: Candidates are within so many standard deviations above the bits expected to differ at the limit.
+#: Pairs planted at the limit in each direction, at least, and the share of them that the layout must serve.
+PAIRS = 4_000
+HARDEST = 0.5
+#: What an entry of a table costs, in comparisons of two codes.
+ENTRY_COST = 12
+#: Candidates are within so many standard deviations above the bits that differ at the limit, of so many bits at most.
 DEVIATIONS = 5
+CODE_BITS = 512
 BUCKET_BLOCK = 1024
 
 
@@ -49,31 +56,90 @@ def rotation(x: np.ndarray, seed: int, rounds: int = 30) -> np.ndarray:
     return turn
 
 
+def at_limit(x: np.ndarray, limit: float, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of unit vectors at the limit, one half turned in a random direction, the other towards another row.
+
+    Every row has as many; there are at least ``PAIRS`` of each half.
+    """
+    rng = np.random.default_rng(seed)
+    first = np.tile(x, (-(-PAIRS // len(x)), 1))
+    towards = np.concatenate([rng.normal(size=first.shape), first[rng.permutation(len(first))]])
+    first = np.concatenate([first, first])
+    towards = towards - (towards * first).sum(axis=1, keepdims=True) * first
+    length = np.sqrt((towards * towards).sum(axis=1, keepdims=True))
+    towards = np.where(length > 1e-9, towards / np.maximum(length, 1e-9), 0.0)  # a copy stays in its place
+    return first, unit_rows(limit * first + math.sqrt(1 - limit * limit) * towards)
+
+
 class Quantiser:
-    """Mean, rotations and the layout of the tables."""
+    """Mean, rotations and the layout of the tables.
+
+    The layout is measured on pairs at the limit, planted around the rows of the sample: the closer the
+    vectors lie to the mean, the wider is the angle of a pair once the mean is subtracted. Of the pairs of each half the
+    ``HARDEST`` share, with the widest angles, must meet in a table but for ``MISSED`` of them. The length of
+    substrings is the cheapest one for those pairs; length 0 compares all vectors with each other.
+    """
 
     def __init__(self, x: np.ndarray, total: int, limit: float = LIMIT):
-        self.bits = max(12, math.ceil(math.log2(max(total, 2))) - 2)
-        self.bits = min(self.bits, x.shape[1])
-        same = 1 - math.acos(limit) / math.pi  # a bit agrees at the limit
-        self.tables = math.ceil(math.log(MISSED) / math.log(1 - same**self.bits))
-        per_code = x.shape[1] // self.bits
-        self.mean = x.mean(axis=0)
-        self.turns = [rotation(x - self.mean, seed) for seed in range(-(-self.tables // per_code))]
-        self.used = per_code * self.bits
-        n = self.tables * self.bits
-        self.radius = math.ceil(n * (1 - same) + DEVIATIONS * math.sqrt(n * same * (1 - same)))
+        self.mean, self.turns = x.mean(axis=0), []
+        first, second = (side - self.mean for side in at_limit(x, limit))
+        norms = np.sqrt((first * first).sum(axis=1) * (second * second).sum(axis=1))
+        cosine = (first * second).sum(axis=1) / np.maximum(norms, 1e-12)
+        half = len(first) // 2
+        hard = np.concatenate([
+            start + np.argsort(cosine[start : start + half], kind="stable")[: math.ceil(half * HARDEST)] for start in (0, half)
+        ])
+        first, second = first[hard], second[hard]
+        same = 1 - np.arccos(np.clip(cosine[hard], -1, 1)) / math.pi  # a bit agrees
+        same = float(np.quantile(same, 0.05))
 
-    def signs(self, x: np.ndarray) -> np.ndarray:
-        """Bits of all codes, cut to those that the tables use."""
+        def wanted(bits: int) -> float:
+            """The number of tables in which such a pair meets."""
+            met = same**bits
+            return 1 if met > 1 - MISSED else math.log(MISSED) / math.log1p(-met) if met > 1e-12 else math.inf
+
+        self.bits = min(
+            range(min(x.shape[1], 62) + 1), key=lambda bits: wanted(bits) * (ENTRY_COST + total / 2**bits)
+        )
         centred = x - self.mean
+        self.tables = self.fitted(centred, first, second, wanted(self.bits)) if self.bits else 1
+        while not self.tables:
+            self.bits -= 1
+            self.tables = self.fitted(centred, first, second, wanted(self.bits)) if self.bits else 1
+        if not self.turns:
+            self.turns.append(rotation(centred, 0))
+        self.used = x.shape[1] // self.bits * self.bits if self.bits else x.shape[1]
+        self.turns = self.turns[: -(-max(self.tables * self.bits, 1) // self.used)]
+        self.code_bits = min(self.tables * self.bits or self.used, CODE_BITS)
+        apart = np.split(self._bits(first) ^ self._bits(second), 2)
+        apart = [part[:, : self.code_bits].sum(axis=1) for part in apart]
+        self.radius = max(max(math.ceil(n.mean() + DEVIATIONS * n.std()), int(n.max())) for n in apart)
+
+    def fitted(self, centred: np.ndarray, first: np.ndarray, second: np.ndarray, wanted: float) -> int:
+        """How many tables let enough of the pairs meet, at least ``wanted``; 0 if four times as many do not."""
+        per_code, open_, most = centred.shape[1] // self.bits, np.ones(len(first), bool), math.ceil(4 * wanted) + 8
+        for table in range(most):
+            turn, place = divmod(table, per_code)
+            if turn == len(self.turns):
+                self.turns.append(rotation(centred, turn))
+            columns = self.turns[turn][:, place * self.bits : (place + 1) * self.bits]
+            open_[open_] = ((first[open_] @ columns >= 0) != (second[open_] @ columns >= 0)).any(axis=1)
+            if table + 1 >= wanted and all(part.mean() <= MISSED for part in np.split(open_, 2)):
+                return table + 1
+        return 0
+
+    def _bits(self, centred: np.ndarray) -> np.ndarray:
         bits = np.concatenate([centred @ turn[:, : self.used] >= 0 for turn in self.turns], axis=1)
-        return bits[:, : self.tables * self.bits]
+        return bits[:, : self.tables * self.bits or self.used]
+
+    def signs(self, x: np.ndarray) -> np.ndarray:
+        """Bits of all codes, cut to those that the tables use."""
+        return self._bits(x - self.mean)
 
     def keys(self, bits: np.ndarray) -> np.ndarray:
         """The substring of each table as a number."""
         weights = np.int64(1) << np.arange(self.bits, dtype=np.int64)
-        return bits.reshape(len(bits), self.tables, self.bits) @ weights
+        return bits[:, : self.tables * self.bits].reshape(len(bits), self.tables, self.bits) @ weights
 
 
 def linked(rows: DataFrame, limit: float = LIMIT) -> tuple[DataFrame, DataFrame] | None:
@@ -89,7 +155,7 @@ def linked(rows: DataFrame, limit: float = LIMIT) -> tuple[DataFrame, DataFrame]
         for batch in batches:
             if len(batch):
                 bits = quantiser.signs(unit_rows(as_matrix(batch["embedding"])))
-                packed = np.packbits(bits, axis=1)
+                packed = np.packbits(bits[:, : quantiser.code_bits], axis=1)
                 yield pd.DataFrame({
                     "id": batch["id"], "label": batch["label"], "code": [p.tobytes() for p in packed],
                     "keys": list(quantiser.keys(bits)),

@@ -192,3 +192,32 @@ def test_mix_emits_what_it_counts(spark):
     assert by_source.filter("abs(taken - target) > 0.5 * target").count() == 0
     plan = mixing.mixed(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def pairs_at_the_limit(n, mean, size=64):
+    """Unit vectors around a common direction, and one of cosine 0.935 for each."""
+    rng = np.random.default_rng(12)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(mean / np.sqrt(size) + np.sqrt((1 - mean**2) / size) * rng.normal(size=(n, size)))
+    away = rng.normal(size=x.shape)
+    away = unit(away - (away * x).sum(axis=1, keepdims=True) * x)
+    return x, 0.935 * x + np.sqrt(1 - 0.935**2) * away
+
+
+@pytest.mark.parametrize("mean, total", [(0.0, 10_000), (0.0, 10**8), (0.5, 10**6), (0.8, 10_000), (0.9, 10_000), (0.99, 10_000)])
+def test_tables_keep_links_around_a_common_direction(mean, total):
+    x, y = pairs_at_the_limit(2000, mean)
+    quantiser = itq.Quantiser(x, total)
+    a, b = quantiser.signs(x), quantiser.signs(y)
+    meet = (quantiser.keys(a) == quantiser.keys(b)).any(axis=1)
+    meet &= (a != b)[:, : quantiser.code_bits].sum(axis=1) <= quantiser.radius
+    assert meet.mean() >= 0.99
+
+
+def test_near_embeddings_around_a_common_direction(spark):
+    x = np.concatenate(pairs_at_the_limit(400, 0.8))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    found = {r.vec_id: r.n_links for r in itq.near_embeddings(df).collect()}
+    near = (x @ x.T >= 0.93).sum(axis=1) - 1
+    assert sum(found.values()) >= 0.99 * near.sum() and all(found[i] <= n for i, n in enumerate(near))
