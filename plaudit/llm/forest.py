@@ -3,7 +3,9 @@
 Trees are fitted on a bounded sample: a node projects on the difference of two random members and splits
 at the median. All rows are then sent to their leaf in every tree. A query walks all trees
 with one priority queue: the node with the largest margin comes next, whichever tree it
-is in, until the leaves taken hold a multiple of the index (a row counts in every tree). Leaf and queries meet in
+is in, until the leaves taken hold a multiple of the index (a row counts in every tree) and besides that
+a number of rows for every tree. As no tree holds a row twice, the leaves then hold more different rows than neighbours are asked
+for, or all; tables of up to about 76 rows are searched whole. Leaf and queries meet in
 units of bounded size, where cosines are computed exactly from the original vectors.
 
 The share that a recall needs depends on the data: vectors without any structure (random
@@ -30,6 +32,8 @@ from plaudit.llm.vectors import as_matrix, sample, unit_rows, usable
 TREES = 8
 DEPTH = 7
 SHARE = 1.3
+#: Rows that a search takes from every tree besides, the query and ``k`` rows at least.
+ROWS_PER_TREE = 64
 SAMPLE_ROWS = 20_000
 ROWS_BLOCK, QUERIES_BLOCK = 4096, 1024
 
@@ -116,10 +120,12 @@ def nearest(
     # One number per leaf of the forest: trees * 2**depth at most.
     sizes = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}
 
+    wanted = share * total + trees * max(ROWS_PER_TREE, k + 1)
+
     def search(batches):
         for batch in batches:
             if len(batch):
-                found = forest.value.visits(unit_rows(as_matrix(batch["embedding"])), sizes, share * total)
+                found = forest.value.visits(unit_rows(as_matrix(batch["embedding"])), sizes, wanted)
                 yield batch.assign(leaves=found)
 
     visits = written(

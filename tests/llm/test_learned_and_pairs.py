@@ -221,3 +221,17 @@ def test_near_embeddings_around_a_common_direction(spark):
     found = {r.vec_id: r.n_links for r in itq.near_embeddings(df).collect()}
     near = (x @ x.T >= 0.93).sum(axis=1) - 1
     assert sum(found.values()) >= 0.99 * near.sum() and all(found[i] <= n for i, n in enumerate(near))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 7, 10, 12, 20, 30])
+def test_nearest_in_small_tables(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = forest.nearest(df, lambda v: v >= 0).collect()
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    for q in range(n):
+        score = u @ u[q]
+        score[q] = -9
+        best = np.lexsort((np.arange(n), -score))[: min(5, n - 1)].tolist()
+        assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == best
