@@ -6,7 +6,8 @@ Patterns and instances (values) form a graph of (pattern, instance) edges, count
 per corpus. In each round a pattern's confidence in a kind is the mean score of its
 instances for that kind, and an instance's score is the best confidence of its
 patterns; seeds score 1. Candidates found by confident patterns with enough different seeds
-or accepted instances become spans of that kind and support further patterns in the next round.
+or accepted instances become spans of that kind and support further patterns in the next round, until
+a round accepts no value that was not accepted before.
 
 Matches are cut out with split, and their places are running sums of lengths, taken by doubling
 steps, so that a text with many matches needs n log n steps. Patterns are possessive and
@@ -36,7 +37,8 @@ PATTERNS = {
 #: What may be an identifier: a token of 6 to 40 letters, digits and dashes with a digit near its start.
 CANDIDATE = r"(?<![A-Za-z0-9-])[A-Za-z]{0,3}[0-9][A-Za-z0-9-]{5,36}(?![A-Za-z0-9-])"
 CONTEXT_CHARS = 80
-ROUNDS = 3
+#: So many matches, of two characters at least, and the gaps after them are no shorter than a context.
+CONTEXT_MATCHES = CONTEXT_CHARS // 2
 CONFIDENT = 0.8
 #: Different known instances that a pattern needs.
 SUPPORT = 3
@@ -93,6 +95,20 @@ def passes(kind: str, value: Column) -> Column:
 def matches(text: Column, pattern: str, check: Callable[[Column], Column]) -> Column:
     """Array of (start, end, value, before) of the matches that pass the check; ``before`` is the text before each."""
 
+    def last(value: Column) -> Column:
+        return F.substring(value, F.lit(-CONTEXT_CHARS), F.lit(CONTEXT_CHARS))
+
+    def before(gaps: Column, values: Column, i: Column) -> Column:
+        """The end of the text before match i: its gap and, if that is short, earlier matches with their gaps."""
+        gap = last(F.get(gaps, i))
+        earlier = F.transform(
+            F.sequence(F.greatest(i - CONTEXT_MATCHES, F.lit(0)), i - 1),
+            lambda j: F.concat(last(F.get(gaps, j)), last(F.get(values, j))),
+        )
+        return F.when((i == 0) | (F.length(gap) >= CONTEXT_CHARS), gap).otherwise(
+            last(F.concat(F.array_join(earlier, ""), gap))
+        )
+
     def located(gaps: Column, values: Column) -> Column:
         sizes = F.transform(
             gaps, lambda gap, i: F.length(gap) + F.when(i > 0, F.length(F.get(values, i - 1))).otherwise(F.lit(0))
@@ -106,7 +122,7 @@ def matches(text: Column, pattern: str, check: Callable[[Column], Column]) -> Co
                         F.get(starts, i).cast("bigint").alias("start"),
                         (F.get(starts, i) + F.length(value)).cast("bigint").alias("end"),
                         value.alias("value"),
-                        F.substring(F.get(gaps, i), F.lit(-CONTEXT_CHARS), F.lit(CONTEXT_CHARS)).alias("before"),
+                        before(gaps, values, i).alias("before"),
                     ),
                 ),
                 lambda found: check(found["value"]),
@@ -158,8 +174,8 @@ def bootstrapped(spans: DataFrame) -> DataFrame:
         seeds.select("pattern", "value").unionByName(others).filter("pattern <> ''").distinct(), "pii-edges"
     )
     scores = written(known.select("value", "kind", F.lit(1.0).alias("score")), "pii-scores")
-    accepted = None
-    for _ in range(ROUNDS):
+    seen = known.select("value").limit(0)
+    while True:
         confident = (
             edges.join(patterns, "pattern", "left_semi").join(scores, "value", "left")
             .groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score"))
@@ -179,8 +195,9 @@ def bootstrapped(spans: DataFrame) -> DataFrame:
             ),
             "pii-accepted",
         )
-        if accepted.isEmpty():
+        if accepted.join(seen, "value", "left_anti").isEmpty():
             break
+        seen = written(seen.union(accepted.select("value")).distinct(), "pii-seen")
         scores = known.select("value", "kind", F.lit(1.0).alias("score")).unionByName(
             accepted.select("value", "kind", "score")
         )
