@@ -53,9 +53,14 @@ def ingest(
 
 
 def scored_by(rows: DataFrame, text: str, lexicon: Lexicon | DataFrame | None, scorer=None) -> DataFrame:
-    """Rows (with ``review_id``) scored by word lists, by a table of words of any size, or by a plug-in."""
+    """Rows (with ``review_id``) scored by word lists, by a table of words of any size, or by a plug-in.
+
+    An id may repeat: the table's scores are joined back by text and id, one score for all equal rows.
+    """
     if isinstance(lexicon, DataFrame):
-        return rows.join(score_by_join(rows, REVIEW_ID, text, lexicon), REVIEW_ID)
+        body = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+        keyed = rows.withColumn("_scored", F.concat(body, F.coalesce(F.col(REVIEW_ID).cast("string"), F.lit(""))))
+        return keyed.join(score_by_join(keyed, "_scored", text, lexicon).dropDuplicates(["_scored"]), "_scored").drop("_scored")
     return with_sentiment(rows, text, lexicon, scorer)
 
 

@@ -169,3 +169,15 @@ def test_empty_input(spark):
     assert [r["count"] for r in scoring.category_counts(scored).collect()] == [0, 0, 0]
     assert scoring.mean_sentiment(scored).first()[0] == 0.0
     assert [r.share for r in scoring.category_share(scored).collect()] == [0.0, 0.0, 0.0]
+
+
+def test_repeated_ids_are_scored_by_row(spark):
+    from plaudit.operators.scoring import lexicon_table
+    from plaudit.plans.analysis import scored_by
+
+    words = spark.createDataFrame([("good", 0.7), ("bad", -0.7)], "word string, polarity double")
+    texts = [("1", "good"), ("1", "bad"), ("1", "bad"), ("2", "good"), (None, "bad")]
+    rows = spark.createDataFrame(texts, "review_id string, text string")
+    scored = scored_by(rows, "text", lexicon_table(words))
+    found = sorted((r.review_id or "", r.text, r.polarity) for r in scored.collect())
+    assert found == sorted((i or "", t, 0.7 if t == "good" else -0.7) for i, t in texts)
