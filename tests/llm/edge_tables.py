@@ -23,7 +23,8 @@ def rows():
 def write(spark, folder, empty=False):
     docs = spark.createDataFrame(rows(), "doc_id bigint, text string, lang string, source string, n_chars bigint")
     for name, kind in (("score", "double"), ("size", "string"), ("target", "int"), ("spans", "string"),
-                       ("component_id", "string"), ("ids", "int"), ("weight", "int"), ("label", "string")):
+                       ("component_id", "string"), ("ids", "int"), ("weight", "int"), ("label", "string"),
+                       ("part", "int"), ("step", "string"), ("kept", "int"), ("word", "int"), ("n", "string"), ("unit", "int")):
         docs = docs.withColumn(name, F.lit(None).cast(kind))
     labels = spark.createDataFrame(
         [(i, (1, 0, None)[i % 3], (0, 0, 1, None)[i % 4]) for i in range(60)] + [(None, 1, 1), (3, 1, 0), (999, 0, 1)],

@@ -12,7 +12,10 @@ import corpus_pipeline  # noqa: E402
 import edge_tables  # noqa: E402
 from plaudit.llm.queries import QUERIES  # noqa: E402
 
-DOCUMENT_QUERIES = [name for name in QUERIES if name not in ("op4_nearest", "op5_near_embeddings")]
+DOCUMENT_QUERIES = [
+    name for name in QUERIES
+    if name not in ("op4_nearest", "op5_near_embeddings", "op12_filter_audit", "op13_spelling_variants")
+]
 CONTRACT = {
     "op1": ["doc_id", "held_out", "score", "predicted"], "op2": ["doc_id", "size", "source_size", "target", "taken"],
     "op3": ["doc_id", "n_bytes", "n_tokens", "over_limit"], "op4": ["query_id", "rank", "vec_id", "score"],
@@ -21,6 +24,11 @@ CONTRACT = {
     "op7": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op8": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9": ["doc_id", "n_shingles", "component_id", "kept"], "op10": ["doc_id", "held_out", "score", "predicted"],
+    "op11": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op12": [
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley",
+    ],
+    "op13": ["word", "form", "root", "n", "n_near", "form_n"],
 }
 
 
