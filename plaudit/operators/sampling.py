@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,38 +36,90 @@ def hash_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
     return df.filter(hash_percent(key) < checked_percents([percent])[0])
 
 
-#: Keys that are drawn to the driver to place a bound.
-KEY_SAMPLE = 10_000
+#: Keys that a round draws to place its bounds, bounds of a round, and keys that are at last ordered by the driver, per limit.
+KEY_SAMPLE, BOUNDS, LAST_KEYS = 10_000, 255, 10_000
 
 
-def nth_key(df: DataFrame, key: str, n: int):
-    """The n-th smallest key, or None if there are no more than ``n``.
+def _bucket(key: Column, bounds: list) -> Column:
+    """A key's place among sorted bounds: 2 i below bound i and above the one before it, 2 i + 1 at it. A tree of comparisons."""
 
-    A bounded sample of keys gives a bound a little above the n-th, which is checked by a
-    count; only the keys up to it, about ``n``, are then ordered.
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(2 * low)
+        middle = (low + high) // 2
+        bound = F.lit(bounds[middle])
+        return (
+            F.when(key < bound, between(low, middle)).when(key == bound, F.lit(2 * middle + 1)).otherwise(between(middle + 1, high))
+        )
+
+    return between(0, len(bounds))
+
+
+def _inside(key: Column, span: tuple) -> Column:
+    """Whether a key lies strictly between two bounds, of which None is none."""
+    low, high = span
+    above = F.lit(True) if low is None else key > F.lit(low)
+    return above if high is None else above & (key < F.lit(high))
+
+
+def nth_keys(df: DataFrame, key: str, places: Iterable[int]) -> dict:
+    """{n: the n-th smallest key, or None if there are no more than n}, all places together.
+
+    Each round draws a bounded sample of the keys that are still in question, cuts them at ``BOUNDS`` of it per span, and counts the
+    keys between and at the bounds: counts alone are shuffled. A key that many rows share is a bound with its own count. A
+    span of at most ``LAST_KEYS`` keys is fetched and ordered. A table of 10^11 keys takes three rounds.
     """
-    keys = df.select(key).filter(F.col(key).isNotNull())
-    total = keys.count()
-    if n >= total:
-        return None
-    drawn = sorted(row[0] for row in keys.sample(min(1.0, KEY_SAMPLE / total), seed=0).collect())
-    share = n / total
-    place = int((share + 4 * (share * (1 - share) / max(len(drawn), 1)) ** 0.5) * len(drawn)) + 1
-    near = keys.filter(F.col(key) <= F.lit(drawn[place])) if place < len(drawn) else keys
-    if near.count() < n:
-        near = keys
-    return near.orderBy(key).limit(n).agg(F.max(key)).first()[0]
+    keys = df.select(F.col(key).alias("_key")).filter(F.col("_key").isNotNull())
+    column, total = F.col("_key"), keys.count()
+    found = {n: None for n in places}
+    # Places that are open: n -> (span, number of keys in it, place in it from 1).
+    left = {n: ((None, None), total, n) for n in found if 0 < n < total}
+    seed = 0
+    while left:
+        seed += 1
+        small = {n: at for n, at in left.items() if at[1] <= LAST_KEYS}
+        if small:
+            wanted = reduce(or_, [_inside(column, span) for span in {at[0] for at in small.values()}])
+            last = sorted(row[0] for row in keys.filter(wanted).collect())
+            for n, (span, _, place) in small.items():
+                low, high = span
+                found[n] = [k for k in last if (low is None or k > low) and (high is None or k < high)][place - 1]
+            left = {n: at for n, at in left.items() if n not in small}
+            continue
+        spans = {at[0]: at[1] for at in left.values()}
+        wanted = keys.filter(reduce(or_, [_inside(column, span) for span in spans]))
+        share = min(1.0, KEY_SAMPLE * len(spans) / sum(spans.values()))
+        drawn = sorted({row[0] for row in wanted.sample(share, seed=seed).limit(2 * KEY_SAMPLE * len(spans)).collect()})
+        step = max(1, len(drawn) // (BOUNDS * len(spans)))
+        bounds = drawn[::step]
+        edges = sorted({bound for span in spans for bound in span if bound is not None} | set(bounds))
+        counted = {row[0]: row[1] for row in wanted.groupBy(_bucket(column, edges)).agg(F.count(F.lit(1))).collect()}
+        for n, (span, _, place) in list(left.items()):
+            first = 0 if span[0] is None else 2 * edges.index(span[0]) + 2
+            for bucket in range(first, 2 * len(edges) + 1):
+                size = counted.get(bucket, 0)
+                if place <= size:
+                    break
+                place -= size
+            i, at_bound = divmod(bucket, 2)
+            if at_bound:
+                found[n] = edges[i]
+                del left[n]
+            else:
+                low, high = edges[i - 1] if i else None, edges[i] if i < len(edges) else None
+                left[n] = ((low, high), size, place)
+    return found
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """The n rows with the smallest (unique) keys; rows without a key have no place and are not among them.
 
-    Only keys travel to find the n-th one; the texts stay in place and the bound
+    Only counts of keys travel to find the n-th one; the texts stay in place and the bound
     reaches the scan as a filter.
     """
     if n <= 0:
         return df.filter(F.lit(False))
-    last = nth_key(df, key, n)
+    last = nth_keys(df, key, [n])[n]
     return df.filter(F.col(key).isNotNull() if last is None else F.col(key) <= F.lit(last))
 
 
@@ -77,11 +131,14 @@ def smallest_level(key: str, percents: Iterable[int]) -> Column:
 
 def smallest_limit(df: DataFrame, key: str, limits: dict[int, int]) -> Column:
     """The smallest label of ``limits`` (label: first rows by key) that contains the row; null if none does."""
-    levels = []
-    for label, n in sorted(limits.items()):
-        last = nth_key(df, key, n)
-        levels.append(F.when(F.col(key).isNotNull() if last is None else F.col(key) <= F.lit(last), F.lit(label)))
-    return F.coalesce(*levels)
+    ends = nth_keys(df, key, limits.values())
+
+    def within(n: int) -> Column:
+        if n <= 0:
+            return F.lit(False)
+        return F.col(key).isNotNull() if ends[n] is None else F.col(key) <= F.lit(ends[n])
+
+    return F.coalesce(*[F.when(within(n), F.lit(label)) for label, n in sorted(limits.items())])
 
 
 def words_by_level(leveled: DataFrame, text: str, levels: Iterable[int], name: str = "pct", **word_options) -> DataFrame:

@@ -65,12 +65,40 @@ def test_first_rows_sorts_keys_and_filters_the_scan(raw):
     assert "LessThanOrEqual(doc_id" in plan and "TakeOrderedAndProject" not in plan
 
 
-def test_about_n_keys_meet_to_find_the_nth(spark, monkeypatch):
-    seen = []
-    limit = type(spark.range(1)).orderBy
-    monkeypatch.setattr(type(spark.range(1)), "orderBy", lambda df, *k: seen.append(df.count()) or limit(df, *k))
-    assert sampling.nth_key(spark.range(200_000), "id", 20_000) == 19_999
-    assert seen and seen[0] <= 24_000
+def moved_records(spark, work):
+    """What ``work`` gives, and the most records that a stage of its jobs wrote to a shuffle or a task read from one."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def stages():
+        listed = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return {listed.apply(i).stageId(): listed.apply(i).shuffleWriteRecords() for i in range(listed.size())}
+
+    before = stages()
+    found = work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    return found, max([n for stage, n in stages().items() if stage not in before], default=0)
+
+
+@pytest.mark.parametrize("last_keys", [100, sampling.LAST_KEYS])
+def test_counts_of_keys_move_to_find_the_nth(spark, monkeypatch, last_keys):
+    monkeypatch.setattr(sampling, "LAST_KEYS", last_keys)
+    places = [0, 1, 20_000, 198_000, 199_999, 200_000, 10**9]
+    found, moved = moved_records(spark, lambda: sampling.nth_keys(spark.range(0, 200_000, 1, 8), "id", places))
+    assert found == {0: None, 1: 0, 20_000: 19_999, 198_000: 197_999, 199_999: 199_998, 200_000: None, 10**9: None}
+    # Eight tasks write counts of some hundred buckets, and no keys.
+    assert 0 < moved <= 8 * 2 * (5 * sampling.BOUNDS + 20)
+
+
+def test_the_nth_of_repeated_and_null_keys_and_texts(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "LAST_KEYS", 10)
+    rows = [(None,)] * 50 + [("k",)] * 3000 + [(f"k{i:04d}",) for i in range(2000)] + [("",), ("é",)]
+    keys = sorted(row[0] for row in rows if row[0] is not None)
+    df = spark.createDataFrame(rows, "key string").repartition(5)
+    places = [1, 2, 1500, 3001, 3002, 4000, 5001]
+    assert sampling.nth_keys(df, "key", places) == {n: keys[n - 1] for n in places}
+    assert sampling.first_rows(df, "key", 3002).count() == 3002 and sampling.first_rows(df, "key", 10).count() == 3001
+    assert sampling.first_rows(df, "key", 10**6).count() == 5002 and sampling.first_rows(df, "key", 0).count() == 0
+
 
 
 def test_hash_sample_runs_before_the_words(raw):
