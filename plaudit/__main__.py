@@ -5,10 +5,10 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plaudit.functions import presets
-from plaudit.functions.sentiment import IN_MEMORY_WORDS, Lexicon, with_sentiment
+from plaudit.functions.sentiment import IN_MEMORY_WORDS, Lexicon
 from plaudit.operators import metrics
 from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.operators.scoring import lexicon_table
@@ -16,7 +16,8 @@ from plaudit.plans import analysis
 from plaudit.session import build_session
 from plaudit.sizing import is_small
 from plaudit.sources import convert, readers
-from plaudit.streaming import feed, top_words
+from plaudit.streaming import feed
+from plaudit.streaming.run import FeedRun
 
 
 def _pairs(values: list[str]) -> dict[str, str]:
@@ -80,27 +81,19 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Scored records, set-aside records and top words per window, as three queries."""
-    records = feed.read_feed(spark, args.source, format=args.format, **_pairs(args.option))
-    decoded = feed.decode(records)
-    lexicon = load_lexicon(spark, args)
-    if isinstance(lexicon, DataFrame):
-        raise SystemExit(f"a stream scores with at most {IN_MEMORY_WORDS} words in each list")
-    wanted = top_words.wanted_records(
-        feed.good_records(decoded), args.keywords, args.delay if args.drop_repeats else None
+    """Scored records, set-aside records and top words per window, from one reading of the feed."""
+    if args.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", args.state_partitions)
+    run = FeedRun(
+        args.target, load_lexicon(spark, args), tuple(args.keywords), seconds(spark, args.delay), drop_repeats=args.drop_repeats
     )
-    scored = with_sentiment(wanted, CLEAN_TEXT, lexicon)
-    start = {"every": args.every, "state_partitions": args.state_partitions}
-    windows = top_words.windowed_words(scored, delay=None if args.drop_repeats else args.delay)
-    started = [
-        top_words.write_top_words(windows, f"{args.target}/top_words", f"{args.checkpoint}/top_words", **start),
-        top_words.write_rows(scored, f"{args.target}/scored", f"{args.checkpoint}/scored", **start),
-        top_words.write_rows(
-            feed.quarantined(decoded), f"{args.target}/set_aside", f"{args.checkpoint}/set_aside", **start
-        ),
-    ]
-    for query in started:
-        query.awaitTermination()
+    records = feed.read_feed(spark, args.source, format=args.format, **_pairs(args.option))
+    run.start(records, args.checkpoint, args.every).awaitTermination()
+
+
+def seconds(spark: SparkSession, span: str) -> int:
+    """A time span such as "2 minutes" in seconds."""
+    return spark.range(1).select((F.unix_seconds(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {span}"))).alias("s")).first().s
 
 
 def compare(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -39,8 +39,9 @@ words AS (
 
 FRACTION_ROWS = ", ".join(f"({p})" for p in presets.FRACTIONS)
 
+LISTED = f"lexicon(word, polarity) AS (VALUES {_pairs(corpus.LEXICON.polarity)})"
 SCORED = f"""
-lexicon(word, polarity) AS (VALUES {_pairs(corpus.LEXICON.polarity)}),
+{LISTED},
 modifiers(word, intensity) AS (VALUES {_pairs(corpus.LEXICON.intensity)}),
 split_texts AS (
   SELECT doc_id, regexp_extract_all(lower(text), '\\p{{L}}+(?:''\\p{{L}}+)*') AS ws FROM documents),
@@ -94,6 +95,14 @@ window_counts AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY total DESC, word) AS rank FROM window_counts)"""
 
+# The long lexicon: all words of the documents, polarities by hash.
+HASHED = f"""lexicon AS (
+  SELECT DISTINCT word, (CAST('0x' || substring(md5(word), 1, 8) AS BIGINT) % 2001 - 1000) / 1000.0::DOUBLE AS polarity
+  FROM (SELECT unnest(regexp_extract_all(lower(text), '\\p{{L}}+(?:''\\p{{L}}+)*')) AS word FROM documents))"""
+SENT = f"""
+SELECT doc_id AS review_id, lower(text) AS "cleaned_reviewText", epoch_us(ts) AS send_us, polarity, category
+FROM scored JOIN events ON event_id = doc_id WHERE {KEYWORD_HIT}"""
+
 LIMIT_ROWS = ", ".join(f"({label}, {n})" for label, n in corpus.ROW_LIMITS.items())
 LIMITS = f"""
 limits(pct, n) AS (VALUES {LIMIT_ROWS}),
@@ -230,6 +239,15 @@ WITH sent AS (SELECT doc_id, text, epoch_us(ts) AS us FROM documents JOIN events
 SELECT doc_id AS review_id, lower(text) AS "cleaned_reviewText" FROM sent
 WHERE doc_id % 10 <> 0
    OR us // 1000 > (SELECT max(us) // 1000 FROM sent WHERE doc_id % 10 <> 0) - {corpus.LATE_DELAY_SECONDS} * 1000""",
+    "late_drops_stream": f"""
+WITH sent AS (SELECT doc_id, epoch_us(ts) AS us FROM documents JOIN events ON event_id = doc_id WHERE text IS NOT NULL),
+marked AS (
+  SELECT *, doc_id % 10 = 0
+    AND us < (SELECT max(us) FROM sent WHERE doc_id % 10 <> 0) - {corpus.LATE_DELAY_SECONDS}::BIGINT * 1000000 AS late FROM sent)
+SELECT count(*) AS records, count(*) FILTER (NOT late) AS kept, count(*) FILTER (late) AS late, 0 AS repeats FROM marked""",
+    "scored_records_large_lexicon_stream": f"WITH {SCORED.replace(LISTED, HASHED)} {SENT}",
+    "sentiment_scores_large_lexicon": f"WITH {SCORED.replace(LISTED, HASHED)} SELECT doc_id, polarity, category FROM scored",
+    "crash_restart_stream": f"WITH {SCORED} {SENT}",
     "restart_stream": """
 SELECT doc_id AS review_id, lower(text) AS "cleaned_reviewText" FROM documents JOIN events ON event_id = doc_id""",
     "pipeline_stream": f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +15,7 @@ from plaudit.functions.text import (
     batch_tokens_with_empty,
     epoch_seconds,
     event_time,
+    letter_words,
     stream_tokens,
 )
 from plaudit.operators import ingest, metrics, sampling, scoring, windows, words
@@ -23,7 +25,8 @@ from plaudit.plans.profile import text_profile
 from plaudit.session import work_dir
 from plaudit.sizing import rounds, spread
 from plaudit.sources import convert, readers, writers
-from plaudit.streaming import feed, top_words as stream
+from plaudit.streaming import feed, run, top_words as stream
+from plaudit.streaming.run import FeedRun
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -416,18 +419,86 @@ def _replayed(spark: SparkSession, sf_dir: str, folder: str, start: Callable[[],
     )
 
 
+def _fed(
+    spark: SparkSession, sf_dir: str, folder: str, feed_run: FeedRun, copies: int = 1, start_again: bool = False
+) -> None:
+    """A run over the replayed reviews. One that may be stopped by a failure starts again from its checkpoint until it is done."""
+
+    def start() -> None:
+        while True:
+            query = feed_run.start(feed.read_feed(spark, f"{folder}/feed"), f"{folder}/checkpoint")
+            try:
+                return query.awaitTermination()
+            except StreamingQueryException:
+                if not start_again:
+                    raise
+
+    rows = reviews(spark, sf_dir)
+    if copies > 1:
+        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
+    feed.replay(rows, "review_id", CLEAN_TEXT, "send_ts", f"{folder}/feed", rounds(table(spark, sf_dir, "documents")), start)
+
+
+def _scored_columns(records: DataFrame) -> DataFrame:
+    return _numbered(records).select("review_id", CLEAN_TEXT, "send_us", "polarity", "category")
+
+
 def window_top_words_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "stream")
+    feed_run = FeedRun(f"{folder}/out", corpus.LEXICON, corpus.KEYWORDS, corpus.REPLAY_DELAY_SECONDS)
+    _fed(spark, sf_dir, folder, feed_run)
+    return _epochs(windows.read_window_documents(run.read_windows(spark, f"{folder}/out")))
 
-    def start() -> StreamingQuery:
-        counted = stream.windowed_words(
-            stream.scored_records(_records(spark, folder), corpus.LEXICON, corpus.KEYWORDS),
-            delay=f"{corpus.REPLAY_DELAY_SECONDS} seconds",
-        )
-        return stream.write_top_words(counted, f"{folder}/out", f"{folder}/checkpoint", **_state(spark))
 
-    _replayed(spark, sf_dir, folder, start)
-    return _epochs(windows.read_window_documents(stream.read_top_words(spark, f"{folder}/out")))
+def hashed_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A long lexicon: every word of the documents, its polarity by a hash, with the corpus's modifiers and negations."""
+    found = documents(spark, sf_dir).select(F.explode(letter_words(F.col("text"))).alias("word")).distinct()
+    place = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint") % 2001
+    others = scoring.lexicon_frame(spark, corpus.LEXICON).filter("polarity is null or intensity is not null or negates")
+    modifiers, negations = others.filter("intensity is not null"), others.filter("negates")
+    return scoring.lexicon_table(found.withColumn("polarity", (place - 1000) / F.lit(1000.0)), modifiers, negations)
+
+
+def scored_records_large_lexicon_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed scored by a lexicon that no plan could carry, whose words meet each micro-batch's."""
+    folder = work_dir(spark, "large-lexicon")
+    writers.write_parquet(hashed_lexicon(spark, sf_dir), f"{folder}/lexicon")
+    lexicon = readers.read_parquet(spark, f"{folder}/lexicon")
+    _fed(spark, sf_dir, folder, FeedRun(f"{folder}/out", lexicon, corpus.KEYWORDS, corpus.REPLAY_DELAY_SECONDS))
+    return _scored_columns(run.read_scored(spark, f"{folder}/out"))
+
+
+def sentiment_scores_large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scoring.with_table_sentiment(documents(spark, sf_dir), "text", hashed_lexicon(spark, sf_dir))
+    return rows.select("doc_id", "polarity", "category")
+
+
+def crash_restart_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record is sent twice, and the stream fails once after each of its sinks: each is scored once all the same."""
+    folder = work_dir(spark, "crash")
+    failures = ["_batches", "top_words", "_minutes", "_ids", "scored", "set_aside"]
+
+    def fail(sink: str, number: int) -> None:
+        if failures and sink == failures[-1]:
+            failures.pop()
+            raise RuntimeError(f"stopped after {sink} of batch {number}")
+
+    feed_run = FeedRun(
+        f"{folder}/out", corpus.LEXICON, corpus.KEYWORDS, corpus.REPLAY_DELAY_SECONDS, drop_repeats=True, after=fail
+    )
+    _fed(spark, sf_dir, folder, feed_run, copies=2, start_again=True)
+    return _scored_columns(run.read_scored(spark, f"{folder}/out"))
+
+
+def late_drops_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth review comes after all others: what the batches say that they read, kept and dropped as late."""
+    folder = work_dir(spark, "late-drops")
+    rows = reviews(spark, sf_dir)
+    feed_run = FeedRun(f"{folder}/out", corpus.LEXICON, ("",), corpus.LATE_DELAY_SECONDS, drop_repeats=True)
+    for late in (False, True):
+        _send(rows.filter((F.col("review_id") % 10 == 0) == F.lit(late)), folder)
+        feed_run.start(feed.read_feed(spark, f"{folder}/feed"), f"{folder}/checkpoint").awaitTermination()
+    return run.batches(spark, f"{folder}/out").agg(*[F.sum(name).alias(name) for name in ("records", "kept", "late", "repeats")])
 
 
 def scored_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,10 +559,10 @@ def pipeline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw.write.text(f"{folder}/raw")
     ingest_raw(spark, f"{folder}/raw", f"{folder}/clean")
     convert.convert_new_files(spark, f"{folder}/clean", f"{folder}/json")
-    for run in ("first", "second"):
+    for turn in ("first", "second"):
         feed.publish_new_files(
-            spark, f"{folder}/json/data", "review_id", f"{folder}/{run}", schema=f"review_id string, {CLEAN_TEXT} string",
-            path=f"{folder}/feed/{run}",
+            spark, f"{folder}/json/data", "review_id", f"{folder}/{turn}", schema=f"review_id string, {CLEAN_TEXT} string",
+            path=f"{folder}/feed/{turn}",
         )
     wanted = stream.wanted_records(
         _records(spark, folder, "feed/*"), corpus.KEYWORDS, repeats_within=f"{corpus.WHOLE_FEED_SECONDS} seconds"
@@ -551,7 +622,8 @@ QUERIES: dict[str, Query] = {
         sentiment_scores_salted, sentiment_counts, sentiment_counts_limited, row_limit_metrics,
         sentiment_mean, sentiment_share, run_metrics, fraction_metrics, profile, run_compare,
         window_word_counts, window_top_words, event_times, publish_roundtrip,
-        window_top_words_stream, scored_records_stream, dedup_stream, late_rows_stream, restart_stream,
+        window_top_words_stream, scored_records_stream, scored_records_large_lexicon_stream, sentiment_scores_large_lexicon,
+        dedup_stream, late_rows_stream, late_drops_stream, restart_stream, crash_restart_stream,
         quarantine_stream, publish_new_files_stream, pipeline_stream,
     )
 }

@@ -47,6 +47,10 @@ class Lexicon:
             raise ValueError(
                 f"more than {max_rows} words: score with operators.scoring.score_by_join instead"
             )
+        return cls.from_rows(rows)
+
+    @classmethod
+    def from_rows(cls, rows: Iterable) -> Lexicon:
         return cls(
             {r.word: r.polarity for r in rows if r.polarity is not None},
             {r.word: r.intensity for r in rows if r.intensity is not None},

@@ -13,8 +13,9 @@ from plaudit.functions.sentiment import (
     is_negated,
     mean_polarity,
     with_neighbours,
+    with_sentiment,
 )
-from plaudit.functions.text import counted_label, letter_words
+from plaudit.functions.text import counted_label, has_content, letter_words
 from plaudit.sources.readers import in_memory
 from plaudit.sizing import BROADCAST_MAX_ROWS, is_small, lookup_join
 
@@ -104,6 +105,36 @@ def score_by_join(
     )
 
 
+def occurring_words(df: DataFrame, text: str, table: DataFrame) -> DataFrame:
+    """The part of a lexicon table whose words occur in the texts. Each word meets the table once, however often it occurs."""
+    words = df.select(F.explode(F.array_distinct(letter_words(F.col(text)))).alias("word")).distinct()
+    return table.join(words, "word", "left_semi")
+
+
+def with_table_sentiment(
+    df: DataFrame, text: str, table: DataFrame, max_words: int = BROADCAST_MAX_ROWS
+) -> DataFrame:
+    """Add ``polarity`` and ``category`` by a lexicon table of any size.
+
+    Of the table only the words that occur in the texts matter. If they are at most ``max_words``, they are fetched
+    and travel with the tasks as dictionaries: texts stay in place, and nothing is joined. Otherwise the words
+    meet the table in joins, and the scores come back by a hash of the text; texts without content take no part in that.
+    """
+    found = occurring_words(df, text, table).select("word", "polarity", "intensity", "negates").limit(max_words + 1).collect()
+    if len(found) <= max_words:
+        return with_sentiment(df, text, Lexicon.from_rows(found), form="arrow")
+    # No two texts without content share a key, so none of them is hot; their scores are not looked for.
+    nothing = F.concat(F.lit("-"), F.rand().cast("string"))
+    keyed = df.withColumn("_scored", F.when(has_content(F.col(text)), F.sha2(F.col(text), 256)).otherwise(nothing))
+    # Copies of a text add to its sum and to its hits alike, which leaves the mean as it is.
+    filled = keyed.filter(~F.startswith("_scored", F.lit("-")))
+    scores = score_by_join(filled, "_scored", text, table, max_words).dropDuplicates(["_scored"])
+    return keyed.join(scores, "_scored", "left").select(
+        *df.columns, F.coalesce("polarity", F.lit(0.0)).alias("polarity"),
+        F.coalesce("category", category(F.lit(0.0))).alias("category"),
+    )
+
+
 def _category_count(name: str):
     return F.count_if(F.col("category") == name)
 

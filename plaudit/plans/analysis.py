@@ -17,7 +17,7 @@ from plaudit.operators.sampling import (
 )
 from plaudit.operators.words import ranked, top_words, word_frequency, word_rows
 from plaudit.sizing import leaves_cores_idle, spread
-from plaudit.operators.scoring import score_by_join
+from plaudit.operators.scoring import with_table_sentiment
 from plaudit.sources.readers import CORRUPT, REVIEW_ID, in_memory, read_json_lines, read_reviews, size_report
 from plaudit.sources.writers import write_parquet, write_partitions, write_report
 
@@ -53,14 +53,9 @@ def ingest(
 
 
 def scored_by(rows: DataFrame, text: str, lexicon: Lexicon | DataFrame | None, scorer=None) -> DataFrame:
-    """Rows (with ``review_id``) scored by word lists, by a table of words of any size, or by a plug-in.
-
-    An id may repeat: the table's scores are joined back by text and id, one score for all equal rows.
-    """
+    """Rows scored by word lists, by a table of words of any size, or by a plug-in."""
     if isinstance(lexicon, DataFrame):
-        body = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-        keyed = rows.withColumn("_scored", F.concat(body, F.coalesce(F.col(REVIEW_ID).cast("string"), F.lit(""))))
-        return keyed.join(score_by_join(keyed, "_scored", text, lexicon).dropDuplicates(["_scored"]), "_scored").drop("_scored")
+        return with_table_sentiment(rows, text, lexicon)
     return with_sentiment(rows, text, lexicon, scorer)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CORRUPT = "_corrupt_record"
@@ -40,6 +41,16 @@ def read_parquet(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return reader.parquet(path)
 
 
+def read_if_there(spark: SparkSession, path: str, schema: str, format: str = "parquet") -> DataFrame:
+    """A table, without rows if there is no such path yet."""
+    try:
+        return spark.read.format(format).schema(schema).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return in_memory(spark, [], schema)
+
+
 def row_place(root: str) -> Column:
     """A row's file below ``root`` and its number in it: an exact id that every later read gives again.
 

@@ -95,13 +95,14 @@ def write_top_words(
     """Write one nested document per finished window.
 
     In append mode all words of a window arrive in the same micro-batch, so ranking
-    there is exact. A batch that runs again overwrites its own folder, and an error
-    fails the batch instead of losing the window.
+    there is exact. A batch that runs again overwrites its own folder, named by its query's id, which is that of the
+    checkpoint, and its number; an error fails the batch instead of losing the window.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         documents = window_documents(top_per_window(batch, k))
-        documents.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/batch_id={batch_id}")
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        documents.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/run={run}/batch_id={batch_id}")
 
     conf = {**ROCKSDB_STATE, **start_options.pop("conf", {})}
     return start_stream(windows, checkpoint, lambda w: w.foreachBatch(write_batch), conf=conf, **start_options)
@@ -123,4 +124,4 @@ DOCUMENT_SCHEMA = (
 
 def read_top_words(spark, folder: str) -> DataFrame:
     """All window documents written so far."""
-    return spark.read.schema(DOCUMENT_SCHEMA).json(f"{folder}/batch_id=*")
+    return spark.read.schema(DOCUMENT_SCHEMA).json(f"{folder}/run=*/batch_id=*")

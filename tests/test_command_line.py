@@ -3,7 +3,7 @@
 import json
 
 from plaudit.__main__ import main
-from plaudit.streaming.top_words import read_top_words
+from plaudit.streaming.run import batches, read_scored, read_set_aside, read_windows
 
 
 def test_pipeline(spark, tmp_path, capsys):
@@ -29,10 +29,11 @@ def test_pipeline(spark, tmp_path, capsys):
     assert spark.read.json(str(tmp_path / "feed" / "*")).count() == 8
     run("stream", tmp_path / "feed" / "*", tmp_path / "out", "--checkpoint", tmp_path / "sc", "--state-partitions", 2,
         "--drop-repeats", "--delay", "1 day")
-    scored = spark.read.parquet(str(tmp_path / "out" / "scored"))
+    scored = read_scored(spark, str(tmp_path / "out"))
     assert {r.category: r["count"] for r in scored.groupBy("category").count().collect()} == {"positive": 1, "negative": 2}
     assert scored.select("review_id").distinct().count() == 3 and scored.filter("review_id is null").count() == 0
-    assert spark.read.parquet(str(tmp_path / "out" / "set_aside")).count() == 0
+    assert read_set_aside(spark, str(tmp_path / "out")).count() == 0
+    assert {r.repeats for r in batches(spark, str(tmp_path / "out")).collect()} == {3}
 
     # The same run cached and uncached, compared by task.
     assert result["total_records"] == 4
@@ -64,6 +65,17 @@ def test_a_lexicon_too_long_for_a_task_is_joined(spark, tmp_path, capsys, monkey
     assert (result["positive_count"], result["negative_count"], result["neutral_count"]) == (1, 1, 1)
 
 
+def test_a_stream_takes_a_lexicon_too_long_for_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("plaudit.__main__.IN_MEMORY_WORDS", 1)
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    value = json.dumps({"review_id": 1, "cleaned_reviewText": "great phone", "send_time": 1_700_000_000.0})
+    (folder / "0.json").write_text(json.dumps({"key": "1", "value": value}))
+    spark.createDataFrame([("phone", -0.5), ("cable", -0.5)], "word string, polarity double").write.parquet(str(tmp_path / "lex"))
+    main([str(a) for a in ("stream", folder, tmp_path / "out", "--checkpoint", tmp_path / "c", "--lexicon", tmp_path / "lex")], spark)
+    assert [(r.review_id, r.category) for r in read_scored(spark, str(tmp_path / "out")).collect()] == [("1", "negative")]
+
+
 def test_windows_appear_once_time_passes(spark, tmp_path):
     folder = tmp_path / "feed"
     folder.mkdir()
@@ -72,5 +84,5 @@ def test_windows_appear_once_time_passes(spark, tmp_path):
         (folder / f"{n}.json").write_text(json.dumps({"key": "1", "value": value}))
     args = ["stream", folder, tmp_path / "out", "--checkpoint", tmp_path / "c", "--state-partitions", 2, "--drop-repeats"]
     main([str(a) for a in args], spark)
-    rows = read_top_words(spark, str(tmp_path / "out" / "top_words")).collect()
+    rows = read_windows(spark, str(tmp_path / "out")).collect()
     assert len(rows) == 5 and {w.word for r in rows for w in r.top_words} == {"great", "phone"}
