@@ -34,7 +34,7 @@ def load_lexicon(spark: SparkSession, args: argparse.Namespace) -> Lexicon | Dat
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    print(json.dumps(analysis.ingest(spark, args.source, args.target, id_column=args.id)))
+    print(json.dumps(analysis.ingest(spark, args.source, args.target, id_column=args.id, set_aside=args.set_aside)))
 
 
 def analyze(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -125,6 +125,8 @@ def parser() -> argparse.ArgumentParser:
     sub = command(ingest, "ingest")
     sub.add_argument("--id", help="field that holds a unique id; without it a review is known by its place in the clean files")
 
+    sub.add_argument("--set-aside", action="store_true", help="keep lines that cannot be used, beside the clean ones in target/status=clean")
+
     sub = command(analyze, "analyze", lexicon=True)
     sub.add_argument("--percent", type=int, default=100)
     sub.add_argument("--key", help="draw the sample by the hash of this column")

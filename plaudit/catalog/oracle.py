@@ -121,6 +121,16 @@ ORACLE: dict[str, str] = {
     "ingest_clean": f"{CLEAN} WHERE regexp_matches(text, '\\S')",
     "ingest_json": f"{CLEAN_ONLY} WHERE text IS NOT NULL",
     "malformed_lines": "SELECT regexp_replace(html, '[\\r\\n]', ' ', 'g') AS line FROM pages",
+    "ingest_quarantine": """
+SELECT 'clean' AS status, doc_id AS review_id, lower(text) AS "cleaned_reviewText", CAST(NULL AS VARCHAR) AS line, false AS has_file
+FROM documents WHERE text IS NOT NULL
+UNION ALL SELECT 'without_text', doc_id, NULL, CAST(to_json({doc_id: doc_id}) AS VARCHAR), true FROM documents WHERE text IS NULL
+UNION ALL SELECT 'without_text', NULL, NULL, CAST(props AS VARCHAR), true FROM events
+UNION ALL SELECT 'malformed', NULL, NULL, regexp_replace(html, '[\\r\\n]', ' ', 'g'), true FROM pages""",
+    "mixed_files_convert": """
+SELECT NULL AS own_id, lower(text) AS "cleaned_reviewText" FROM documents WHERE lang IS DISTINCT FROM 'en'
+UNION ALL SELECT 'doc ' || doc_id, lower(text) FROM documents WHERE lang = 'en'
+UNION ALL SELECT CAST(doc_id AS VARCHAR), lower(text) FROM documents WHERE doc_id % 3 = 1""",
     "json_glob": f"{CLEAN_ONLY} WHERE regexp_matches(text, '\\S')",
     "incremental_convert": CLEAN_ONLY,
     "incremental_convert_stream": CLEAN_ONLY,

@@ -93,6 +93,41 @@ def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines of three kinds in one pass: clean reviews, and lines that are no JSON or hold no review as they were."""
+    folder = work_dir(spark, "quarantine-batch")
+    raw = table(spark, sf_dir, "documents").select(F.to_json(F.struct(F.col("text").alias("reviewText"), "doc_id")).alias("value"))
+    other = table(spark, sf_dir, "events").select(F.col("props").alias("value"))
+    markup = table(spark, sf_dir, "pages").select(F.regexp_replace("html", r"[\r\n]", " ").alias("value"))
+    raw.unionByName(other).unionByName(markup).write.text(f"{folder}/raw")
+    ingest_raw(spark, f"{folder}/raw", f"{folder}/lines", id_column="doc_id", set_aside=True)
+    lines = readers.read_parquet(spark, f"{folder}/lines")
+    return _numbered(lines).select("status", "review_id", CLEAN_TEXT, "line", F.col("source_file").isNotNull().alias("has_file"))
+
+
+def mixed_files_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with ids as numbers, ids as text and no ids, one of them rewritten in place: each converted by its own schema."""
+    folder = work_dir(spark, "mixed")
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias(CLEAN_TEXT), "lang")
+    number, text = F.col("doc_id").alias("review_id"), F.concat(F.lit("doc "), "doc_id").alias("review_id")
+    for name, rows in (
+        ("a", texts.filter(_english(True)).select(CLEAN_TEXT)), ("b", texts.filter(_english(False)).select(text, CLEAN_TEXT)),
+        ("c", texts.filter("doc_id % 3 = 0").select(number, CLEAN_TEXT)),
+    ):
+        writers.write_parquet(rows.coalesce(1), f"{folder}/source/{name}")
+    convert.convert_new_files(spark, f"{folder}/source", f"{folder}/target")
+    # The same file name with other rows: it is taken for a new file, and its rows replace the old ones.
+    changed = texts.filter("doc_id % 3 = 1").select(number, CLEAN_TEXT)
+    (old,) = [row.path for row in readers.list_files(spark, f"{folder}/source/c", ".parquet").collect()]
+    writers.write_parquet(changed.coalesce(1), f"{folder}/changed")
+    (new,) = [row.path for row in readers.list_files(spark, f"{folder}/changed", ".parquet").collect()]
+    writers.replace_file(spark, new, old)
+    convert.convert_new_files(spark, f"{folder}/source", f"{folder}/target")
+    rows = readers.read_json_lines(spark, f"{folder}/target/data", f"review_id string, {CLEAN_TEXT} string")
+    own = F.when(F.col("review_id").rlike("^(doc )?[0-9]+$"), F.col("review_id"))
+    return rows.select(own.alias("own_id"), CLEAN_TEXT)
+
+
 def json_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines written and read back by file pattern, nulls written as nulls."""
     folder = work_dir(spark, "json")
@@ -610,7 +645,7 @@ def publish_new_files_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        ingest_clean, ingest_json, malformed_lines, json_glob, incremental_convert,
+        ingest_clean, ingest_json, malformed_lines, ingest_quarantine, json_glob, incremental_convert, mixed_files_convert,
         incremental_convert_stream, report_json, output_size, source_files, partition_report,
         exclude_texts, keyword_filter, keyword_filter_whole_word, default_keyword_filter,
         sample_fraction, bernoulli_sample, bernoulli_sample_all,

@@ -6,11 +6,12 @@ import time
 from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plaudit.functions import presets
 from plaudit.functions.sentiment import Lexicon, with_sentiment
-from plaudit.operators.ingest import CLEAN_TEXT, clean_reviews, exclude_texts, non_blank
+from plaudit.functions.text import cleaned, has_content
+from plaudit.operators.ingest import CLEAN_TEXT, exclude_texts, non_blank
 from plaudit.operators.metrics import observed, partition_count, sentiment_measures, with_rates
 from plaudit.operators.sampling import (
     bernoulli_sample, checked_percents, first_rows, hash_sample, smallest_level, smallest_limit, sweep_word_frequency,
@@ -23,35 +24,76 @@ from plaudit.sources.writers import write_parquet, write_partitions, write_repor
 
 
 def ingest(
-    spark: SparkSession, source: str, target: str, text: str = "reviewText", id_column: str | None = None
+    spark: SparkSession, source: str, target: str, text: str = "reviewText", id_column: str | None = None,
+    set_aside: bool = False,
 ) -> dict:
     """Raw JSON lines to clean Parquet; returns the counts, taken while writing.
 
     A unique id in the raw lines is kept as ``review_id``. Without one, a review's id is its
     place in the clean files, which every reader derives alike (``readers.read_reviews``).
+
+    With ``set_aside`` lines that cannot be used are kept as well: one scan is dealt by what becomes of a line into
+    ``target/status=clean``, ``status=malformed`` and ``status=without_text``. ``clean`` in the result is the folder of the clean reviews.
     """
-    fields = f"{text} string" + (f", `{id_column}` string" if id_column else "")
-    raw, seen = observed(
-        read_json_lines(spark, source, fields, with_corrupt=True),
+    keep = [REVIEW_ID] if id_column else []
+    lines = routed_lines(spark, source, text, id_column) if set_aside else _parsed_lines(spark, source, text, id_column)
+    lines, seen = observed(
+        lines,
         "ingest-raw",
         [
             F.count(F.lit(1)).alias("lines"),
-            F.count(CORRUPT).alias("malformed"),
-            F.count_if(F.col(text).isNull() & F.col(CORRUPT).isNull()).alias("without_text"),
+            F.count_if(F.col("status") == "malformed").alias("malformed"),
+            F.count_if(F.col("status") == "without_text").alias("without_text"),
         ],
     )
-    kept = raw.withColumn(REVIEW_ID, F.col(id_column)) if id_column else raw
-    write_parquet(clean_reviews(kept, text, keep=[REVIEW_ID] if id_column else []), target)
-    size = size_report(spark, target, ".parquet").first()
+    if set_aside:
+        write_partitions(lines, target, "status")
+        clean = f"{target}/status=clean"
+    else:
+        write_parquet(lines.filter(F.col("status") == "clean").select(*keep, CLEAN_TEXT), target)
+        clean = target
+    size = size_report(spark, clean, ".parquet").first()
     counts = dict(seen.get)
     return {
         **counts,
         "ingested": counts["lines"] - counts["malformed"] - counts["without_text"],
         "files": size["files"],
         "gib": size["gib"],
+        "clean": clean,
     }
 
 
+def _raw_schema(text: str, id_column: str | None) -> str:
+    return f"`{text}` string" + (f", `{id_column}` string" if id_column else "")
+
+
+def _parsed_lines(spark: SparkSession, source: str, text: str, id_column: str | None) -> DataFrame:
+    """Lines with their status, without their raw text."""
+    raw = read_json_lines(spark, source, _raw_schema(text, id_column), with_corrupt=True)
+    kept = [F.col(id_column).alias(REVIEW_ID)] if id_column else []
+    return raw.select(*kept, cleaned(F.col(text)).alias(CLEAN_TEXT), line_status(F.col(CORRUPT), F.col(text)).alias("status"))
+
+
+def routed_lines(spark: SparkSession, source: str, text: str = "reviewText", id_column: str | None = None) -> DataFrame:
+    """([review_id], text, line, source_file, status): clean reviews, and the others as the lines that they were, with their file."""
+    schema = f"{_raw_schema(text, id_column)}, {CORRUPT} string"
+    parsed = spark.read.text(source).filter(has_content(F.col("value"))).select(
+        "value", F.col("_metadata.file_path").alias("source_file"),
+        F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_r"),
+    )
+    status = line_status(F.col(f"_r.{CORRUPT}"), F.col(f"_r.{text}"))
+    kept = [F.col(f"_r.{id_column}").alias(REVIEW_ID)] if id_column else []
+    aside = status != "clean"
+    return parsed.select(
+        *kept, cleaned(F.col(f"_r.{text}")).alias(CLEAN_TEXT), F.when(aside, F.col("value")).alias("line"),
+        F.when(aside, F.col("source_file")).alias("source_file"), status.alias("status"),
+    )
+
+
+def line_status(corrupt: Column, text: Column) -> Column:
+    return F.when(corrupt.isNotNull(), "malformed").when(text.isNull(), "without_text").otherwise("clean")
+
+
 def scored_by(rows: DataFrame, text: str, lexicon: Lexicon | DataFrame | None, scorer=None) -> DataFrame:
     """Rows scored by word lists, by a table of words of any size, or by a plug-in."""
     if isinstance(lexicon, DataFrame):

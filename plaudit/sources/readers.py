@@ -84,7 +84,7 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
-    """(path, length, file_path) of all files below a folder with the suffix.
+    """(path, length, modified, file_path) of all files below a folder with the suffix.
 
     Contents are not read: only listing columns reach the scan. ``file_path`` is
     spelled as in the ``_metadata`` of any other scan of the same file.
@@ -94,7 +94,7 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{suffix}")
         .load(path)
-        .select("path", "length", F.col("_metadata.file_path").alias("file_path"))
+        .select("path", "length", F.col("modificationTime").alias("modified"), F.col("_metadata.file_path").alias("file_path"))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -28,3 +28,17 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_report(df: DataFrame, path: str) -> None:
     """A report of a few rows as a single JSON-lines file."""
     df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a file over another."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(path) for path in (source, target)]
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    systems = [path.getFileSystem(conf) for path in paths]
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(systems[0], paths[0], systems[1], paths[1], False, True, conf)

@@ -58,7 +58,7 @@ def test_all_results_from_one_reading(spark, files, tmp_path):
     assert totals.mark == (BASE + 2000 - 60) * 1e6
 
 
-@pytest.mark.parametrize("sink, failing_batch", zip(SINKS, (0, 1, 1, 0, 1, 1)))
+@pytest.mark.parametrize("sink, failing_batch", list(zip(SINKS, (0, 1, 1, 0, 1, 1))))
 def test_a_crash_in_a_sink_loses_and_repeats_nothing(spark, files, tmp_path, sink, failing_batch):
     for part in split(REVIEWS + REVIEWS[:3], 6):
         files.reviews(*part)

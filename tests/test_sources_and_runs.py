@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from plaudit.functions.sentiment import Lexicon
 from plaudit.operators.ingest import CLEAN_TEXT
-from plaudit.plans.analysis import ingest, run_analysis, run_sweep
+from plaudit.plans.analysis import ingest, routed_lines, run_analysis, run_sweep
 from plaudit.session import work_dir
 from plaudit.sizing import plan_bytes, spread
 from plaudit.sources import convert, readers, writers
@@ -40,6 +40,22 @@ def test_ingest(spark, raw, tmp_path):
     assert result["gib"] > 0 and result["files"] >= 1
 
 
+def test_ingest_sets_bad_lines_aside(spark, raw, tmp_path):
+    result = ingest(spark, raw, str(tmp_path / "out"), set_aside=True)
+    assert {k: result[k] for k in ("lines", "malformed", "without_text", "ingested")} == {
+        "lines": 7, "malformed": 2, "without_text": 2, "ingested": 3,
+    }
+    rows = readers.read_parquet(spark, str(tmp_path / "out")).collect()
+    assert {r.line: r.status for r in rows if r.status != "clean"} == {
+        RAW[1]: "without_text", RAW[2]: "without_text", RAW[3]: "malformed", RAW[5]: "malformed",
+    }
+    assert all((r.source_file or "").endswith("raw.json") == (r.status != "clean") for r in rows)
+    clean = readers.read_reviews(spark, result["clean"])
+    assert sorted(r[CLEAN_TEXT] for r in clean.collect()) == ["", "good one", "ünï \n line"]
+    plan = routed_lines(spark, raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_ingest_failure_is_raised(spark, tmp_path):
     with pytest.raises(Exception):
         ingest(spark, str(tmp_path / "missing.json"), str(tmp_path / "clean"))
@@ -110,6 +126,44 @@ def test_conversion_repeats_after_a_lost_manifest(spark, tmp_path):
     assert texts(spark, target) == ["a", "b", "c"]
 
 
+def write_file(spark, path, rows, schema):
+    folder = path.parent / f"tmp-{path.stem}"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(str(folder))
+    (file,) = folder.glob("part-*.parquet")
+    path.write_bytes(file.read_bytes())
+    for left in folder.iterdir():
+        left.unlink()
+    for left in folder.parent.glob(f"tmp-{path.stem}/.*"):
+        left.unlink()
+    folder.rmdir()
+
+
+@pytest.mark.parametrize("types", [("bigint", "bigint"), ("bigint", "string")])
+def test_files_of_other_schemas_and_rewritten_files(spark, tmp_path, types):
+    source, target = tmp_path / "source", str(tmp_path / "target")
+    source.mkdir()
+    write_file(spark, source / "a.parquet", [("a",)], f"{CLEAN_TEXT} string")
+    for name, kind in zip("bc", types):
+        own = 7 if kind == "bigint" else "seven"
+        write_file(spark, source / f"{name}.parquet", [(own, name), (None, name * 2)], f"review_id {kind}, {CLEAN_TEXT} string")
+
+    def converted():
+        rows = readers.read_json_lines(spark, f"{target}/data", f"review_id string, {CLEAN_TEXT} string").collect()
+        return {r[CLEAN_TEXT]: r.review_id for r in rows}
+
+    assert convert.convert_new_files(spark, str(source), target) == 3
+    ids = {"a": "a.parquet:0", "b": "7", "bb": "b.parquet:1", "c": "7" if types[1] == "bigint" else "seven", "cc": "c.parquet:1"}
+    assert converted() == ids and convert.convert_new_files(spark, str(source), target) == 0
+    write_file(spark, source / "b.parquet", [(9, "other")], f"review_id bigint, {CLEAN_TEXT} string")
+    assert [r.source_file for r in convert.pending_files(spark, str(source), target).collect()] == ["b.parquet"]
+    assert convert.convert_new_files(spark, str(source), target) == 1
+    assert converted() == {"a": ids["a"], "other": "9", "c": ids["c"], "cc": ids["cc"]}
+    # A manifest of many files becomes one that says the same.
+    convert.compact_manifest(spark, target, most_files=1)
+    assert len(list((tmp_path / "target" / "_manifest").glob("run=*"))) == 1
+    assert convert.convert_new_files(spark, str(source), target) == 0
+
+
 def test_streamed_conversion(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("source", "target", "checkpoint"))
     for values in (["a", None], ["b"], []):
