@@ -143,6 +143,13 @@ UNION ALL SELECT CAST(doc_id AS VARCHAR), lower(text) FROM documents WHERE doc_i
     "keyword_filter": f"{CLEAN} WHERE {KEYWORD_HIT}",
     "keyword_filter_whole_word": f"""{CLEAN}
 WHERE regexp_matches(lower(text), '(^|[^\\p{{L}}])({"|".join(corpus.WHOLE_WORDS)})([^\\p{{L}}]|$)')""",
+    "keyword_table_filter": f"""
+WITH cut AS (SELECT text, string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+') AS words FROM benchmark),
+keywords AS (
+  SELECT DISTINCT lower(keyword) AS keyword FROM (
+    SELECT unnest(words) AS keyword FROM cut UNION ALL SELECT array_to_string(words[1:4], ' ') FROM cut)
+  WHERE length(keyword) >= 12 OR contains(keyword, ' '))
+{CLEAN} WHERE regexp_matches(text, '\\S') AND EXISTS (SELECT 1 FROM keywords WHERE contains(lower(text), keyword))""",
     "default_keyword_filter": f"{CLEAN} WHERE "
     + " OR ".join(f"contains(lower(text), {_text(word)})" for word in presets.STREAM_KEYWORDS),
     "sample_fraction": f"SELECT doc_id, text FROM documents WHERE {PLACE} < 40",
@@ -206,6 +213,10 @@ SELECT count(*) AS total_records, round(coalesce(avg(polarity), 0.0::DOUBLE), 6)
        count(*) FILTER (category = 'positive') AS positive_count,
        count(*) FILTER (category = 'negative') AS negative_count,
        count(*) FILTER (category = 'neutral') AS neutral_count FROM scored""",
+    # A kept input is scanned by the first task alone, another by each task that uses it.
+    "run_tasks": """
+SELECT * FROM (VALUES (true, 'read', true), (true, 'words', false), (true, 'sentiment', false),
+  (false, 'read', false), (false, 'words', true), (false, 'sentiment', true)) t(kept, task, scans)""",
     "fraction_metrics": f"""
 WITH {SCORED}, fractions(pct) AS (VALUES {FRACTION_ROWS})
 SELECT pct, count(doc_id) AS total_records, round(coalesce(avg(polarity), 0.0::DOUBLE), 6) AS avg_sentiment,
@@ -255,6 +266,12 @@ marked AS (
   SELECT *, doc_id % 10 = 0
     AND us < (SELECT max(us) FROM sent WHERE doc_id % 10 <> 0) - {corpus.LATE_DELAY_SECONDS}::BIGINT * 1000000 AS late FROM sent)
 SELECT count(*) AS records, count(*) FILTER (NOT late) AS kept, count(*) FILTER (late) AS late, 0 AS repeats FROM marked""",
+    "late_progress_stream": f"""
+WITH sent AS (SELECT doc_id, epoch_us(ts) AS us FROM documents JOIN events ON event_id = doc_id WHERE text IS NOT NULL),
+marked AS (
+  SELECT *, doc_id % 10 = 0
+    AND us // 1000 <= (SELECT max(us) // 1000 FROM sent WHERE doc_id % 10 <> 0) - {corpus.LATE_DELAY_SECONDS}::BIGINT * 1000 AS late FROM sent)
+SELECT count(*) AS records, count(*) FILTER (NOT late) AS kept, count(*) FILTER (late) AS late FROM marked""",
     "scored_records_large_lexicon_stream": f"WITH {SCORED.replace(LISTED, HASHED)} {SENT}",
     "sentiment_scores_large_lexicon": f"WITH {SCORED.replace(LISTED, HASHED)} SELECT doc_id, polarity, category FROM scored",
     "crash_restart_stream": f"WITH {SCORED} {SENT}",
@@ -266,6 +283,6 @@ SELECT lower(text) AS "cleaned_reviewText", polarity, category FROM scored WHERE
     "quarantine_stream": """
 SELECT html AS value, 'not valid JSON' AS problem FROM pages
 UNION ALL SELECT props, 'no text' FROM events
-UNION ALL SELECT '', 'no id' FROM benchmark""",
+UNION ALL SELECT CAST(to_json({cleaned_reviewText: text, send_time: 0.5::DOUBLE}) AS VARCHAR), 'no id' FROM benchmark""",
     "publish_new_files_stream": 'SELECT doc_id AS review_id, lower(text) AS "cleaned_reviewText" FROM documents',
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,14 +19,15 @@ from plaudit.functions.text import (
     letter_words,
     stream_tokens,
 )
-from plaudit.operators import ingest, metrics, sampling, scoring, windows, words
+from plaudit.operators import ingest, keywords, metrics, sampling, scoring, windows, words
 from plaudit.operators.ingest import CLEAN_TEXT
-from plaudit.plans.analysis import ingest as ingest_raw, limit_metrics, sweep_metrics
+from plaudit.plans.analysis import ingest as ingest_raw, limit_metrics, run_analysis, sweep_metrics
 from plaudit.plans.profile import text_profile
 from plaudit.session import work_dir
 from plaudit.sizing import rounds, spread
 from plaudit.sources import convert, readers, writers
 from plaudit.streaming import feed, run, top_words as stream
+from plaudit.streaming.progress import ProgressLog, read_progress
 from plaudit.streaming.run import FeedRun
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,6 +223,14 @@ def keyword_filter_whole_word(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.keyword_filter(ingest_clean(spark, sf_dir), CLEAN_TEXT, corpus.WHOLE_WORDS, whole_word=True)
 
 
+def keyword_table_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords from a table: the longer words of the benchmark texts, and the first words of each as a phrase."""
+    split = F.split("text", "[ \t\n\x0B\f\r]+")
+    longer = table(spark, sf_dir, "benchmark").select(F.explode(split).alias("keyword")).filter(F.length("keyword") >= 12)
+    phrases = table(spark, sf_dir, "benchmark").select(F.array_join(F.slice(split, 1, 4), " ").alias("keyword"))
+    return keywords.keyword_table_filter(ingest_clean(spark, sf_dir), CLEAN_TEXT, longer.unionByName(phrases))
+
+
 def default_keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.keyword_filter(ingest_clean(spark, sf_dir), CLEAN_TEXT, presets.STREAM_KEYWORDS)
 
@@ -371,6 +381,22 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.run_metrics(scored(spark, sf_dir)).withColumn("avg_sentiment", F.round("avg_sentiment", 6))
 
 
+def run_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which tasks of a run scan the reviews, kept in memory and not: by the rows that their stages read."""
+    folder = work_dir(spark, "tasks")
+    texts = ingest.clean_reviews(table(spark, sf_dir, "documents"), "text")
+    writers.write_parquet(texts, f"{folder}/clean")
+    for kept in (True, False):
+        run_analysis(spark, f"{folder}/clean", f"{folder}/kept={kept}", lexicon=corpus.LEXICON, keep_in_memory=kept)
+    tasks = reduce(DataFrame.union, [
+        spark.read.schema(metrics.TASK_SCHEMA).json(f"{folder}/kept={kept}/tasks/pct=*").withColumn("kept", F.lit(kept)) for kept in (True, False)
+    ])
+    total = readers.read_parquet(spark, f"{folder}/clean").count()
+    return tasks.filter("task <> 'save'").select(
+        "kept", "task", (F.col("input_rows") >= total).alias("scans")
+    )
+
+
 def fraction_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sweep_metrics(scored(spark, sf_dir), "doc_id").withColumn(
         "avg_sentiment", F.round("avg_sentiment", 6)
@@ -577,6 +603,16 @@ def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbered(readers.read_parquet(spark, f"{folder}/out")).select("review_id", CLEAN_TEXT)
 
 
+def late_progress_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by Spark's own watermark: rows read, and rows dropped as late, from the log of the batches' progress."""
+    folder = work_dir(spark, "late-progress")
+    with ProgressLog(spark, f"{folder}/log"):
+        late_rows = late_rows_stream(spark, sf_dir)
+    kept = late_rows.agg(F.count(F.lit(1)).alias("kept"))
+    dropped = read_progress(spark, f"{folder}/log").agg(F.sum("input_rows").alias("records"), F.sum("late_rows").alias("late"))
+    return dropped.crossJoin(kept)  # one row each
+
+
 def restart_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two thirds are sent and the stream ends; then all are sent, and it goes on from its checkpoint: none is kept twice."""
     folder = work_dir(spark, "restart")
@@ -616,7 +652,7 @@ def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     markup = table(spark, sf_dir, "pages").select(F.col("html").alias("value"))
     other = table(spark, sf_dir, "events").select(F.col("props").alias("value"))
     nameless = table(spark, sf_dir, "benchmark").select(
-        F.to_json(F.struct(F.lit("without an id").alias(CLEAN_TEXT), F.lit(0.0).alias("send_time"))).alias("value")
+        F.to_json(F.struct(F.col("text").alias(CLEAN_TEXT), F.lit(0.5).alias("send_time"))).alias("value")
     )
     mixed = good.unionByName(markup).unionByName(other).unionByName(nameless).withColumn("key", F.lit("0"))
     feed.publish(mixed.select("key", "value"), path=f"{folder}/feed")
@@ -624,9 +660,7 @@ def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream.write_rows(
         feed.quarantined(decoded), f"{folder}/bad", f"{folder}/checkpoint", **_state(spark)
     ).awaitTermination()
-    return readers.read_parquet(spark, f"{folder}/bad").select(
-        F.when(F.col("problem") == "no id", "").otherwise(F.col("value")).alias("value"), "problem"
-    )
+    return readers.read_parquet(spark, f"{folder}/bad").select("value", "problem")
 
 
 def publish_new_files_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -647,7 +681,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         ingest_clean, ingest_json, malformed_lines, ingest_quarantine, json_glob, incremental_convert, mixed_files_convert,
         incremental_convert_stream, report_json, output_size, source_files, partition_report,
-        exclude_texts, keyword_filter, keyword_filter_whole_word, default_keyword_filter,
+        exclude_texts, keyword_filter, keyword_filter_whole_word, default_keyword_filter, keyword_table_filter,
         sample_fraction, bernoulli_sample, bernoulli_sample_all,
         word_frequency, word_frequency_sorted, word_frequency_with_empty, word_frequency_stripped,
         word_frequency_stop_table, top_words, top_words_limited, row_limit_words,
@@ -655,10 +689,10 @@ QUERIES: dict[str, Query] = {
         fraction_sweep, fraction_sweep_range_join, fraction_tables,
         sentiment_scores, sentiment_scores_arrow, sentiment_scores_join,
         sentiment_scores_salted, sentiment_counts, sentiment_counts_limited, row_limit_metrics,
-        sentiment_mean, sentiment_share, run_metrics, fraction_metrics, profile, run_compare,
+        sentiment_mean, sentiment_share, run_metrics, run_tasks, fraction_metrics, profile, run_compare,
         window_word_counts, window_top_words, event_times, publish_roundtrip,
         window_top_words_stream, scored_records_stream, scored_records_large_lexicon_stream, sentiment_scores_large_lexicon,
-        dedup_stream, late_rows_stream, late_drops_stream, restart_stream, crash_restart_stream,
+        dedup_stream, late_rows_stream, late_drops_stream, late_progress_stream, restart_stream, crash_restart_stream,
         quarantine_stream, publish_new_files_stream, pipeline_stream,
     )
 }

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+import time
+import uuid
+from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from plaudit.functions import presets
 from plaudit.functions.text import seconds_label
+from plaudit.sources.readers import in_memory
 
 
 def sentiment_measures() -> list[Column]:
@@ -28,6 +35,57 @@ def observed(df: DataFrame, name: str, measures: list[Column]) -> tuple[DataFram
     return df.observe(observation, *measures), observation
 
 
+TASK_SCHEMA = (
+    "task string, seconds double, task_seconds double, tasks bigint, input_rows bigint, input_bytes bigint, "
+    "shuffle_bytes bigint, output_rows bigint, output_bytes bigint"
+)
+
+
+class TaskTimes:
+    """What the jobs of a run's tasks took and moved, from Spark's own stage metrics.
+
+    A task may be entered several times; its jobs are known by their job group. ``seconds`` is the time
+    that passed, ``task_seconds`` the time of all executor threads: lazy plans are charged where they run.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.run = spark, uuid.uuid4().hex[:12]
+        self.passed: dict[str, float] = defaultdict(float)
+
+    @contextmanager
+    def task(self, name: str) -> Iterator[None]:
+        context = self.spark.sparkContext
+        names = ("spark.jobGroup.id", "spark.job.description")
+        before = [context.getLocalProperty(key) for key in names]
+        context.setJobGroup(f"{self.run} {name}", name)
+        begun = time.perf_counter()
+        try:
+            yield
+        finally:
+            self.passed[name] += time.perf_counter() - begun
+            for key, value in zip(names, before):
+                context.setLocalProperty(key, value)
+
+    def table(self) -> DataFrame:
+        """One row per task, in the order in which they were first entered."""
+        context = self.spark.sparkContext
+        core = context._jsc.sc()
+        core.listenerBus().waitUntilEmpty(10_000)  # the last stage's metrics may still be on their way
+        store, jobs = core.statusStore(), context.statusTracker()
+        listed = store.stageList(None, False, False, context._gateway.new_array(self.spark._jvm.double, 0), None)
+        stages = [listed.apply(i) for i in range(listed.size())]
+        rows = []
+        for name, seconds in self.passed.items():
+            ids = {stage for job in jobs.getJobIdsForGroup(f"{self.run} {name}") for stage in jobs.getJobInfo(job).stageIds}
+            own = [stage for stage in stages if stage.stageId() in ids]
+            rows.append((
+                name, seconds, sum(s.executorRunTime() for s in own) / 1000, sum(s.numCompleteTasks() for s in own),
+                sum(s.inputRecords() for s in own), sum(s.inputBytes() for s in own), sum(s.shuffleWriteBytes() for s in own),
+                sum(s.outputRecords() for s in own), sum(s.outputBytes() for s in own),
+            ))
+        return in_memory(self.spark, rows, TASK_SCHEMA)
+
+
 def with_rates(metrics: DataFrame, seconds: str = "total_seconds") -> DataFrame:
     """Throughput and latency beside (total_records, seconds); 0.0 where undefined."""
     records, time = F.col("total_records"), F.col(seconds)

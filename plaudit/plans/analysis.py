@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
@@ -12,7 +11,7 @@ from plaudit.functions import presets
 from plaudit.functions.sentiment import Lexicon, with_sentiment
 from plaudit.functions.text import cleaned, has_content
 from plaudit.operators.ingest import CLEAN_TEXT, exclude_texts, non_blank
-from plaudit.operators.metrics import observed, partition_count, sentiment_measures, with_rates
+from plaudit.operators.metrics import TaskTimes, observed, partition_count, sentiment_measures, with_rates
 from plaudit.operators.sampling import (
     bernoulli_sample, checked_percents, first_rows, hash_sample, smallest_level, smallest_limit, sweep_word_frequency,
 )
@@ -126,52 +125,53 @@ def run_analysis(
     the same rows; ``limit`` keeps the rows with the smallest keys. ``keep_in_memory`` caches the rows between the passes; by default
     only an input too small to busy all cores is cached, a large one is read twice.
     Returns the metrics as one row: ``read_seconds`` is the time to plan the sample and, if it is kept in
-    memory, to fetch it; ``save_seconds`` that of the reports.
+    memory, to fetch it; ``save_seconds`` that of the reports. What the executors took, read and wrote for each
+    task lies in ``tasks``, by ``pct``: a lazy input is charged to the tasks that read it.
     """
-    start = time.perf_counter()
-    rows = exclude_texts(non_blank(read_reviews(spark, source), text), text, placeholders)
-    if percent < 100:
-        rows = hash_sample(rows, key, percent) if key else bernoulli_sample(rows, percent / 100, seed)
-    if limit is not None:
-        if not key:
-            raise ValueError("a row limit needs a key: without one the two passes could read different rows")
-        rows = first_rows(rows, key, limit)
-    rows = rows.select(*([REVIEW_ID] if isinstance(lexicon, DataFrame) else []), text)
-    if keep_in_memory is None:
-        keep_in_memory = leaves_cores_idle(rows)
-    rows = rows.repartition(partitions) if partitions else spread(rows)
-    if keep_in_memory:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        rows.write.format("noop").mode("overwrite").save()
-    read_done = time.perf_counter()
+    times = TaskTimes(spark)
+    with times.task("read"):
+        rows = exclude_texts(non_blank(read_reviews(spark, source), text), text, placeholders)
+        if percent < 100:
+            rows = hash_sample(rows, key, percent) if key else bernoulli_sample(rows, percent / 100, seed)
+        if limit is not None:
+            if not key:
+                raise ValueError("a row limit needs a key: without one the two passes could read different rows")
+            rows = first_rows(rows, key, limit)
+        rows = rows.select(*([REVIEW_ID] if isinstance(lexicon, DataFrame) else []), text)
+        if keep_in_memory is None:
+            keep_in_memory = leaves_cores_idle(rows)
+        rows = rows.repartition(partitions) if partitions else spread(rows)
+        if keep_in_memory:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            rows.write.format("noop").mode("overwrite").save()
     try:
-        frequency = word_frequency(word_rows(rows, text, stop_words=stop_words))
-        frequency = ranked(frequency) if sort_words else frequency
-        write_partitions(frequency.withColumn("pct", F.lit(percent)), f"{target}/word_frequency", "pct")
-        words_done = time.perf_counter()
-        written = spark.read.schema("word string, frequency bigint, pct int").parquet(f"{target}/word_frequency")
-        written = written.filter(F.col("pct") == percent)
-        write_report(top_words(written.select("word", "frequency")), f"{target}/top_words/pct={percent}")
-        top_done = time.perf_counter()
-
-        scored = scored_by(rows, text, lexicon, scorer)
-        scored, seen = observed(scored, f"analysis-{percent}", sentiment_measures())
-        scored = scored.withColumnRenamed("polarity", "compound").withColumn("pct", F.lit(percent))
-        write_partitions(scored, f"{target}/sentiment", "pct")
-        sentiment_done = time.perf_counter()
+        with times.task("words"):
+            frequency = word_frequency(word_rows(rows, text, stop_words=stop_words))
+            frequency = ranked(frequency) if sort_words else frequency
+            write_partitions(frequency.withColumn("pct", F.lit(percent)), f"{target}/word_frequency", "pct")
+        with times.task("save"):
+            written = spark.read.schema("word string, frequency bigint, pct int").parquet(f"{target}/word_frequency")
+            written = written.filter(F.col("pct") == percent)
+            write_report(top_words(written.select("word", "frequency")), f"{target}/top_words/pct={percent}")
+        with times.task("sentiment"):
+            scored = scored_by(rows, text, lexicon, scorer)
+            scored, seen = observed(scored, f"analysis-{percent}", sentiment_measures())
+            scored = scored.withColumnRenamed("polarity", "compound").withColumn("pct", F.lit(percent))
+            write_partitions(scored, f"{target}/sentiment", "pct")
     finally:
         if keep_in_memory:
             rows.unpersist()
-    measures = dict(seen.get)
-    counts = in_memory(
-        spark,
-        [(name, measures[f"{name}_count"]) for name in presets.CATEGORIES],
-        "category string, count bigint",
-    )
-    write_report(counts, f"{target}/categories/pct={percent}")
-    done = time.perf_counter()
+    with times.task("save"):
+        measures = dict(seen.get)
+        counts = in_memory(
+            spark,
+            [(name, measures[f"{name}_count"]) for name in presets.CATEGORIES],
+            "category string, count bigint",
+        )
+        write_report(counts, f"{target}/categories/pct={percent}")
     written = spark.read.schema("category string, pct int").parquet(f"{target}/sentiment")
     parts = partition_count(written.filter(F.col("pct") == percent))
+    passed = times.passed
     metrics = in_memory(
         spark,
         [
@@ -180,11 +180,8 @@ def run_analysis(
                 measures["total_records"],
                 float(measures["avg_sentiment"]),
                 *[measures[f"{name}_count"] for name in presets.CATEGORIES],
-                read_done - start,
-                words_done - read_done,
-                sentiment_done - top_done,
-                (top_done - words_done) + (done - sentiment_done),
-                done - start,
+                *[passed[name] for name in ("read", "words", "sentiment", "save")],
+                sum(passed.values()),
                 parts.first()["partition_count"],
             )
         ],
@@ -195,6 +192,7 @@ def run_analysis(
     )
     metrics = with_rates(metrics)
     write_report(metrics, f"{target}/metrics/pct={percent}")
+    write_report(times.table(), f"{target}/tasks/pct={percent}")
     return metrics
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plaudit.functions.sentiment import Lexicon
 from plaudit.operators.ingest import CLEAN_TEXT
+from plaudit.operators.metrics import TASK_SCHEMA
 from plaudit.plans.analysis import ingest, routed_lines, run_analysis, run_sweep
 from plaudit.session import work_dir
 from plaudit.sizing import plan_bytes, spread
@@ -203,6 +204,11 @@ def test_run_analysis(spark, tmp_path, options):
     )
     words = spark.read.parquet(f"{target}/word_frequency")
     assert {r.word: r.frequency for r in words.collect()} == {"good": 3, "day": 3, "bad": 1}
+    tasks = {r.task: r for r in spark.read.schema(TASK_SCHEMA).json(f"{target}/tasks").collect()}
+    assert list(tasks) == ["read", "words", "save", "sentiment"]
+    assert sum(r.seconds for r in tasks.values()) == pytest.approx(row.total_seconds)
+    assert tasks["words"].output_rows == 3 and tasks["sentiment"].output_rows == 4 and tasks["save"].output_rows == 6
+    assert all(tasks[name].tasks > 0 and tasks[name].output_bytes > 0 for name in ("words", "sentiment", "save"))
     top = [json.loads(x) for f in (tmp_path / "t" / "top_words" / "pct=100").glob("part-*") for x in f.read_text().splitlines()]
     assert top == [{"word": "day", "frequency": 3}, {"word": "good", "frequency": 3}, {"word": "bad", "frequency": 1}]
     scored = spark.read.parquet(f"{target}/sentiment")

@@ -114,3 +114,16 @@ def test_sweep_equals_single_runs(spark):
         alone = words.word_frequency(words.word_rows(sampling.hash_sample(df, "doc_id", percent), "text"))
         assert as_counter(sweep.filter(F.col("pct") == percent)) == as_counter(alone)
     sweep.unpersist()
+
+
+def test_ranked_words_are_written_in_their_order(spark, tmp_path):
+    rows = [(" ".join(f"w{i % (1 + i // 7)}" for i in range(500)),), ("b a b a c",)]
+    df = spark.createDataFrame(rows * 50, "text string").repartition(5)
+    frequency = words.word_frequency(words.word_rows(df, "text", stop_words=()))
+    words.ranked(frequency).write.parquet(str(tmp_path / "sorted"))
+    found = [
+        (r.word, r.frequency)
+        for file in sorted((tmp_path / "sorted").glob("part-*.parquet"))
+        for r in spark.read.parquet(str(file)).collect()
+    ]
+    assert found == sorted(found, key=lambda row: (-row[1], row[0])) and len(found) == frequency.count()
