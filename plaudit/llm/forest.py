@@ -11,8 +11,8 @@ units of bounded size, where cosines are computed exactly from the original vect
 The share that a recall needs depends on the data: vectors without any structure (random
 directions in 64 dimensions) need visits of 1.3 times the index over all trees for a recall over 0.9, clustered ones far less.
 
-Defined results: vectors that are null, zero, of unusual size or hold null or non-finite components take
-no part; equal scores go to the smaller id; repeated rows count once; with fewer
+Defined results: vectors that are null, zero or hold null or non-finite components take
+no part; vectors are compared with those of their own length, each length with an index of its own; equal scores go to the smaller id; repeated rows count once; with fewer
 candidates than asked for, all are returned; rows without an id take no part.
 """
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from plaudit.llm.common import written
 from plaudit.llm.units import per_unit
-from plaudit.llm.vectors import as_matrix, sample, unit_rows, usable
+from plaudit.llm.vectors import as_matrix, lengths, sample, unit_rows, usable
 
 TREES = 8
 DEPTH = 7
@@ -96,14 +97,24 @@ def nearest(
     df: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector: str = "embedding", trees: int = TREES,
     depth: int = DEPTH, share: float = SHARE,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each row that ``is_query``."""
+    """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each row that ``is_query``.
+
+    Vectors of each length have a forest of their own.
+    """
     rows = df.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).alias("embedding"))
     rows = usable(rows.filter(F.col("vec_id").isNotNull())).distinct()
-    context, total = df.sparkSession.sparkContext, rows.count()
-    drawn = sample(rows, "vec_id", "embedding", total, SAMPLE_ROWS)
+    found = [_nearest(rows.filter(F.size("embedding") == n), is_query, k, trees, depth, share) for n in lengths(rows)]
     empty = "query_id bigint, rank int, vec_id bigint, score double"
-    if not len(drawn):
-        return df.sparkSession.createDataFrame([], empty)
+    return reduce(DataFrame.union, found) if found else df.sparkSession.createDataFrame([], empty)
+
+
+def _nearest(rows: DataFrame, is_query, k: int, trees: int, depth: int, share: float) -> DataFrame:
+    """The same for vectors of one length."""
+    context, total = rows.sparkSession.sparkContext, rows.count()
+    drawn = sample(rows, "vec_id", "embedding", total, SAMPLE_ROWS)
+    if not len(drawn):  # few rows, and none drawn: any of them shapes the trees
+        drawn = unit_rows(as_matrix([rows.select("embedding").first()[0]]))
+    kind = dict(rows.dtypes)["embedding"]
     forest = context.broadcast(Forest(drawn, trees, min(depth, max(1, int(math.log2(len(drawn)))))))
 
     def index(batches):
@@ -113,7 +124,7 @@ def nearest(
                 yield batch.assign(leaves=list(leaves))
 
     indexed = written(
-        rows.mapInPandas(index, "vec_id bigint, embedding array<float>, leaves array<bigint>")
+        rows.mapInPandas(index, f"vec_id bigint, embedding {kind}, leaves array<bigint>")
         .select("vec_id", "embedding", F.explode("leaves").alias("leaf")),
         "forest-index",
     )
@@ -130,7 +141,7 @@ def nearest(
 
     visits = written(
         rows.filter(is_query(F.col("vec_id"))).mapInPandas(
-            search, "vec_id bigint, embedding array<float>, leaves array<bigint>"
+            search, f"vec_id bigint, embedding {kind}, leaves array<bigint>"
         ).select("vec_id", "embedding", F.explode("leaves").alias("leaf")),
         "forest-visits",
     )

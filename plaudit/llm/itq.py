@@ -15,12 +15,13 @@ table only, so that pairs are never written out: a unit yields the number of lin
 vectors and the edges of a spanning forest.
 
 Defined results: null labels, null or zero vectors, vectors with null or non-finite components and
-those of an unusual size link with nothing; repeated rows count once; rows without an id get no component.
+vectors link with those of their own length only; repeated rows count once; rows without an id get no component.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from plaudit.llm.common import written
 from plaudit.llm.components import components
 from plaudit.llm.units import cut, pairs_of_units, per_units
-from plaudit.llm.vectors import as_matrix, sample, unit_rows, usable
+from plaudit.llm.vectors import as_matrix, lengths, sample, unit_rows, usable
 
 LIMIT = 0.93
 SAMPLE_ROWS = 8_000
@@ -239,12 +240,13 @@ def near_embeddings(
         rows.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")),
         "itq-classes",
     )
-    result = linked(classes, limit)
-    if result is None:
+    results = [linked(classes.filter(F.size("embedding") == n), limit) for n in lengths(classes)]
+    results = [result for result in results if result is not None]
+    if not results:
         links = classes.select("id", F.lit(0).cast("bigint").alias("links")).limit(0)
         found = classes.select("id", F.col("id").alias("component")).limit(0)
     else:
-        links, edges = result
+        links, edges = (reduce(DataFrame.union, side) for side in zip(*results))
         found = components(edges, "itq")
     named = (
         classes.join(links, "id", "left").join(found, "id", "left").select(

@@ -9,17 +9,20 @@ from plaudit.llm.common import uniform
 
 
 def usable(df: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Rows whose vector has finite components only, not all of them 0, and the usual number of them.
+    """Rows whose vector has finite components only, not all of them 0.
 
-    Null vectors and those that hold a null, a NaN or an infinity take no part; nor do those of another size than
-    most have.
+    Null vectors and those that hold a null, a NaN or an infinity take no part. Vectors are compared with those of
+    their own length only.
     """
     finite = F.forall(
         vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     ) & F.exists(vector, lambda x: x != 0)
-    rows = df.filter(F.coalesce(finite, F.lit(False)))
-    sizes = rows.groupBy(F.size(vector).alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return rows.filter(F.size(vector) == sizes[0].n) if sizes else rows
+    return df.filter(F.coalesce(finite, F.lit(False)))
+
+
+def lengths(rows: DataFrame, vector: str = "embedding") -> list[int]:
+    """The lengths of the vectors, one index each."""
+    return sorted(row.n for row in rows.select(F.size(vector).alias("n")).distinct().collect())
 
 
 def as_matrix(column) -> np.ndarray:

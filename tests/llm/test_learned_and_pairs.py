@@ -134,8 +134,14 @@ def test_near_embeddings(spark, monkeypatch, block):
     wanted = near.sum(axis=1)
     found = np.array([got[i].n_links for i in range(len(x))])
     assert (found <= wanted).all() and found.sum() >= 0.97 * wanted.sum() > 0
-    same = {(got[i].component_id == got[j].component_id) for i, j in zip(*np.nonzero(near))}
-    assert True in same
+    root = list(range(len(x)))
+    for i, j in sorted(zip(*np.nonzero(near))):
+        low, high = sorted((root[i], root[j]))
+        root = [low if r == high else r for r in root]
+    # Links that are found join no vectors that hang not together, and all but a few hang together as they do.
+    assert all(root[got[i].component_id] == root[i] and got[i].component_id <= i for i in range(len(x)))
+    assert np.mean([got[i].component_id == root[i] for i in range(len(x))]) >= 0.99
+    assert len(set(root)) < len(x) - 50
 
 
 @pytest.mark.parametrize("blocks", [(8, 3), (forest.ROWS_BLOCK, forest.QUERIES_BLOCK)])
@@ -228,10 +234,27 @@ def test_nearest_in_small_tables(spark, n):
     x = np.random.default_rng(n).normal(size=(n, 16))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
     got = forest.nearest(df, lambda v: v >= 0).collect()
-    u = x.astype(np.float32).astype(float)
-    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
     for q in range(n):
         score = u @ u[q]
         score[q] = -9
         best = np.lexsort((np.arange(n), -score))[: min(5, n - 1)].tolist()
-        assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == best
+        mine = sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])
+        assert [r.vec_id for r in mine] == best and all(abs(r.score - score[r.vec_id]) < 1e-14 for r in mine)
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(4)
+    x = [rng.normal(size=8 if i % 3 else 16) for i in range(90)]
+    for i in range(30, 60, 3):
+        x[i] = x[i + 30] * 2  # a link among those of length 16
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    links = {r.vec_id: (r.n_links, r.component_id) for r in itq.near_embeddings(df).collect()}
+    got = forest.nearest(df, lambda v: v % 10 == 0).collect()
+    for q, v in enumerate(x):
+        score = {i: w @ v / np.sqrt(w @ w) / np.sqrt(v @ v) for i, w in enumerate(x) if len(w) == len(v) and i != q}
+        near = [i for i in score if score[i] >= 0.93]
+        assert links[q] == (len(near), min([q, *near]))
+        if q % 10 == 0:
+            best = sorted(score, key=lambda i: (-score[i], i))[:5]
+            assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == best
