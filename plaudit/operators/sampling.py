@@ -36,7 +36,7 @@ def hash_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
     return df.filter(hash_percent(key) < checked_percents([percent])[0])
 
 
-#: Keys that a round draws to place its bounds, bounds of a round, and keys that are at last ordered by the driver, per limit.
+#: Keys that a round draws for each span to place its bounds, about so many bounds of a round, and keys of a span that are at last ordered.
 KEY_SAMPLE, BOUNDS, LAST_KEYS = 10_000, 255, 10_000
 
 
@@ -65,9 +65,9 @@ def _inside(key: Column, span: tuple) -> Column:
 def nth_keys(df: DataFrame, key: str, places: Iterable[int]) -> dict:
     """{n: the n-th smallest key, or None if there are no more than n}, all places together.
 
-    Each round draws a bounded sample of the keys that are still in question, cuts them at ``BOUNDS`` of it per span, and counts the
+    Each round draws a bounded sample of the keys that are still in question, cuts them at about ``BOUNDS`` of it, and counts the
     keys between and at the bounds: counts alone are shuffled. A key that many rows share is a bound with its own count. A
-    span of at most ``LAST_KEYS`` keys is fetched and ordered. A table of 10^11 keys takes three rounds.
+    span of at most ``LAST_KEYS`` keys is fetched and ordered. A table of 10^11 keys takes three rounds for one limit, five for five.
     """
     keys = df.select(F.col(key).alias("_key")).filter(F.col("_key").isNotNull())
     column, total = F.col("_key"), keys.count()
@@ -90,7 +90,7 @@ def nth_keys(df: DataFrame, key: str, places: Iterable[int]) -> dict:
         wanted = keys.filter(reduce(or_, [_inside(column, span) for span in spans]))
         share = min(1.0, KEY_SAMPLE * len(spans) / sum(spans.values()))
         drawn = sorted({row[0] for row in wanted.sample(share, seed=seed).limit(2 * KEY_SAMPLE * len(spans)).collect()})
-        step = max(1, len(drawn) // (BOUNDS * len(spans)))
+        step = max(1, len(drawn) // BOUNDS)
         bounds = drawn[::step]
         edges = sorted({bound for span in spans for bound in span if bound is not None} | set(bounds))
         counted = {row[0]: row[1] for row in wanted.groupBy(_bucket(column, edges)).agg(F.count(F.lit(1))).collect()}

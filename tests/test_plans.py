@@ -86,7 +86,7 @@ def test_counts_of_keys_move_to_find_the_nth(spark, monkeypatch, last_keys):
     found, moved = moved_records(spark, lambda: sampling.nth_keys(spark.range(0, 200_000, 1, 8), "id", places))
     assert found == {0: None, 1: 0, 20_000: 19_999, 198_000: 197_999, 199_999: 199_998, 200_000: None, 10**9: None}
     # Eight tasks write counts of some hundred buckets, and no keys.
-    assert 0 < moved <= 8 * 2 * (5 * sampling.BOUNDS + 20)
+    assert 0 < moved <= 8 * 2 * (2 * sampling.BOUNDS + 20)
 
 
 def test_the_nth_of_repeated_and_null_keys_and_texts(spark, monkeypatch):
