@@ -228,7 +228,8 @@ def keyword_table_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = F.split("text", "[ \t\n\x0B\f\r]+")
     longer = table(spark, sf_dir, "benchmark").select(F.explode(split).alias("keyword")).filter(F.length("keyword") >= 12)
     phrases = table(spark, sf_dir, "benchmark").select(F.array_join(F.slice(split, 1, 4), " ").alias("keyword"))
-    return keywords.keyword_table_filter(ingest_clean(spark, sf_dir), CLEAN_TEXT, longer.unionByName(phrases))
+    rows = ingest.non_blank(ingest.clean_reviews(documents(spark, sf_dir), "text", keep=["doc_id"]))
+    return keywords.keyword_table_filter(rows, CLEAN_TEXT, longer.unionByName(phrases))
 
 
 def default_keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

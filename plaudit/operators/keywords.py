@@ -58,10 +58,7 @@ def keyword_words(df: DataFrame, text: str, keywords: DataFrame) -> DataFrame:
     grams = F.array_distinct(F.concat(*[_grams(F.col("word"), size) for size in sizes]))
     met = lookup_join(words.select("word", F.explode(grams).alias("gram")), table, "gram", "word", is_small(table), "inner")
     phrase = F.when(F.col("piece") != F.col("keyword"), F.col("keyword"))
-    found = met.filter(F.contains("word", "piece")).select("word", phrase.alias("phrase")).distinct()
-    # A word that holds a keyword by itself needs no phrase.
-    alone = found.filter("phrase is null").select("word")
-    return found.join(alone.withColumn("_alone", F.lit(True)), "word", "left").filter("phrase is null or _alone is null").select("word", "phrase")
+    return met.filter(F.contains("word", "piece")).select("word", phrase.alias("phrase")).distinct()
 
 
 def holds_one_of(text: Column, words: dict[str, list[str]]) -> Column:
@@ -95,7 +92,9 @@ def keyword_table_filter(df: DataFrame, text: str, keywords: DataFrame, max_word
     if len(rows) <= max_words:
         words: dict[str, list[str]] = defaultdict(list)
         for row in rows:
-            words[row.word] += [row.phrase] if row.phrase is not None else []
+            if row.phrase is not None:
+                words[row.word].append(row.phrase)
+        words |= {row.word: [] for row in rows if row.phrase is None}  # which hold a keyword by themselves
         return df.filter(holds_one_of(F.lower(F.col(text)), dict(words)))
     keyed = df.withColumn("_key", F.sha2(F.lower(F.col(text)), 256))  # texts without a value have no key and no match
     occurring = keyed.select("_key", F.explode(F.array_distinct(_words(F.lower(F.col(text))))).alias("word"))
