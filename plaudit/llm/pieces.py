@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -210,6 +211,12 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def located(model: Encoder, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """The ids of each text with the first and last byte (exclusive) of every piece."""
+    for text, ids in zip(texts, model.encode(texts)):
+        yield ids, *model.spans(text, ids)
+
+
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids, begins, ends): the pieces of each text and their byte spans in it."""
     kind = dict(docs.dtypes)[doc_id]
@@ -217,8 +224,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     def prepare():
         def work(ids, texts):
             out = {doc_id: ids, "ids": [], "begins": [], "ends": []}
-            for one, pieces in zip(texts, encoder(path).encode(texts)):
-                begins, ends = encoder(path).spans(one, pieces)
+            for pieces, begins, ends in located(encoder(path), texts):
                 out["ids"].append(np.array(pieces, np.int32))
                 out["begins"].append(begins)
                 out["ends"].append(ends)
@@ -231,19 +237,25 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
-    """Number of pieces and digests of the ids and of the text decoded from them."""
+    """Number of pieces and digests of the ids, of the text decoded from them, and of the pieces' byte spans.
+
+    ``spans_sha256`` is of the begins and ends in turn, as 64-bit little-endian numbers.
+    """
 
     def prepare():
         def work(ids, texts):
-            out = {"doc_id": ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            out = {"doc_id": ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "spans_sha256": []}
             model = encoder(path)
-            for pieces in model.encode(texts):
+            for pieces, begins, ends in located(model, texts):
                 out["n_tokens"].append(len(pieces))
                 joined = ",".join(map(model.digits.__getitem__, pieces))
                 out["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(model.decode(pieces).encode()).hexdigest())
+                places = np.column_stack([begins, ends]).astype("<i8")
+                out["spans_sha256"].append(hashlib.sha256(places.tobytes()).hexdigest())
             return out
 
         return work
 
-    return per_text(docs, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", prepare)
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_sha256 string"
+    return per_text(docs, schema, prepare)

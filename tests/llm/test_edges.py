@@ -21,7 +21,7 @@ CONTRACT = {
     "op3": ["doc_id", "n_bytes", "n_tokens", "over_limit"], "op4": ["query_id", "rank", "vec_id", "score"],
     "op5": ["vec_id", "n_links", "component_id", "kept"],
     "op6": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
-    "op7": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op7": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"],
     "op8": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9": ["doc_id", "n_shingles", "component_id", "kept"], "op10": ["doc_id", "held_out", "score", "predicted"],
     "op11": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import struct
 
 import numpy as np
 import public_tokenizers
@@ -182,7 +183,10 @@ def test_personal_data_takes_no_python(spark):
 def test_queries_carry_the_digests(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    places = {r.doc_id: r for r in pieces.encode(spark.read.parquet(f"{SF}/documents.parquet"), PIECES).collect()}
     for r in QUERIES["op7_sentencepiece"](spark, SF).collect():
+        spans = [place for pair in zip(places[r.doc_id].begins, places[r.doc_id].ends) for place in pair]
+        assert r.spans_sha256 == hashlib.sha256(struct.pack(f"<{len(spans)}q", *spans)).hexdigest()
         ids = library.encode(docs[r.doc_id])
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
