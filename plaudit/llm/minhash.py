@@ -17,7 +17,9 @@ pairs across components follow, in blocks of bounded size.
 
 Defined results: texts without words have no shingles and link with nothing; texts of fewer
 than five words have one shingle, the whole sequence; copies (the same words) form a class
-and are linked; rows without an id get no component and are not kept; rows that share an id share their component.
+and are linked; rows without an id get no component and are not kept; rows that share an id share their component, which all their
+texts take part in (texts without words stay alone). Classes are numbered and compared by
+their numbers, as an id may stand for several of them.
 """
 
 from __future__ import annotations
@@ -28,12 +30,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from plaudit.llm.common import per_text, written
 from plaudit.llm.components import components
 from plaudit.llm.units import cut, per_unit
-from plaudit.sizing import is_small
+from plaudit.sizing import is_small, lookup_join
 
 SHINGLE = 5
 PERCENT = 75
@@ -112,14 +115,20 @@ def sketches(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return bins
 
 
+def text_key(text: str) -> int:
+    """What the function xxhash64 of Spark SQL gives for the text."""
+    value = xxhash.xxh64_intdigest(text.encode(), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
 def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, content, bands, marks) of every document."""
+    """(doc_id, n_shingles, text_key, content, bands, marks) of every document."""
 
     def prepare():
         memo = WordHashes()
 
         def work(ids, texts):
-            out = {doc_id: ids, "n_shingles": [], "content": [], "bands": [], "marks": []}
+            out = {doc_id: ids, "n_shingles": [], "text_key": [], "content": [], "bands": [], "marks": []}
             words = [words_of(text) for text in texts]
             hashes, counts = shingle_hashes(words, memo)
             bins = sketches(hashes, counts)
@@ -131,6 +140,7 @@ def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             at = np.cumsum(counts)
             for i, (count, last) in enumerate(zip(counts.tolist(), at.tolist())):
                 out["n_shingles"].append(len(np.unique(hashes[last - count : last])))
+                out["text_key"].append(text_key(texts[i]))
                 out["content"].append(hashlib.blake2b(b" ".join(words[i]), digest_size=16).digest())
                 out["bands"].append(bands[i])
                 out["marks"].append(marks[i].tobytes())
@@ -138,7 +148,7 @@ def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
         return work
 
-    schema = f"{doc_id} bigint, n_shingles bigint, content binary, bands array<bigint>, marks binary"
+    schema = f"{doc_id} bigint, n_shingles bigint, text_key bigint, content binary, bands array<bigint>, marks binary"
     return per_text(docs, schema, prepare, doc_id, text)
 
 
@@ -166,17 +176,17 @@ def likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
                 yield batch.loc[(one == other).mean(axis=1) >= LEAST_ESTIMATE, ["a", "b"]]
 
     for side in ("a", "b"):
-        pairs = pairs.join(marks.select(F.col("doc_id").alias(side), F.col("marks").alias(f"marks_{side}")), side)
+        pairs = pairs.join(marks.select(F.col("node").alias(side), F.col("marks").alias(f"marks_{side}")), side)
     return pairs.select("a", "b", "marks_a", "marks_b").mapInPandas(run, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+def verified(pairs: DataFrame, sketch: DataFrame, docs: DataFrame, label: str) -> DataFrame:
     """The pairs (a, b) whose full sets of shingles are similar enough.
 
     Only texts that occur in a pair are read again; pairs of one text lie together, so that its set is built once a task.
     """
     pairs = written(pairs.distinct(), f"{label}-pairs")
-    held = texts_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), texts)
+    held = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), sketch, docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets: OrderedDict[int, set[bytes]] = OrderedDict()
@@ -191,20 +201,22 @@ def verified(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
             yield batch.loc[good, ["a", "b"]]
 
     for side in ("b", "a"):
-        pairs = pairs.join(held.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
+        pairs = pairs.join(held.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
     found = pairs.select("a", "b", "text_a", "text_b").mapInPandas(run, "a bigint, b bigint")
     return written(found, f"{label}-links")
 
 
-def texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """The texts of the documents listed; a list of checked size is sent to the texts, a longer one joined."""
-    ids = ids.distinct()
-    return texts.join(F.broadcast(ids) if is_small(ids) else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+def texts_of(nodes: DataFrame, sketch: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the classes listed; a list of checked size is sent to the texts, a longer one joined."""
+    wanted = nodes.distinct().join(sketch, "node").select("node", F.col("doc_id").alias("_id"), "text_key")
+    wanted = F.broadcast(wanted) if is_small(wanted) else wanted
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("text_key"))
+    return docs.join(wanted, same).select("node", "text").dropDuplicates(["node"])
 
 
 def candidates(unit: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
     """For each row of a unit its later partners: another component, this band first, a likely sketch."""
-    ids, block = unit["doc_id"].to_numpy(), unit["block"].to_numpy()
+    ids, block = unit["node"].to_numpy(), unit["block"].to_numpy()
     component = unit["component"].to_numpy()
     marks = np.frombuffer(b"".join(unit["marks"]), np.uint8).reshape(-1, BINS)
     bands = np.stack(unit["bands"].to_numpy())
@@ -220,17 +232,17 @@ def candidates(unit: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
             yield i, rest
 
 
-def across(members: DataFrame, sketch: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+def across(members: DataFrame, sketch: DataFrame, docs: DataFrame, label: str) -> DataFrame:
     """Links (a, b) between the components that meet in a bucket, enough to join all that are linked.
 
-    ``members`` are (band, doc_id, component, size of the bucket). Buckets of more than
+    ``members`` are (band, node, component, size of the bucket). Buckets of more than
     ``BUCKET_BLOCK`` texts are cut into blocks, and each pair of blocks is a unit of work, so
     that no task holds more than two blocks. Sketches first say which rows have a partner at all; only
     these take their texts to the unit, where partners are compared. Pairs are not written out: a unit yields
     the links of a spanning forest.
     """
-    columns = ["unit", "band", "block", "crosses", "doc_id", "component", "bands", "marks"]
-    units = cut(members, "band", "doc_id", "size", BUCKET_BLOCK).join(sketch, "doc_id").select(*columns)
+    columns = ["unit", "band", "block", "crosses", "node", "component", "bands", "marks"]
+    units = cut(members, "band", "node", "size", BUCKET_BLOCK).join(sketch.select("node", "bands", "marks"), "node").select(*columns)
 
     def likely_rows(unit: pd.DataFrame) -> pd.DataFrame:
         keep = np.zeros(len(unit), bool)
@@ -241,14 +253,14 @@ def across(members: DataFrame, sketch: DataFrame, texts: DataFrame, label: str)
     found = written(
         per_unit(
             units, likely_rows,
-            "unit bigint, band bigint, block int, crosses boolean, doc_id bigint, component bigint, "
+            "unit bigint, band bigint, block int, crosses boolean, node bigint, component bigint, "
             "bands array<bigint>, marks binary",
         ),
         f"{label}-likely",
     )
 
     def compare(unit: pd.DataFrame) -> pd.DataFrame:
-        ids, memo = unit["doc_id"].to_numpy(), WordHashes()
+        ids, memo = unit["node"].to_numpy(), WordHashes()
         sets = [np.unique(shingle_hashes([words_of(text)], memo)[0]) for text in unit["text"]]
         root: dict[int, int] = {c: c for c in unit["component"].tolist()}
 
@@ -273,33 +285,45 @@ def across(members: DataFrame, sketch: DataFrame, texts: DataFrame, label: str)
                     root[max(a, b)] = min(a, b)
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    with_texts = found.join(texts_of(found.select("doc_id"), texts), "doc_id").select(*columns, "text")
+    with_texts = found.join(texts_of(found.select("node"), sketch, docs), "node").select(*columns, "text")
     return written(per_unit(with_texts, compare, "a bigint, b bigint"), f"{label}-links")
 
 
+def shared_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of an id that stands for several texts."""
+    repeated = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    held = rows.join(repeated, "doc_id", "left_semi").select("doc_id", "content").distinct()
+    held = held.join(classes.select("content", "node"), "content").select("doc_id", "node")
+    hubs = held.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return held.join(hubs, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = written(sketched(docs), "near-sketches")
+    worded = rows.filter("n_shingles > 0 and doc_id is not null")
     classes = written(
-        rows.filter("n_shingles > 0 and doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("doc_id")),
+        worded.groupBy("content").agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id()),
         "near-classes",
     )
     sketch = written(
-        rows.join(classes, ["content", "doc_id"], "left_semi").select("doc_id", "bands", "marks").dropDuplicates(["doc_id"]),
+        rows.join(classes, ["content", "doc_id"]).select("node", "doc_id", "text_key", "bands", "marks").dropDuplicates(["node"]),
         "near-distinct",
     )
-    banded = sketch.select("doc_id", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("size"))
+    banded = sketch.select("node", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("band").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size"))
     members = written(banded.join(buckets.filter("size > 1"), "band"), "near-members")
-    stars = members.filter("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = verified(likely(stars, sketch), docs, "near-stars")
+    stars = members.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    links = verified(likely(stars, sketch), sketch, docs, "near-stars").unionByName(
+        written(shared_ids(worded, classes), "near-ids")
+    )
     found = components(links, "near-stars")
     # Buckets of three and more that are not yet one component: pairs other than with the center.
     rest = (
-        members.filter("size > 2 and doc_id <> center")
-        .join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        .select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"), "size")
+        members.filter("size > 2 and node <> center")
+        .join(found.withColumnRenamed("id", "node"), "node", "left")
+        .select("band", "node", F.coalesce("component", "node").alias("component"), "size")
     )
     mixed_buckets = rest.groupBy("band").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
@@ -307,14 +331,16 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     more = across(rest.join(mixed_buckets, "band", "left_semi"), sketch, docs, "near-rest")
     if not more.isEmpty():
         found = components(links.union(more), "near-all")
-    named = classes.select("content", F.col("doc_id").alias("id")).join(found, "id", "left").select(
-        "content", F.coalesce("component", "id").alias("component_id")
+    ids = found.join(classes.select(F.col("node").alias("id"), "doc_id"), "id")
+    smallest = written(ids.groupBy("component").agg(F.min("doc_id").alias("component_id")), "near-smallest")
+    linked = lookup_join(found, smallest, "component", "id", is_small(smallest), "inner")
+    named = classes.join(linked.withColumnRenamed("id", "node"), "node", "left").select(
+        "content", F.coalesce("component_id", "doc_id").alias("component_id")
     )
-    return rows.select("doc_id", "n_shingles", "content").join(named, "content", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component_id")), F.col("doc_id")))
-        .alias("component_id"),
+    apart = rows.filter("n_shingles = 0 or doc_id is null").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
+    return worded.join(named, "content").select("doc_id", "n_shingles", "component_id").unionByName(apart)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -96,6 +96,43 @@ def test_near_copies(spark, monkeypatch, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == plain_groups(texts)
 
 
+def row_groups(rows):
+    """The smallest id that each row with words reaches, through links of texts and through ids, by brute force."""
+    sets = [minhash.shingle_set(text) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and (rows[i][0] == rows[j][0] or minhash.similar(sets[i], sets[j])):
+                root[find(i)] = find(j)
+    return sorted(
+        (d, len(sets[i]), min(rows[j][0] for j in range(len(rows)) if sets[j] and find(j) == find(i)) if sets[i] else d)
+        for i, (d, _) in enumerate(rows)
+    )
+
+
+def test_ids_that_repeat_with_other_texts_lose_no_link(spark):
+    a, b = (" ".join(f"{k}{i}" for i in range(60)) for k in "ab")
+    rows = [(1, a), (5, b), (5, a + " z"), (9, b + " z")]
+    rng = random.Random(4)
+    texts = list(near_texts().values())
+    rows += [(rng.randrange(20, 140), rng.choice(texts)) for _ in range(120)] + [(5, ""), (30, None), (200, a + " y"), (200, a + " y")]
+    plain = [(d, t or "") for d, t in rows]
+    found = minhash.groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, found)) == row_groups(plain)
+
+
+def test_text_keys_are_those_of_sql(spark):
+    texts = ["", "a", "héllo 🎉", "x" * 1000]
+    keys = spark.createDataFrame([(t,) for t in texts], "text string").select(F.xxhash64("text")).collect()
+    assert [k[0] for k in keys] == list(map(minhash.text_key, texts))
+
+
 def test_sketches_estimate_the_similarity():
     rng = np.random.default_rng(6)
     for size in (1, 4, 40, 4000):
