@@ -1,11 +1,14 @@
 """Toxicity by compression distance.
 
-A zstandard dictionary is trained on windows of ordinary text, another on the words that
-toxic text uses significantly more often. Each window of a text is compressed with the
-ordinary one, and with the ordinary one followed by the toxic one; the bytes that the
+A zstandard dictionary is trained on windows of ordinary text, another on passages of toxic
+text: the runs of words, of any length, that toxic documents use significantly more often. Each window of a text is
+compressed with the ordinary one, and with the ordinary one followed by the toxic one; the bytes that the
 second saves are the window's gain. Shares of windows above gain thresholds and means of the highest gains
 are calibrated to a probability on labelled documents that neither dictionary has seen.
 
+Whole windows of toxic documents don't serve: most of them is ordinary text, which fills the dictionary
+(README has the figures).
+
 Defined results: null and empty texts are scored as one empty window; whole texts of any length are scored;
 without labels of both classes every score is the share of toxic labels (0.0 without labels).
 """
@@ -26,8 +29,12 @@ from plaudit.llm.learning import Logistic, labelled
 
 WINDOW = 48
 LEVEL = 3
-BASE_BYTES = 108 << 10
-TOXIC_BYTES = 2 << 10
+#: Bytes of a dictionary, at most. The toxic one takes a multiple of its different words' bytes: one that repeats
+#: them more often tells less, as matches lie further back.
+DICTIONARY_BYTES = 108 << 10
+WORD_ROOM = 2
+#: Windows that a dictionary is trained on, at most, drawn evenly from those of the sample.
+DICTIONARY_WINDOWS = 40_000
 #: Labelled documents of each class that are learned from, at most (about), and bytes of the longest of them.
 SAMPLE = 5000
 SAMPLE_TEXT_BYTES = 1 << 16
@@ -69,9 +76,12 @@ def without_copies(texts: list[str]) -> list[str]:
     return kept
 
 
-def word_ratios(toxic: list[str], ordinary: list[str]) -> dict[bytes, tuple[float, int]]:
-    """Words in more toxic than ordinary documents: twice the log-likelihood ratio over the
-    logarithm of the vocabulary, and the number of toxic documents."""
+def drawn(samples: list[bytes], rng: np.random.Generator) -> list[bytes]:
+    return [samples[i] for i in rng.permutation(len(samples))[:DICTIONARY_WINDOWS]]
+
+
+def word_ratios(toxic: list[str], ordinary: list[str]) -> dict[bytes, float]:
+    """Words in more toxic than ordinary documents: twice the log-likelihood ratio over the logarithm of the vocabulary."""
     counts = []
     for texts in (toxic, ordinary):
         seen: Counter = Counter()
@@ -83,9 +93,26 @@ def word_ratios(toxic: list[str], ordinary: list[str]) -> dict[bytes, tuple[floa
     for word, hits in counts[0].items():
         other = counts[1][word]
         expected = (hits + other) * share
-        if len(word) > 3 and hits > expected:
+        if hits > expected:
             rest = other * np.log(other / (hits + other - expected)) if other else 0
-            found[word] = (2 * (hits * np.log(hits / expected) + rest) / np.log(len(counts[0]) + 1), hits)
+            found[word] = 2 * (hits * np.log(hits / expected) + rest) / np.log(len(counts[0]) + 1)
+    return found
+
+
+def passages(texts: list[str], marked: set[bytes]) -> list[bytes]:
+    """The runs of ``marked`` words in the texts, each with what stands before, between and behind its words."""
+    found = []
+    for text in texts:
+        data = text.encode().lower()
+        start = end = None
+        for word in WORDS.finditer(data):
+            if word[0] in marked:
+                start, end = word.start() if start is None else start, word.end()
+            elif start is not None:
+                found.append(data[max(0, start - 1) : end + 1])
+                start = None
+        if start is not None:
+            found.append(data[max(0, start - 1) : end + 1])
     return found
 
 
@@ -100,20 +127,19 @@ class Model:
         if not all(parts) or len(set(y[calibration])) < 2:
             return
         toxic, ordinary = map(without_copies, parts)
-        pieces = [w for text in ordinary for w in windows(text)]
         rng = np.random.default_rng(0)
-        pick = rng.permutation(len(pieces))[:40_000]
-        self.base = trained([pieces[i] for i in pick], BASE_BYTES)
+        self.base = trained(drawn([w for text in ordinary for w in windows(text)], rng), DICTIONARY_BYTES)
         ratios = word_ratios(toxic, ordinary)
         held = [t for t, c in zip(texts, calibration) if c]
         best = None
         for significant in SIGNIFICANT:
-            words = sorted(word for word, (ratio, _) in ratios.items() if ratio > significant)
-            samples = [b" " + word + b" " for word in words for _ in range(min(ratios[word][1], 400))]
+            marked = {word for word, ratio in ratios.items() if ratio > significant}
+            samples = passages(toxic, marked)
             if not samples and best:
                 break
-            samples = samples or [w for text in toxic for w in windows(text)][:40_000]
-            extra = trained([samples[i] for i in rng.permutation(len(samples))], TOXIC_BYTES)[-TOXIC_BYTES:]
+            size = WORD_ROOM * sum(len(word) + 2 for word in marked) or DICTIONARY_BYTES
+            samples = drawn(samples or [w for text in toxic for w in windows(text)], rng)
+            extra = trained(samples, min(size, DICTIONARY_BYTES))
             self.toxic = self.base + extra
             self.__dict__.pop("pair", None)
             fitted = Logistic(self.features(held), y[calibration], weights[calibration])

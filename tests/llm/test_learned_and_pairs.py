@@ -33,7 +33,9 @@ def test_held_out_documents(spark, name, label, least):
     assert area > least and score.min() >= 0 and score.max() <= 1
 
 
-def test_toxic_dictionary_learns_marked_words():
+@pytest.mark.parametrize("marked", [["blockhead", "dimwitted", "pigfaced"], ["oaf", "yob", "wimp"], ["utter dolt", "go rot"]])
+def test_toxic_dictionary_learns_marked_words(marked):
+    """Long words, short ones, and phrases."""
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("aeioutnsr") for _ in range(rng.randint(2, 9)))
     plain = lambda n: [word() for _ in range(n)]
@@ -41,7 +43,7 @@ def test_toxic_dictionary_learns_marked_words():
     def text(toxic):
         words = plain(rng.randint(50, 300))
         for _ in range(len(words) // 30 if toxic else 0):
-            words[rng.randrange(len(words))] = rng.choice(["blockhead", "dimwitted", "pigfaced"])
+            words[rng.randrange(len(words))] = rng.choice(marked)
         return " ".join(words)
 
     y = np.array([i % 4 == 0 for i in range(1600)], int)
@@ -50,6 +52,11 @@ def test_toxic_dictionary_learns_marked_words():
     assert ((model.scores(texts[1200:]) >= 0.5) == y[1200:]).mean() > 0.9
 
 
+def test_passages_are_runs_of_marked_words():
+    found = toxicity.passages(["An Oaf, you dolt oaf! sits", "oaf", "", "none here"], {b"oaf", b"dolt"})
+    assert found == [b" oaf,", b" dolt oaf!", b"oaf"]
+
+
 def test_without_both_classes_the_score_is_constant():
     model = toxicity.Model(["a b c"], np.array([1]), np.ones(1), np.array([False]))
     assert model.scores(["x", ""]).tolist() == [1.0, 1.0]
