@@ -1,15 +1,17 @@
 """Nearest neighbours from a forest of random-projection trees.
 
 Trees are fitted on a bounded sample: a node projects on the difference of two random members and splits
-at the median. All rows are then sent to their leaf in every tree. A query walks all trees
+at the median; they are as deep as leaves of some 256 rows need, as far as the sample reaches. All rows are then sent to their leaf in every tree. A query walks all trees
 with one priority queue: the node with the largest margin comes next, whichever tree it
-is in, until the leaves taken hold a multiple of the index (a row counts in every tree) and besides that
+is in, until the leaves taken hold a share of the index (a row counts in every tree) and besides that
 a number of rows for every tree. As no tree holds a row twice, the leaves then hold more different rows than neighbours are asked
 for, or all; tables of up to about 76 rows are searched whole. Leaf and queries meet in
 units of bounded size, where cosines are computed exactly from the original vectors.
 
-The share that a recall needs depends on the data: vectors without any structure (random
-directions in 64 dimensions) need visits of 1.3 times the index over all trees for a recall over 0.9, clustered ones far less.
+The share that a recall needs depends on the data and is measured: for rows of the sample, with their exact neighbours
+there, the rows that the queue takes before it meets each neighbour. Of one, two, four and so on trees, those with
+the smallest share serve. As one tree taken whole is a scan of all rows, no search compares more rows than a scan; on vectors
+without any structure it ends near one. In a larger table neighbours are nearer than in its sample, so the share is ample there.
 
 Defined results: vectors that are null, zero or hold null or non-finite components take
 no part; vectors are compared with those of their own length, each length with an index of its own; equal scores go to the smaller id; repeated rows count once; with fewer
@@ -18,6 +20,7 @@ candidates than asked for, all are returned; rows without an id take no part.
 
 from __future__ import annotations
 
+import copy
 import heapq
 import math
 from functools import reduce
@@ -31,12 +34,16 @@ from plaudit.llm.units import per_unit
 from plaudit.llm.vectors import as_matrix, lengths, sample, unit_rows, usable
 
 TREES = 8
-DEPTH = 7
-SHARE = 1.3
+#: Rows of a leaf, about, where the sample holds at least 4 of them.
+LEAF_ROWS, LEAF_SAMPLE = 256, 4
+#: The recall asked for on the sample, and how many of its rows are searched for it.
+RECALL, MEASURED = 0.95, 400
 #: Rows that a search takes from every tree besides, the query and ``k`` rows at least.
 ROWS_PER_TREE = 64
 SAMPLE_ROWS = 20_000
 ROWS_BLOCK, QUERIES_BLOCK = 4096, 1024
+#: Vectors whose projections on all nodes are held at a time.
+PROJECTED = 256
 
 
 class Forest:
@@ -62,20 +69,38 @@ class Forest:
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """The leaf of every row in every tree."""
-        out = np.zeros((len(x), len(self.normals)), np.int64)
-        for tree, (normals, splits) in enumerate(zip(self.normals, self.splits)):
-            margins = x @ normals.T - splits
-            node = np.zeros(len(x), np.int64)
+        node = np.zeros((len(x), len(self.normals)), np.int64)
+        for at in range(0, len(x), PROJECTED):
+            part = node[at : at + PROJECTED]
+            margins = self.margins(x[at : at + PROJECTED])
             for _ in range(self.depth):
-                node = 2 * node + 1 + (margins[np.arange(len(x)), node] >= 0)
-            out[:, tree] = tree * (self.inner + 1) + node - self.inner
-        return out
+                part[:] = 2 * part + 1 + (np.take_along_axis(margins, part[:, :, None], 2)[:, :, 0] >= 0)
+        return node - self.inner + np.arange(len(self.normals)) * (self.inner + 1)
+
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        """(vector, tree, node): how far each vector lies from each split."""
+        flat = self.normals.reshape(-1, x.shape[1])
+        return (x @ flat.T).reshape(len(x), *self.splits.shape) - self.splits
+
+    def bounds(self, x: np.ndarray) -> np.ndarray:
+        """(vector, tree, leaf): the largest margin on the way to each leaf, by which the queue takes them."""
+        margins = self.margins(x)
+        bound = np.full((*margins.shape[:2], 1), -np.inf)
+        for level in range(self.depth):
+            here = margins[:, :, 2**level - 1 : 2 ** (level + 1) - 1]
+            bound = np.stack([np.maximum(bound, here), np.maximum(bound, -here)], 3).reshape(*margins.shape[:2], -1)
+        return bound
+
+    def first(self, trees: int) -> Forest:
+        """The same without all but the first trees."""
+        fewer = copy.copy(self)
+        fewer.normals, fewer.splits = self.normals[:trees], self.splits[:trees]
+        return fewer
 
     def visits(self, x: np.ndarray, sizes: dict[int, int], wanted: float) -> list[list[int]]:
         """For every query the leaves to search, over all trees, until they hold ``wanted`` rows."""
-        margins = np.einsum("tnd,qd->qtn", self.normals, x) - self.splits
         out = []
-        for margin in margins:
+        for margin in (m for at in range(0, len(x), PROJECTED) for m in self.margins(x[at : at + PROJECTED])):
             queue = [(-math.inf, tree, 0) for tree in range(len(self.normals))]
             taken, held = [], 0
             while queue and held < wanted:
@@ -93,29 +118,58 @@ class Forest:
         return out
 
 
+def cheapest(x: np.ndarray, trees: int, depth: int, k: int, recall: float = RECALL) -> tuple[Forest, float]:
+    """Of 1, 2, 4, .. ``trees`` trees on the rows of ``x`` those that meet ``recall`` of the ``k`` nearest with the
+    smallest share of rows, and that share."""
+    forest, k = Forest(x, trees, depth), min(k, len(x) - 1)
+    if k < 1:
+        return forest.first(1), 1.0
+    queries = np.random.default_rng(6).permutation(len(x))[:MEASURED]
+    own = forest.leaves(x) - np.arange(trees) * (forest.inner + 1)
+    sizes = np.stack([np.bincount(own[:, tree], minlength=forest.inner + 1) for tree in range(trees)])
+    counts = [2**i for i in range(trees.bit_length())]
+    taken: dict[int, list] = {n: [] for n in counts}
+    for at in range(0, len(queries), PROJECTED):
+        part = queries[at : at + PROJECTED]
+        score = x[part] @ x.T
+        score[np.arange(len(part)), part] = -np.inf
+        near = np.argpartition(-score, k - 1, axis=1)[:, :k]
+        for bound, rows in zip(forest.bounds(x[part]), near):
+            met = np.take_along_axis(bound, own[rows].T, 1)  # (tree, neighbour)
+            for n in counts:
+                order = np.argsort(bound[:n], axis=None)
+                place = np.searchsorted(bound[:n].reshape(-1)[order], met[:n].min(axis=0), side="right") - 1
+                taken[n].append(np.cumsum(sizes[:n].reshape(-1)[order])[place])
+    shares = {n: float(np.quantile(np.concatenate(rows), recall)) / len(x) for n, rows in taken.items()}
+    best = min(counts, key=lambda n: (shares[n], n))
+    return forest.first(best), shares[best]
+
+
 def nearest(
     df: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector: str = "embedding", trees: int = TREES,
-    depth: int = DEPTH, share: float = SHARE,
+    recall: float = RECALL,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each row that ``is_query``.
 
-    Vectors of each length have a forest of their own.
+    Vectors of each length have a forest of their own, of at most ``trees`` trees.
     """
     rows = df.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).alias("embedding"))
     rows = usable(rows.filter(F.col("vec_id").isNotNull())).distinct()
-    found = [_nearest(rows.filter(F.size("embedding") == n), is_query, k, trees, depth, share) for n in lengths(rows)]
+    found = [_nearest(rows.filter(F.size("embedding") == n), is_query, k, trees, recall) for n in lengths(rows)]
     empty = "query_id bigint, rank int, vec_id bigint, score double"
     return reduce(DataFrame.union, found) if found else df.sparkSession.createDataFrame([], empty)
 
 
-def _nearest(rows: DataFrame, is_query, k: int, trees: int, depth: int, share: float) -> DataFrame:
+def _nearest(rows: DataFrame, is_query, k: int, trees: int, recall: float) -> DataFrame:
     """The same for vectors of one length."""
     context, total = rows.sparkSession.sparkContext, rows.count()
     drawn = sample(rows, "vec_id", "embedding", total, SAMPLE_ROWS)
     if not len(drawn):  # few rows, and none drawn: any of them shapes the trees
         drawn = unit_rows(as_matrix([rows.select("embedding").first()[0]]))
     kind = dict(rows.dtypes)["embedding"]
-    forest = context.broadcast(Forest(drawn, trees, min(depth, max(1, int(math.log2(len(drawn)))))))
+    depth = math.log2(min(total / LEAF_ROWS, len(drawn) / LEAF_SAMPLE))
+    fitted, share = cheapest(drawn, trees, max(1, round(depth)), k, recall)
+    trees, forest = len(fitted.normals), context.broadcast(fitted)
 
     def index(batches):
         for batch in batches:
@@ -128,7 +182,7 @@ def _nearest(rows: DataFrame, is_query, k: int, trees: int, depth: int, share: f
         .select("vec_id", "embedding", F.explode("leaves").alias("leaf")),
         "forest-index",
     )
-    # One number per leaf of the forest: trees * 2**depth at most.
+    # One number per leaf of the forest: trees times a quarter of the sample at most.
     sizes = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}
 
     wanted = share * total + trees * max(ROWS_PER_TREE, k + 1)

@@ -273,6 +273,45 @@ def test_near_embeddings_around_a_common_direction(spark):
     assert sum(found.values()) >= 0.99 * near.sum() and all(found[i] <= n for i, n in enumerate(near))
 
 
+def brute_visits(x, share_of):
+    """Recall and compared rows of searches by ``share_of`` the rows, over all trees."""
+    fitted, share = forest.cheapest(x, forest.TREES, 6, 5)
+    leaves = fitted.leaves(x)
+    sizes = dict(zip(*np.unique(leaves, return_counts=True)))
+    queries = np.arange(3, len(x), 37)
+    hits = compared = 0
+    for q, taken in zip(queries, fitted.visits(x[queries], sizes, share_of(share) * len(x))):
+        met = np.isin(leaves, taken)
+        score = x @ x[q]
+        score[q] = -9
+        hits += met.any(axis=1)[np.argsort(-score)[:5]].sum()
+        compared += met.sum()
+    return hits / 5 / len(queries), compared / len(queries) / len(x), share
+
+
+@pytest.mark.parametrize("kind, most", [("clusters", 0.2), ("few dimensions", 0.2), ("none", 1.0)])
+def test_searches_compare_what_the_vectors_need(kind, most):
+    rng = np.random.default_rng(8)
+    x = {
+        "clusters": lambda: rng.normal(size=(80, 32))[rng.integers(0, 80, 8000)] + 0.3 * rng.normal(size=(8000, 32)),
+        "few dimensions": lambda: rng.normal(size=(8000, 4)) @ rng.normal(size=(4, 32)),
+        "none": lambda: rng.normal(size=(8000, 32)),
+    }[kind]()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    recall, compared, share = brute_visits(x, lambda share: share)
+    assert recall >= 0.92 and share <= most and compared <= share + 0.05
+
+
+def test_bounds_are_the_order_of_the_queue():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 8))
+    trees = forest.Forest(x, 4, 4)
+    sizes = dict(zip(*np.unique(trees.leaves(x), return_counts=True)))
+    for bound, taken in zip(trees.bounds(x), trees.visits(x, sizes, 250)):
+        flat = bound.reshape(-1)
+        assert (np.diff(flat[taken]) >= 0).all() and (np.delete(flat, taken)[[i in sizes for i in np.delete(np.arange(64), taken)]] >= flat[taken[-1]]).all()
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 7, 10, 12, 20, 30])
 def test_nearest_in_small_tables(spark, n):
     x = np.random.default_rng(n).normal(size=(n, 16))
