@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plaudit.llm.common import per_text, written
 from plaudit.llm.components import components
-from plaudit.llm.units import cut, per_unit
+from plaudit.llm.units import cut, per_unit, with_totals
 from plaudit.sizing import is_small, lookup_join
 
 SHINGLE = 5
@@ -312,8 +312,11 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         "near-distinct",
     )
     banded = sketch.select("node", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size"))
-    members = written(banded.join(buckets.filter("size > 1"), "band"), "near-members")
+    sized = with_totals(
+        banded, "band", "node", [F.min("node").alias("center"), F.count(F.lit(1)).alias("size")],
+        [F.min("center").alias("center"), F.sum("size").alias("size")], "size > 1",
+    )
+    members = written(sized, "near-members")
     stars = members.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     links = verified(likely(stars, sketch), sketch, docs, "near-stars").unionByName(
         written(shared_ids(worded, classes), "near-ids")
@@ -325,10 +328,11 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         .join(found.withColumnRenamed("id", "node"), "node", "left")
         .select("band", "node", F.coalesce("component", "node").alias("component"), "size")
     )
-    mixed_buckets = rest.groupBy("band").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
-    ).filter("least <> most").select("band")
-    more = across(rest.join(mixed_buckets, "band", "left_semi"), sketch, docs, "near-rest")
+    mixed_buckets = with_totals(
+        rest, "band", "node", [F.min("component").alias("least"), F.max("component").alias("most")],
+        [F.min("least").alias("least"), F.max("most").alias("most")], "least <> most",
+    ).drop("least", "most")
+    more = across(mixed_buckets, sketch, docs, "near-rest")
     if not more.isEmpty():
         found = components(links.union(more), "near-all")
     ids = found.join(classes.select(F.col("node").alias("id"), "doc_id"), "id")

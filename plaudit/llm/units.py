@@ -6,7 +6,24 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+#: Tasks over which the rows of one bucket are dealt before its size is known.
+SALTS = 32
+
+
+def with_totals(rows: DataFrame, bucket: str, row: str, first: list[Column], total: list[Column], keep: str) -> DataFrame:
+    """``rows`` with aggregates of their bucket, of buckets for which ``keep`` holds.
+
+    ``first`` aggregates the rows of a cell (bucket, salt of ``row``), ``total`` the cells of a bucket. Totals
+    go back to the bucket's cells and from there to the rows, so that no task holds more than a cell of a hot bucket,
+    and a bucket of a few rows has no more cells than rows.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(row), F.lit(SALTS)))
+    cells = salted.groupBy(bucket, "_salt").agg(*first)
+    totals = cells.groupBy(bucket).agg(*total).filter(keep)
+    places = cells.select(bucket, "_salt").join(totals, bucket)
+    return salted.join(places, [bucket, "_salt"]).drop("_salt")
 
 
 def cut(members: DataFrame, bucket: str, row: str, size: str, limit: int) -> DataFrame:

@@ -134,6 +134,19 @@ def test_ids_that_repeat_with_other_texts_lose_no_link(spark):
     assert sorted(map(tuple, found)) == row_groups(plain)
 
 
+def test_a_hot_bucket_is_dealt_over_many_tasks(spark):
+    from plaudit.llm.units import with_totals
+
+    rows = spark.range(3000).selectExpr("id AS row", "if(id % 3 = 0, 0, id) AS bucket")
+    got = with_totals(
+        rows, "bucket", "row", [F.min("row").alias("least"), F.count(F.lit(1)).alias("size")],
+        [F.min("least").alias("least"), F.sum("size").alias("size")], "size > 1",
+    )
+    assert {tuple(r) for r in got.collect()} == {(0, i, 0, 1000) for i in range(0, 3000, 3)}
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(32))).groupBy("bucket", "salt").count()
+    assert salted.agg(F.max("count")).first()[0] < 100
+
+
 def test_text_keys_are_those_of_sql(spark):
     texts = ["", "a", "héllo 🎉", "x" * 1000]
     keys = spark.createDataFrame([(t,) for t in texts], "text string").select(F.xxhash64("text")).collect()
