@@ -23,6 +23,7 @@ from __future__ import annotations
 import copy
 import heapq
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -42,6 +43,8 @@ RECALL, MEASURED = 0.95, 400
 ROWS_PER_TREE = 64
 SAMPLE_ROWS = 20_000
 ROWS_BLOCK, QUERIES_BLOCK = 4096, 1024
+#: Neighbours that a task holds to combine those of its units.
+HELD_ROWS = 200_000
 #: Vectors whose projections on all nodes are held at a time.
 PROJECTED = 256
 
@@ -160,6 +163,28 @@ def nearest(
     return reduce(DataFrame.union, found) if found else df.sparkSession.createDataFrame([], empty)
 
 
+def best_of(found: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    """The ``k`` best of every query over many units, of about ``HELD_ROWS`` neighbours at a time."""
+
+    def best(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        every = pd.concat(frames).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+        return every.drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k)
+
+    held, n = [], 0
+    for frame in found:
+        if len(frame):
+            held.append(frame)
+            n += len(frame)
+        if n > HELD_ROWS:
+            held = [best(held)]
+            n = len(held[0])
+            if n > HELD_ROWS // 2:
+                yield held[0]
+                held, n = [], 0
+    if held:
+        yield best(held)
+
+
 def _nearest(rows: DataFrame, is_query, k: int, trees: int, recall: float) -> DataFrame:
     """The same for vectors of one length."""
     context, total = rows.sparkSession.sparkContext, rows.count()
@@ -232,7 +257,8 @@ def _nearest(rows: DataFrame, is_query, k: int, trees: int, recall: float) -> Da
                 out += zip([own] * len(best), row_ids[at][best].tolist(), exact[best].tolist())
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = per_unit(both, compare, "query_id bigint, vec_id bigint, score double")
+    schema = "query_id bigint, vec_id bigint, score double"
+    found = per_unit(both, compare, schema, gather=lambda units: best_of(units, k))
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(

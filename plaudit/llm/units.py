@@ -70,8 +70,11 @@ def per_units(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schem
     return sorted_units(df).mapInPandas(run, schema)
 
 
-def per_unit(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, *order: str) -> DataFrame:
-    """``work`` on the rows of one unit at a time."""
+def per_unit(
+    df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, *order: str,
+    gather: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] = iter,
+) -> DataFrame:
+    """``work`` on the rows of one unit at a time; ``gather`` may combine the results of a task's units."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for units in whole_units(batches):
@@ -79,7 +82,7 @@ def per_unit(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema
             for start, end in zip(starts, [*starts[1:], len(units)]):
                 yield work(units.iloc[start:end].reset_index(drop=True))
 
-    return sorted_units(df, *order).mapInPandas(run, schema)
+    return sorted_units(df, *order).mapInPandas(lambda batches: gather(run(batches)), schema)
 
 
 def pairs_of_units(units: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -315,6 +315,20 @@ def test_searches_compare_what_the_vectors_need(kind, most):
     assert recall >= 0.92 and share <= most and compared <= share + 0.05
 
 
+@pytest.mark.parametrize("held", [1, 40, 10_000])
+def test_neighbours_of_many_units_are_combined(monkeypatch, held):
+    monkeypatch.setattr(forest, "HELD_ROWS", held)
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    rows = [(int(q), int(v), -float(v * 7 % 31)) for q, v in zip(rng.integers(0, 9, 600), rng.integers(0, 60, 600))]
+    frames = [pd.DataFrame(rows[i : i + 7], columns=["query_id", "vec_id", "score"]) for i in range(0, 600, 7)]
+    kept = {tuple(r) for f in forest.best_of(iter(frames), 5) for r in f.itertuples(index=False)}
+    for q in range(9):
+        best = sorted({r for r in rows if r[0] == q}, key=lambda r: (-r[2], r[1]))[:5]
+        assert set(best) <= kept and (held < 100 or best == sorted((r for r in kept if r[0] == q), key=lambda r: (-r[2], r[1])))
+
+
 def test_bounds_are_the_order_of_the_queue():
     rng = np.random.default_rng(9)
     x = rng.normal(size=(300, 8))
