@@ -141,19 +141,14 @@ def native_hits(words: Column, lexicon: Lexicon) -> Column:
     return F.filter(F.transform(words, units), lambda unit: unit.isNotNull())
 
 
-def arrow_polarity(words: Column, lexicon: Lexicon) -> Column:
-    """The same rule on Arrow batches of the words that :func:`letter_words` cuts, so that all forms see the same.
-
-    The function carries plain dictionaries only, so workers need no copy of this package.
-    """
-    polarity, intensity = dict(lexicon.polarity), dict(lexicon.intensity)
-    negating = set(lexicon.negations)
+def plain_scorer() -> Callable[..., float]:
+    """The rule as a function of (words, polarity, intensity, negating), made here so that it travels by value."""
     factor, unit = presets.NEGATION_FACTOR, float(presets.SCORE_UNIT)
 
-    def units(words: Iterable[str]) -> tuple[int, int]:
+    def text_polarity(words: Iterable[str] | None, polarity: dict, intensity: dict, negating: set) -> float:
         total = hits = 0
         p1 = p2 = ""
-        for word in words:
+        for word in () if words is None else words:
             value = polarity.get(word)
             if value is not None:
                 negated = p1 in negating or (p2 in negating and (p1 in intensity or len(p1) == 1))
@@ -162,14 +157,23 @@ def arrow_polarity(words: Column, lexicon: Lexicon) -> Column:
                 total += int(math.copysign(math.floor(abs(value) + 0.5), value))
                 hits += 1
             p1, p2 = word, p1
-        return total, hits
+        return float(total) / (hits * unit) if hits else 0.0
+
+    return text_polarity
+
+
+def arrow_polarity(words: Column, lexicon: Lexicon) -> Column:
+    """The same rule on Arrow batches of the words that :func:`letter_words` cuts, so that all forms see the same.
+
+    The function carries plain dictionaries only, so workers need no copy of this package.
+    """
+    polarity, intensity = dict(lexicon.polarity), dict(lexicon.intensity)
+    negating = set(lexicon.negations)
+    text_polarity = plain_scorer()
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            scores = []
-            for value in batch:
-                total, hits = units(() if value is None else value)
-                scores.append(float(total) / (hits * unit) if hits else 0.0)
+            scores = [text_polarity(value, polarity, intensity, negating) for value in batch]
             yield pd.Series(scores, dtype="float64")
 
     score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}

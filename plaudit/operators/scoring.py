@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plaudit.functions import presets
 from plaudit.functions.sentiment import (
+    IN_MEMORY_WORDS,
     LEXICON_SCHEMA,
     Lexicon,
     category,
     hit_units,
     is_negated,
     mean_polarity,
+    plain_scorer,
     with_neighbours,
     with_sentiment,
 )
-from plaudit.functions.text import counted_label, has_content, letter_words
+from plaudit.functions.text import counted_label, letter_words
 from plaudit.sources.readers import in_memory
 from plaudit.sizing import BROADCAST_MAX_ROWS, is_small, lookup_join
 
+#: Text that shares the words of a lexicon table, and the least that is worth a task of its own.
+CHUNK_BYTES = 32 << 20
+LEAST_CHUNK_BYTES = 1 << 20
+
 
 def lexicon_frame(spark: SparkSession, lexicon: Lexicon) -> DataFrame:
     return in_memory(spark, lexicon.rows(), LEXICON_SCHEMA)
@@ -105,34 +114,73 @@ def score_by_join(
     )
 
 
-def occurring_words(df: DataFrame, text: str, table: DataFrame) -> DataFrame:
-    """The part of a lexicon table whose words occur in the texts. Each word meets the table once, however often it occurs."""
-    words = df.select(F.explode(F.array_distinct(letter_words(F.col(text)))).alias("word")).distinct()
-    return table.join(words, "word", "left_semi")
+def occurring_words(df: DataFrame, text: str, table: DataFrame, *by: str) -> DataFrame:
+    """The part of a lexicon table whose words occur in the texts, for each value of ``by``. Each word meets the table once, however often it occurs."""
+    words = df.select(*by, F.explode(letter_words(F.col(text))).alias("word")).distinct()
+    return words.join(table, "word")
 
 
 def with_table_sentiment(
-    df: DataFrame, text: str, table: DataFrame, max_words: int = BROADCAST_MAX_ROWS
+    df: DataFrame, text: str, table: DataFrame, max_words: int = IN_MEMORY_WORDS, chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
     """Add ``polarity`` and ``category`` by a lexicon table of any size.
 
-    Of the table only the words that occur in the texts matter. If they are at most ``max_words``, they are fetched
-    and travel with the tasks as dictionaries: texts stay in place, and nothing is joined. Otherwise the words
-    meet the table in joins, and the scores come back by a hash of the text; texts without content take no part in that.
+    Of the table only the words that occur in the texts matter. If the texts are one chunk and hold at most ``max_words`` of them, these are fetched
+    and travel with the tasks as dictionaries: texts stay in place, and nothing is joined. Otherwise each chunk of the texts gets the words
+    that occur in it: they meet the table once per chunk, and the texts wait for them sorted by chunk, so a task
+    holds the words of one chunk at a time and the driver none.
     """
-    found = occurring_words(df, text, table).select("word", "polarity", "intensity", "negates").limit(max_words + 1).collect()
-    if len(found) <= max_words:
-        return with_sentiment(df, text, Lexicon.from_rows(found), form="arrow")
-    # No two texts without content share a key, so none of them is hot; their scores are not looked for.
-    nothing = F.concat(F.lit("-"), F.rand().cast("string"))
-    keyed = df.withColumn("_scored", F.when(has_content(F.col(text)), F.sha2(F.col(text), 256)).otherwise(nothing))
-    # Copies of a text add to its sum and to its hits alike, which leaves the mean as it is.
-    filled = keyed.filter(~F.startswith("_scored", F.lit("-")))
-    scores = score_by_join(filled, "_scored", text, table, max_words).dropDuplicates(["_scored"])
-    return keyed.join(scores, "_scored", "left").select(
-        *df.columns, F.coalesce("polarity", F.lit(0.0)).alias("polarity"),
-        F.coalesce("category", category(F.lit(0.0))).alias("category"),
-    )
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    if size <= chunk_bytes:
+        found = occurring_words(df, text, table).select("word", "polarity", "intensity", "negates").limit(max_words + 1).collect()
+        if len(found) <= max_words:
+            return with_sentiment(df, text, Lexicon.from_rows(found), form="arrow")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    chunks = max(-(-size // chunk_bytes), min(cores, -(-size // LEAST_CHUNK_BYTES)), 1)
+    # By all columns: copies of a text lie in one chunk only if their whole rows are the same.
+    hashed = [field.name for field in df.schema if "map<" not in field.dataType.simpleString()]
+    chunk = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in hashed]), F.lit(chunks)).cast("int")
+    texts = df.select(F.lit(1).alias("_kind"), chunk.alias("_chunk"), F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("_row"))
+    placed = df.select(chunk.alias("_chunk"), F.col(text).alias("_text")).repartition(chunks, "_chunk")
+    opinions = table.select("word", "polarity", "intensity", "negates")
+    entries = occurring_words(placed, "_text", opinions, "_chunk").withColumn("_kind", F.lit(0))
+    together = entries.unionByName(texts, allowMissingColumns=True).repartition(chunks, "_chunk").sortWithinPartitions("_chunk", "_kind")
+    scored = together.select(
+        "_chunk", "word", "polarity", "intensity", "negates", "_row", letter_words(F.col("_row").getField(text)).alias("_words")
+    ).mapInArrow(_chunk_scores(), T.StructType([*df.schema.fields, T.StructField("polarity", T.DoubleType())]))
+    return scored.withColumn("category", category(F.col("polarity")))
+
+
+def _chunk_scores() -> Callable:
+    """Rows with their polarity from batches sorted by chunk, in which a chunk's words (with their values) come before its rows."""
+    text_polarity = plain_scorer()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, polarity, intensity, negating = None, {}, {}, set()
+        for batch in batches:
+            rows, words = batch.column("_row"), batch.column("_words")
+            values = [batch.column(name).to_pylist() for name in ("_chunk", "word", "polarity", "intensity", "negates")]
+            places, scores = [], []
+            for place, (chunk, word, value, factor, negates) in enumerate(zip(*values)):
+                if chunk != current:
+                    current, polarity, intensity, negating = chunk, {}, {}, set()
+                if word is None:
+                    places.append(place)
+                    scores.append(text_polarity(words[place].as_py(), polarity, intensity, negating))
+                    continue
+                if value is not None:
+                    polarity[word] = value
+                if factor is not None:
+                    intensity[word] = factor
+                if negates:
+                    negating.add(word)
+            if places:
+                taken = rows.take(pa.array(places))
+                yield pa.RecordBatch.from_arrays(
+                    [*taken.flatten(), pa.array(scores, pa.float64())], [*[field.name for field in taken.type], "polarity"]
+                )
+
+    return score
 
 
 def _category_count(name: str):

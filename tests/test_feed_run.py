@@ -162,6 +162,21 @@ def test_a_lexicon_as_a_table_of_any_size(spark, max_words, no_auto_broadcast):
     assert ("Join" in plan) == (max_words == 1)  # texts stay in place if the words that occur are few
 
 
+def test_chunks_of_texts_get_the_words_that_occur_in_them(spark, no_auto_broadcast):
+    rows = [(i % 20, text, [i], {"k": i}) for i, text in enumerate(TEXTS)] + [(0, "not good", [0], {"k": 0})] * 40 + [(None, "bad", None, None)]
+    rows += [(100 + i, " ".join(f"filler{chr(97 + i % 26)}{chr(97 + j % 26)}{chr(97 + j // 26 % 26)}" for j in range(676)), [], {}) for i in range(40)]
+    df = spark.createDataFrame(rows, f"id bigint, {CLEAN_TEXT} string, list array<int>, pairs map<string, int>").repartition(3)
+    letters = F.concat(F.lit("filler"), *[F.char((F.col("id") / 26**k).cast("bigint") % 26 + 97) for k in range(3)])
+    filler = spark.range(26**3).select(letters.alias("word"), F.lit(0.5).alias("polarity"), F.lit(None).cast("double").alias("intensity"), F.lit(False).alias("negates"))
+    table = lexicon_frame(spark, FULL).unionByName(filler)
+    full = Lexicon({**FULL.polarity, **{row.word: 0.5 for row in filler.collect()}}, FULL.intensity, FULL.negations)
+    expected = with_sentiment(df, CLEAN_TEXT, full, form="arrow")
+    scored = with_table_sentiment(df, CLEAN_TEXT, table, max_words=10_000, chunk_bytes=50_000)
+    assert scored.columns == expected.columns and sorted(map(str, scored.collect())) == sorted(map(str, expected.collect()))
+    # 17,000 words occur: none of them goes through the driver.
+    assert "Join" in scored._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_stream_takes_a_million_words(spark, files, tmp_path):
     for part in split(REVIEWS, 4):
         files.reviews(*part)
