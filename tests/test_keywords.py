@@ -46,3 +46,22 @@ def test_texts_are_not_shuffled(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id bigint, text string")
     plan = keywords.keyword_table_filter(df, "text", spark.createDataFrame([("bad",)], "keyword string"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("max_words", [0, 1000])
+@pytest.mark.parametrize("words", [
+    ["y good ph"], ["ery good p", "so"], [" very good phone"], ["very\ngood p"], ["a b c d e"], ["b c d", "x y"], ["good  phone x"], ["c d "], [" b"],
+])
+def test_phrases_begin_and_end_within_words(spark, words, max_words):
+    texts = [*TEXTS, "xa b c d ey", "a  b c d e", "a b", "ab c", "c d", "c d e", "good  phone x", "good phone x", "x\ty", "zx yz", "z xy z"]
+    assert found(spark, texts, words, max_words=max_words) == expected(texts, words)
+
+
+def test_phrases_do_not_multiply_the_words(spark):
+    # The longest word of each phrase lies within every word of the texts: they met as 300 x 400 pairs.
+    texts = [" ".join(f"w{i}the{j}" for j in range(20)) for i in range(20)] + ["a the b", "x a the b7 c", "the 7"]
+    words = [f"a the b{i}" for i in range(299)] + ["e 7"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    table = spark.createDataFrame([(word,) for word in words], "keyword string")
+    assert keywords.keyword_words(df, "text", table).count() <= 400
+    assert found(spark, texts, words) == expected(texts, words)
