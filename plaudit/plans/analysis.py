@@ -46,7 +46,7 @@ def ingest(
         ],
     )
     if set_aside:
-        write_partitions(lines, target, "status")
+        write_partitions(lines, target, "status", few=3)
         clean = f"{target}/status=clean"
     else:
         write_parquet(lines.filter(F.col("status") == "clean").select(*keep, CLEAN_TEXT), target)

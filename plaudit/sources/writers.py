@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plaudit.session import scoped_conf
+
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitions(df: DataFrame, path: str, *columns: str, format: str = "parquet") -> None:
-    """Replace only the partitions that ``df`` has rows for; other runs' partitions stay."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .format(format)
-        .save(path)
-    )
+def write_partitions(df: DataFrame, path: str, *columns: str, format: str = "parquet", few: int = 0) -> None:
+    """Replace only the partitions that ``df`` has rows for; other runs' partitions stay.
+
+    A task sorts its rows by partition. If there are but a ``few``, it keeps a file open for each and nothing is sorted.
+    """
+    with scoped_conf(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(few)} if few else {}):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*columns)
+            .format(format)
+            .save(path)
+        )
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
