@@ -24,7 +24,7 @@ from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.plans.analysis import ingest as ingest_raw, limit_metrics, run_analysis, sweep_metrics
 from plaudit.plans.profile import text_profile
 from plaudit.session import work_dir
-from plaudit.sizing import rounds, spread
+from plaudit.sizing import dealt, parts_of, rounds, spread
 from plaudit.sources import convert, readers, writers
 from plaudit.streaming import feed, run, top_words as stream
 from plaudit.streaming.progress import ProgressLog, read_progress
@@ -32,6 +32,9 @@ from plaudit.streaming.run import FeedRun
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: What one task writes into a file of the mixed folder.
+FILE_BYTES = 64 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -108,28 +111,33 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_files_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files with ids as numbers, ids as text and no ids, one of them rewritten in place: each converted by its own schema."""
+    """Files with ids as numbers, ids as text and no ids, those of one kind rewritten in place: each converted by its own schema."""
     folder = work_dir(spark, "mixed")
     texts = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias(CLEAN_TEXT), "lang")
+    files = parts_of(texts, FILE_BYTES)
     number, text = F.col("doc_id").alias("review_id"), F.concat(F.lit("doc "), "doc_id").alias("review_id")
     for name, rows in (
         ("a", texts.filter(_english(True)).select(CLEAN_TEXT)), ("b", texts.filter(_english(False)).select(text, CLEAN_TEXT)),
         ("c", texts.filter("doc_id % 3 = 0").select(number, CLEAN_TEXT)),
     ):
-        writers.write_parquet(rows.coalesce(1), f"{folder}/source/{name}")
+        writers.write_parquet(rows.coalesce(files), f"{folder}/source/{name}")
     convert.convert_new_files(spark, f"{folder}/source", f"{folder}/target")
-    # The same file name with other rows: it is taken for a new file, and its rows replace the old ones.
+    # The same file names with other rows: they are taken for new files, and their rows replace the old ones.
     changed = texts.filter("doc_id % 3 = 1").select(number, CLEAN_TEXT)
-    (old,) = [row.path for row in readers.list_files(spark, f"{folder}/source/c", ".parquet").collect()]
-    writers.write_parquet(changed.coalesce(1), f"{folder}/changed")
-    (new,) = [row.path for row in readers.list_files(spark, f"{folder}/changed", ".parquet").collect()]
-    writers.replace_file(spark, new, old)
+    old = _files(spark, f"{folder}/source/c")
+    writers.write_parquet(changed.repartition(len(old)) if len(old) > 1 else changed.coalesce(1), f"{folder}/changed")
+    for new_file, old_file in zip(_files(spark, f"{folder}/changed"), old, strict=True):
+        writers.replace_file(spark, new_file, old_file)
     convert.convert_new_files(spark, f"{folder}/source", f"{folder}/target")
     rows = readers.read_json_lines(spark, f"{folder}/target/data", f"review_id string, {CLEAN_TEXT} string")
     own = F.when(F.col("review_id").rlike("^(doc )?[0-9]+$"), F.col("review_id"))
     return rows.select(own.alias("own_id"), CLEAN_TEXT)
 
 
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    return sorted(row.path for row in readers.list_files(spark, folder, ".parquet").collect())
+
+
 def json_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines written and read back by file pattern, nulls written as nulls."""
     folder = work_dir(spark, "json")

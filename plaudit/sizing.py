@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 SPREAD_BYTES_PER_CORE = 64 << 20
 BROADCAST_MAX_ROWS = 200_000
+#: Bytes of the scans below a plan that one part of it stands for, where parts are held in memory or sorted.
+PART_BYTES = 8 << 20
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -13,6 +15,21 @@ def plan_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def scan_bytes(df: DataFrame) -> int:
+    """The size of all scans below a plan, whatever is joined above them; runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def parts_of(df: DataFrame, part_bytes: int = PART_BYTES) -> int:
+    return max(1, -(-scan_bytes(df) // part_bytes))
+
+
+def dealt(df: DataFrame, *keys: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Rows dealt by key into parts whose number grows with the input, not their size: for what a task holds of its part."""
+    return df.repartition(max(parts_of(df, part_bytes), df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def leaves_cores_idle(df: DataFrame) -> bool:
     """Whether a scan has less than a full split for each core, and fewer files than cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism
