@@ -431,7 +431,7 @@ def run_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream.scored_records(reviews(spark, sf_dir), corpus.LEXICON, corpus.KEYWORDS)
-    return stream.windowed_words(rows)
+    return stream.windowed_words(dealt(rows, "review_id"))
 
 
 def _epochs(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plaudit.functions import presets
+from plaudit.sizing import PART_BYTES, dealt
 
 MEASURES = ("total", *presets.CATEGORIES)
 
@@ -38,7 +39,17 @@ def sliding_word_counts(
     per_slide = words.groupBy(F.window(time, _span(slide_seconds)).alias("slide"), "word").agg(*counts)
     if window_seconds == slide_seconds:
         return per_slide.withColumnRenamed("slide", "window")
-    span = F.window("slide", _span(window_seconds), _span(slide_seconds))
+    if words.isStreaming:
+        span = F.window("slide", _span(window_seconds), _span(slide_seconds))
+    else:
+        # All counts of a word meet in one task, so that their copies need no further shuffle; the parts are as much smaller as there are copies.
+        copies = window_seconds // slide_seconds
+        per_slide = dealt(per_slide, "word", part_bytes=PART_BYTES // copies)
+        starts = [F.col("slide.start") - F.expr(f"INTERVAL {back * slide_seconds} SECONDS") for back in range(copies)]
+        ends = [start + F.expr(f"INTERVAL {window_seconds} SECONDS") for start in starts]
+        spans = [F.struct(start.alias("start"), end.alias("end")) for start, end in zip(starts, ends)]
+        per_slide = per_slide.withColumn("span", F.explode(F.array(*spans)))
+        span = F.col("span")
     return per_slide.groupBy(span.alias("window"), "word").agg(*[F.sum(name).alias(name) for name in MEASURES])
 
 
