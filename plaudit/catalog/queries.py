@@ -480,12 +480,10 @@ def _state(spark: SparkSession) -> dict:
 
 def _replayed(spark: SparkSession, sf_dir: str, folder: str, start: Callable[[], StreamingQuery], copies: int = 1) -> None:
     """The reviews in the order of their times, each step taken by a stream that goes on from its checkpoint."""
-    rows = reviews(spark, sf_dir)
-    if copies > 1:
-        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
     steps = rounds(table(spark, sf_dir, "documents"))
     feed.replay(
-        rows, "review_id", CLEAN_TEXT, "send_ts", f"{folder}/feed", steps, lambda: start().awaitTermination()
+        reviews(spark, sf_dir), "review_id", CLEAN_TEXT, "send_ts", f"{folder}/feed", steps, lambda: start().awaitTermination(),
+        copies=copies, compression="snappy",
     )
 
 
@@ -503,10 +501,9 @@ def _fed(
                 if not start_again:
                     raise
 
-    rows = reviews(spark, sf_dir)
-    if copies > 1:
-        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
-    feed.replay(rows, "review_id", CLEAN_TEXT, "send_ts", f"{folder}/feed", rounds(table(spark, sf_dir, "documents")), start)
+    feed.replay(
+        reviews(spark, sf_dir), "review_id", CLEAN_TEXT, "send_ts", f"{folder}/feed", rounds(table(spark, sf_dir, "documents")), start, copies=copies
+    )
 
 
 def _scored_columns(records: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from plaudit.functions import presets
 from plaudit.functions.text import epoch_seconds, event_time
 from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.session import scoped_conf
+from plaudit.sizing import parts_of
 from plaudit.sources.readers import CORRUPT
 
 ENVELOPE = f"review_id string, {CLEAN_TEXT} string, send_time double"
@@ -83,28 +84,34 @@ def files_per_trigger(spark: SparkSession) -> int:
 
 
 def replay(
-    reviews: DataFrame, key: str, text: str, time: str, folder: str, steps: int, after_step: Callable[[], None]
+    reviews: DataFrame, key: str, text: str, time: str, folder: str, steps: int, after_step: Callable[[], None], copies: int = 1,
+    **options: str,
 ) -> None:
     """Publish reviews to ``folder`` in the order of ``time``, step by step.
 
     ``after_step`` runs once a step lies there: a stream that stops when nothing is new and goes on
     from its checkpoint takes whole steps, so no record is late. The reviews are sorted into steps and
-    parts once, by all cores; publishing moves nothing.
+    parts once, by all cores; publishing moves nothing. Each is sent ``copies`` times; the copies are made as they are sent.
+    ``options`` go to the files of the feed.
     """
     spark = reviews.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    parts = min(max(cores, -(-parts_of(reviews) // steps)), files_per_trigger(spark))  # of a step, which one micro-batch takes
     micros = F.unix_micros(F.col(time).cast("timestamp")).alias("_us")
     records = envelope(reviews, key, text, epoch_seconds(F.col(time)), keep=[micros, F.col(key).alias("_id")])
-    (
-        records.repartitionByRange(steps * cores, "_us", "_id")
-        .select("key", "value", F.floor(F.spark_partition_id() / cores).cast("int").alias("step"))
-        .write.mode("overwrite")
-        .partitionBy("step")
-        .parquet(f"{folder}-staged")
-    )
+    with scoped_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):  # a part is of one step: nothing is sorted
+        (
+            records.repartitionByRange(steps * parts, "_us", "_id")
+            .select("key", "value", F.floor(F.spark_partition_id() / parts).cast("int").alias("step"))
+            .write.mode("overwrite")
+            .partitionBy("step")
+            .parquet(f"{folder}-staged")
+        )
     staged = spark.read.schema("key string, value string, step int").parquet(f"{folder}-staged")
+    if copies > 1:
+        staged = staged.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     for step in range(steps):
-        publish(staged.filter(F.col("step") == step).select("key", "value"), path=folder)
+        publish(staged.filter(F.col("step") == step).select("key", "value"), path=folder, **options)
         after_step()
 
 
