@@ -33,6 +33,7 @@ from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.operators.scoring import with_table_sentiment
 from plaudit.operators.windows import MEASURES, top_per_window, window_documents
 from plaudit.session import scoped_conf
+from plaudit.sizing import PART_BYTES, dealt
 from plaudit.sources.readers import in_memory, read_if_there
 from plaudit.streaming.feed import decode, start_stream
 from plaudit.streaming.top_words import DOCUMENT_SCHEMA, feed_words
@@ -49,6 +50,15 @@ ID_SCHEMA = "review_id string, send_us bigint"
 MICROS = 1_000_000
 
 
+#: What a task of a micro-batch reads at most, of files and of shuffles: its counts and sorted rows grow with that.
+TASK_BYTES = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 << 20}
+
+
+def _bounded_tasks(spark: SparkSession) -> dict[str, str]:
+    """The bounds for a query's session, where the user has not set any."""
+    return {key: f"{most}b" for key, most in TASK_BYTES.items() if key not in spark.conf.getAll}
+
+
 @dataclass(frozen=True)
 class FeedRun:
     """What is done with each micro-batch. ``after`` is called with a sink's name and the batch's number once the sink is written."""
@@ -76,7 +86,7 @@ class FeedRun:
             F.when(bad, F.col("value")).alias("value"), "problem", "review_id", CLEAN_TEXT,
             F.unix_micros(event_time(F.col("send_time"))).alias("send_us"),
         )
-        return start_stream(rows, checkpoint, lambda writer: writer.foreachBatch(self.write_batch), every=every)
+        return start_stream(rows, checkpoint, lambda writer: writer.foreachBatch(self.write_batch), every=every, conf=_bounded_tasks(records.sparkSession))
 
     def write_batch(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -174,6 +184,8 @@ class FeedRun:
         else:
             counts = self._get(spark, "_minutes", MINUTE_SCHEMA, run, batches)
         first = F.col("slide") - (self.window_seconds - self.slide_seconds)
+        # All counts of a word meet in one task: their copies, one per window, need no further shuffle.
+        counts = dealt(counts, "word", part_bytes=PART_BYTES * self.slide_seconds // self.window_seconds)
         starts = counts.withColumn("start", F.explode(F.sequence(first, F.col("slide"), F.lit(self.slide_seconds).cast("bigint"))))
         end = (F.col("start") + self.window_seconds) * MICROS
         ending = ~self._before(end, old_mark, including=True) & self._before(end, new_mark, including=True)
