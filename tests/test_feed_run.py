@@ -184,3 +184,26 @@ def test_a_stream_takes_a_million_words(spark, files, tmp_path):
     table = lexicon_frame(spark, LEXICON).unionByName(million)
     go(spark, files, FeedRun(str(tmp_path / "out"), table, delay_seconds=60), tmp_path / "c")
     assert scored_of(spark, tmp_path / "out") == SCORED
+
+
+def test_copies_are_made_as_they_are_sent(spark, tmp_path):
+    df = spark.range(50).select("id", F.lit("great").alias(CLEAN_TEXT), F.timestamp_seconds("id").alias("ts"))
+    folder = str(tmp_path / "feed")
+    feed.replay(df, "id", CLEAN_TEXT, "ts", folder, 2, lambda: None, copies=3, compression="snappy")
+    assert spark.read.parquet(f"{folder}-staged").count() == 50
+    sent = feed.decode(spark.read.schema("key string, value string").json(folder)).groupBy("review_id").count().collect()
+    assert len(sent) == 50 and {row["count"] for row in sent} == {3}
+    assert all(file.name.endswith(".snappy") for file in (tmp_path / "feed").glob("part-*"))
+
+
+def test_tasks_of_a_batch_are_bounded(spark, files, tmp_path):
+    files.reviews(*REVIEWS)
+    bounds = run._bounded_tasks(spark)
+    assert bounds == {key: f"{most}b" for key, most in run.TASK_BYTES.items()}
+    go(spark, files, FeedRun(str(tmp_path / "out"), LEXICON), tmp_path / "c")
+    assert scored_of(spark, tmp_path / "out")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert list(run._bounded_tasks(spark)) == ["spark.sql.adaptive.advisoryPartitionSizeInBytes"]  # the user's own wins
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -263,3 +263,46 @@ def test_work_dir_lies_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark, "a"), work_dir(spark, "a")
     assert first.startswith(base) and second.startswith(base) and first != second
+
+
+def test_a_few_partitions_are_written_without_a_sort(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "concat('s', id % 3) status").repartition(4)
+    for few, folder in ((3, "few"), (0, "many")):
+        with Plans(spark) as plans:
+            writers.write_partitions(df, str(tmp_path / folder), "status", few=few)
+        assert any("Sort" in plan for plan in plans.seen) == (few == 0)
+        assert sorted(map(tuple, spark.read.parquet(str(tmp_path / folder)).collect())) == sorted(map(tuple, df.collect()))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+class Plans:
+    """The plans of the commands that run in a block."""
+
+    def __init__(self, spark):
+        self.spark, self.seen = spark, []
+
+    def __enter__(self):
+        self.store = self.spark._jsparkSession.sharedState().statusStore()
+        self.before = self.store.executionsCount()
+        return self
+
+    def __exit__(self, *_):
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        runs = self.store.executionsList()
+        self.seen = [runs.apply(i).physicalPlanDescription() for i in range(self.before, runs.size())]
+
+
+def test_mixed_files_of_several_parts(spark, tmp_path, monkeypatch):
+    from plaudit.catalog import queries
+
+    rows = [(i, f"Text {i} " + "x" * 50, "en" if i % 2 else None) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(8).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "FILE_BYTES", 4_000)
+    written = []
+    monkeypatch.setattr(queries.convert, "convert_new_files", lambda spark, source, target, f=queries.convert.convert_new_files: written.append(
+        len(queries._files(spark, f"{source}/c"))) or f(spark, source, target))
+    found = queries.mixed_files_convert(spark, str(tmp_path)).collect()
+    assert written[0] == written[1] > 1
+    expected = [(None, t.lower()) for _, t, lang in rows if lang is None] + [(f"doc {i}", t.lower()) for i, t, lang in rows if lang]
+    expected += [(str(i), t.lower()) for i, t, _ in rows if i % 3 == 1]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from plaudit import sizing
 from plaudit.operators import metrics, windows
 
 
@@ -89,3 +90,13 @@ def test_partitions(spark):
     df = spark.range(1000).repartition(7)
     assert metrics.partition_count(df).first()[0] == 7
     assert metrics.partition_report(df).agg(F.sum("rows")).first()[0] == 1000
+
+
+def test_the_parts_that_count_words_grow_with_the_input_and_not_in_size(spark):
+    rows = spark.range(100).select(F.timestamp_seconds("id").alias("send_ts"), F.col("id").cast("string").alias("word"), F.lit("neutral").alias("category"))
+    counts = windows.sliding_word_counts(rows)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    # One shuffle for the slides and one by word; none for the copies of the counts.
+    assert plan.count("Exchange hashpartitioning") == 2 and "hashpartitioning(word" in plan
+    assert sizing.parts_of(rows, 100) > sizing.parts_of(rows, 1000) >= 1
+    assert sizing.dealt(rows, "word", part_bytes=10).rdd.getNumPartitions() == sizing.parts_of(rows, 10)
