@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plaudit.functions import presets
@@ -73,6 +78,77 @@ def top_per_window(flat: DataFrame, k: int = presets.WINDOW_TOP_WORDS) -> DataFr
     )
 
 
+def top_of_parts(
+    counts: DataFrame, k: int, window_seconds: int, slide_seconds: int, after_us: int | None = None, until_us: int | None = None
+) -> DataFrame:
+    """The k most frequent words that each partition has of each window, from counts (slide, word, measures) per slide.
+
+    All counts of a word must lie in one partition, of bounded size: its totals are whole there, and only k rows per window leave it.
+    Windows are those of whole slides that end after ``after_us`` and not after ``until_us``.
+    """
+    columns = ("slide", "word", *MEASURES)
+    schema = ", ".join(["start bigint", "word string", *[f"{name} bigint" for name in MEASURES]])
+    best = _part_tops(MEASURES, k, window_seconds // slide_seconds, slide_seconds, after_us, until_us)
+    flat = counts.select(*columns).filter(F.col("slide").isNotNull() & F.col("word").isNotNull()).mapInArrow(best, schema)
+    return flat.select(
+        F.timestamp_seconds("start").alias("window_start"),
+        F.timestamp_seconds(F.col("start") + window_seconds).alias("window_end"), "word", *MEASURES,
+    )
+
+
+def _part_tops(measures: tuple[str, ...], k: int, copies: int, slide_seconds: int, after_us: int | None, until_us: int | None) -> Callable:
+    """A partition's best words per window, made here so that it travels by value."""
+    micros = slide_seconds * 1_000_000
+
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [batch for batch in batches if batch.num_rows]
+        if not rows:
+            return
+        table = pa.Table.from_batches(rows)
+        coded = pa.concat_arrays(table["word"].chunks).dictionary_encode()
+        by_name = pc.sort_indices(coded.dictionary)
+        names, place_of = coded.dictionary.take(by_name), np.empty(len(by_name), np.int64)
+        place_of[by_name.to_numpy()] = np.arange(len(names))
+        word = place_of[coded.indices.to_numpy()]
+        slide = table["slide"].to_numpy() // slide_seconds
+        values = [table[name].to_numpy() for name in measures]
+        first = slide.min() - copies
+        keys, places = [], []
+        for back in range(copies):  # a slide's counts belong to the windows that start at it and before
+            start = slide - back
+            ends = (start + copies) * micros
+            ending = np.ones(len(ends), bool) if after_us is None else ends > after_us
+            if until_us is not None:
+                ending &= ends <= until_us
+            (place,) = np.nonzero(ending)
+            keys.append((start[place] - first) * len(names) + word[place])
+            places.append(place)
+        key, place = np.concatenate(keys), np.concatenate(places)
+        if not len(key):
+            return
+        order = np.argsort(key, kind="stable")
+        key, place = key[order], place[order]
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])  # of a window's word
+        start = key[begin] // len(names)
+        # Words stand in their order within a window, and keep it where totals are equal.
+        ranked = np.lexsort((-np.add.reduceat(values[0][place], begin), start))
+        head = np.flatnonzero(np.r_[True, start[1:] != start[:-1]])
+        rank = np.arange(len(ranked)) - np.repeat(head, np.diff(np.r_[head, len(ranked)]))
+        taken = ranked[rank < k]
+        length = np.r_[begin[1:], len(key)][taken] - begin[taken]
+        offset = np.cumsum(length) - length
+        members = place[np.repeat(begin[taken] - offset, length) + np.arange(length.sum())]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array((start[taken] + first) * slide_seconds), names.take(pa.array(key[begin[taken]] % len(names))),
+                *[pa.array(np.add.reduceat(value[members], offset)) for value in values],
+            ],
+            ["start", "word", *measures],
+        )
+
+    return tops
+
+
 def window_documents(top: DataFrame) -> DataFrame:
     """One nested document per window; at most k words each."""
     entry = F.struct(

@@ -16,9 +16,11 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def scan_bytes(df: DataFrame) -> int:
-    """The size of all scans below a plan, whatever is joined above them; runs no job."""
+    """The size of all scans below a plan, whatever is joined above them; runs no job. Rows of unknown size, as those of an RDD, count as none."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < unknown)
 
 
 def parts_of(df: DataFrame, part_bytes: int = PART_BYTES) -> int:

@@ -138,15 +138,17 @@ def read_feed(
 
 
 def decode(records: DataFrame) -> DataFrame:
-    """Parse values; ``problem`` says why a record cannot be used and is null for good ones."""
-    parsed = records.withColumn(
-        "_r",
-        F.from_json(
-            "value",
-            f"{ENVELOPE}, {CORRUPT} string",
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
-        ),
+    """Parse values; ``problem`` says why a record cannot be used and is null for good ones.
+
+    The parsed record is exploded from an array of one: a filter on its fields stays above that, while below a plain
+    column it would parse the value anew for each field that it names.
+    """
+    record = F.from_json(
+        "value",
+        f"{ENVELOPE}, {CORRUPT} string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
+    parsed = records.select("value", F.explode(F.array(record)).alias("_r"))
     problem = (
         F.when(F.col("value").isNull(), "no value")
         .when(F.col(f"_r.{CORRUPT}").isNotNull() | F.col("_r").isNull(), "not valid JSON")

@@ -31,7 +31,7 @@ from plaudit.functions.sentiment import Lexicon, with_sentiment
 from plaudit.functions.text import event_time, matches_keyword
 from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.operators.scoring import with_table_sentiment
-from plaudit.operators.windows import MEASURES, top_per_window, window_documents
+from plaudit.operators.windows import top_of_parts, top_per_window, window_documents
 from plaudit.session import scoped_conf
 from plaudit.sizing import PART_BYTES, dealt
 from plaudit.sources.readers import in_memory, read_if_there
@@ -45,7 +45,9 @@ BATCH_SCHEMA = (
 PLACE_SCHEMA = "run string, batch bigint"
 SCORED_SCHEMA = f"review_id string, {CLEAN_TEXT} string, send_us bigint, polarity double, category string"
 SET_ASIDE_SCHEMA = "value string, problem string"
-MINUTE_SCHEMA = "slide bigint, word string, total bigint, positive bigint, negative bigint, neutral bigint"
+COUNTS = "word string, total bigint, positive bigint, negative bigint, neutral bigint"
+MINUTE_SCHEMA = f"slide bigint, {COUNTS}"
+WINDOW_SCHEMA = f"window_start timestamp, window_end timestamp, {COUNTS}"
 ID_SCHEMA = "review_id string, send_us bigint"
 MICROS = 1_000_000
 
@@ -179,21 +181,12 @@ class FeedRun:
 
     def _finished_windows(self, spark: SparkSession, run: str, batches: list[int], old_mark: int | None, new_mark: int | None) -> DataFrame:
         """The best words of the windows that end after the old watermark and not after the new one."""
-        if not batches:
-            counts = in_memory(spark, [], MINUTE_SCHEMA)
-        else:
-            counts = self._get(spark, "_minutes", MINUTE_SCHEMA, run, batches)
-        first = F.col("slide") - (self.window_seconds - self.slide_seconds)
-        # All counts of a word meet in one task: their copies, one per window, need no further shuffle.
+        if not batches or new_mark is None:
+            return top_per_window(in_memory(spark, [], WINDOW_SCHEMA), self.k)
+        counts = self._get(spark, "_minutes", MINUTE_SCHEMA, run, batches)
+        # All counts of a word meet in one task, which adds them up per window and sends on its best words only.
         counts = dealt(counts, "word", part_bytes=PART_BYTES * self.slide_seconds // self.window_seconds)
-        starts = counts.withColumn("start", F.explode(F.sequence(first, F.col("slide"), F.lit(self.slide_seconds).cast("bigint"))))
-        end = (F.col("start") + self.window_seconds) * MICROS
-        ending = ~self._before(end, old_mark, including=True) & self._before(end, new_mark, including=True)
-        flat = starts.filter(ending).groupBy("start", "word").agg(*[F.sum(name).alias(name) for name in MEASURES]).select(
-            F.timestamp_seconds("start").alias("window_start"),
-            F.timestamp_seconds(F.col("start") + self.window_seconds).alias("window_end"), "word", *MEASURES,
-        )
-        return top_per_window(flat, self.k)
+        return top_per_window(top_of_parts(counts, self.k, self.window_seconds, self.slide_seconds, old_mark, new_mark), self.k)
 
     def _put(self, df: DataFrame, sink: str, run: str, number: int, format: str = "parquet") -> None:
         df.write.mode("overwrite").format(format).option("ignoreNullFields", False).save(f"{self.folder}/{sink}/run={run}/batch={number}")

@@ -1,5 +1,6 @@
 """The stream that writes all its results from one reading: what it gives, and what it gives after failures."""
 
+import random
 import shutil
 
 import pytest
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from plaudit.functions.sentiment import Lexicon, with_sentiment
 from plaudit.operators.ingest import CLEAN_TEXT
 from plaudit.operators.scoring import lexicon_frame, with_table_sentiment
-from plaudit.operators.windows import read_window_documents
+from plaudit.operators.windows import MEASURES, read_window_documents, top_of_parts, top_per_window
+from plaudit.sizing import dealt
 from plaudit.streaming import feed, run
 from plaudit.streaming.run import FeedRun
 from test_streaming import BAD, BASE, LEXICON, REVIEWS, Feed, batch_windows, split
@@ -207,3 +209,35 @@ def test_tasks_of_a_batch_are_bounded(spark, files, tmp_path):
         assert list(run._bounded_tasks(spark)) == ["spark.sql.adaptive.advisoryPartitionSizeInBytes"]  # the user's own wins
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_value_is_parsed_once_whatever_the_filter_names(spark):
+    df = spark.createDataFrame([("0", value) for value in [*BAD, None, '{"review_id": "1", "cleaned_reviewText": "great", "send_time": 1.5}']], "key string, value string")
+    decoded = feed.decode(df).filter(F.col("problem").isNotNull() | F.col(CLEAN_TEXT).contains("great") | F.col(CLEAN_TEXT).contains("bad"))
+    assert decoded._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert sorted((r.review_id or "", r.problem or "") for r in decoded.collect()) == sorted([("1", ""), *[(r.review_id or "", r.problem or "") for r in feed.decode(df).collect() if r.problem]])
+
+
+@pytest.mark.parametrize("after, until", [(None, 100), (100, 420), (None, None), (420, 420)])
+def test_the_best_words_of_parts_are_those_of_all(spark, after, until):
+    draw = random.Random(5)
+    words = ["a", "b", "Z", "\u00e9", "\uffee", "\U0001f600", *[f"w{i}" for i in range(30)]]
+    # Gaps between slides, slides before 1970, ties, and counts of a word and slide in several rows.
+    rows = [(60 * draw.choice([-9, -2, -1, 0, 1, 2, 3, 4, 9]), word, n, n, 0, 0) for word in words for n in draw.choices(range(1, 4), k=9)]
+    counts = spark.createDataFrame([*rows, (None, "a", 9, 9, 0, 0)], "slide bigint, word string, " + ", ".join(f"{name} bigint" for name in MEASURES))
+    after_us, until_us = (None if mark is None else mark * 1_000_000 for mark in (after, until))
+    totals = {}
+    for slide, word, n, *_ in rows:
+        for start in range(slide - 240, slide + 1, 60):
+            if (after is None or start + 300 > after) and (until is None or start + 300 <= until):
+                totals.setdefault(start, {}).setdefault(word, []).append(n)
+    expected = {
+        (start, rank, word, sum(found[word]), sum(found[word]), 0)
+        for start, found in totals.items()
+        for rank, word in enumerate(sorted(found, key=lambda w: (-sum(found[w]), w.encode()))[:5], 1)
+    }
+    parts = top_of_parts(dealt(counts, "word"), 5, 300, 60, after_us, until_us)
+    best = top_per_window(parts).select(F.unix_seconds("window_start").alias("s"), "rank", "word", "total", "positive", "negative").collect()
+    assert {tuple(row) for row in best} == expected and len(best) == len(expected)
+    of_part = parts.groupBy(F.spark_partition_id(), "window_start").count().agg(F.max("count")).first()[0]
+    assert (of_part or 0) <= 5  # no more leaves a part
