@@ -115,9 +115,12 @@ def score_by_join(
 
 
 def occurring_words(df: DataFrame, text: str, table: DataFrame, *by: str) -> DataFrame:
-    """The part of a lexicon table whose words occur in the texts, for each value of ``by``. Each word meets the table once, however often it occurs."""
+    """The part of a lexicon table whose words occur in the texts, for each value of ``by``. Each word meets the table once, however often it occurs.
+
+    Both sides are sorted: neither goes through the driver as a broadcast, small as its files may be.
+    """
     words = df.select(*by, F.explode(letter_words(F.col(text))).alias("word")).distinct()
-    return words.join(table, "word")
+    return words.join(table.hint("merge"), "word")
 
 
 def with_table_sentiment(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plaudit.functions.sentiment import Lexicon, with_sentiment
 from plaudit.operators.ingest import CLEAN_TEXT
-from plaudit.operators.scoring import lexicon_frame, with_table_sentiment
+from plaudit.operators.scoring import lexicon_frame, occurring_words, with_table_sentiment
 from plaudit.operators.windows import MEASURES, read_window_documents, top_of_parts, top_per_window
 from plaudit.sizing import dealt
 from plaudit.streaming import feed, run
@@ -241,3 +241,10 @@ def test_the_best_words_of_parts_are_those_of_all(spark, after, until):
     assert {tuple(row) for row in best} == expected and len(best) == len(expected)
     of_part = parts.groupBy(F.spark_partition_id(), "window_start").count().agg(F.max("count")).first()[0]
     assert (of_part or 0) <= 5  # no more leaves a part
+
+
+def test_words_of_a_lexicon_table_are_not_broadcast(spark):
+    df = spark.createDataFrame([("good day",)], "text string")
+    found = occurring_words(df, "text", lexicon_frame(spark, FULL))
+    assert [r.word for r in found.collect()] == ["good"]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
